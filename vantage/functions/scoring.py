@@ -128,3 +128,8 @@ def pct_red_band(pct_red: Column) -> Column:
 def score_tenths(score: Column) -> Column:
     """Exact integer tenths of a one-decimal score (for order-free sums)."""
     return F.round(score * 10.0).cast("bigint")
+
+
+def score_nano(score: Column) -> Column:
+    """A [0, 1] score as exact integer 1e-9 units (order-free sums)."""
+    return F.round(score * 1.0e9).cast("bigint")

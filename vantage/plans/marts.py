@@ -106,11 +106,12 @@ def csm_mart(mart: DataFrame, reps: DataFrame, cfg: MetricConfig) -> DataFrame:
     """Per (snapshot, rep): book KPIs over scoreable (non-ramp) accounts, one
     row for every rep and snapshot (zero-book reps: counts 0, averages NULL).
 
-    Score sums use exact integer tenths; T averages are rounded to 6 decimals
-    (true doubles whose sum depends on order)."""
+    Score sums are exact integer sums (AVR in tenths, T in 1e-9 units), so the
+    averages do not depend on summation order."""
     book = mart.where(~F.coalesce(F.col("is_ramp_period"), F.lit(False)))
     arr = F.col("annual_commit_dollars")
     tenths = S.score_tenths(F.col("avr_score"))
+    t_nano = S.score_nano(F.col("t_score"))
     flag = F.col("expansion_flag")
     per = (book.groupBy("snapshot_date", F.col("rep_id").alias("csm_id")).agg(
         F.countDistinct("account_id").alias("n_accounts"),
@@ -118,8 +119,8 @@ def csm_mart(mart: DataFrame, reps: DataFrame, cfg: MetricConfig) -> DataFrame:
         F.sum(tenths).alias("sum_tenths"), F.count(tenths).alias("n_scored"),
         F.sum(arr * tenths).alias("arr_tenths"),
         F.sum(arr).alias("arr_sum"),
-        F.avg("t_score").alias("avg_t"),
-        F.try_divide(F.sum(arr * F.col("t_score")), F.sum(arr)).alias("arr_t"),
+        F.sum(t_nano).alias("t_nano_sum"), F.count(t_nano).alias("n_t"),
+        F.sum(arr.cast("decimal(38,0)") * t_nano).alias("arr_t_nano"),
         F.count_if(F.col("band") == "Green").alias("n_green"),
         F.count_if(F.col("band") == "Yellow").alias("n_yellow"),
         F.count_if(F.col("band") == "Red").alias("n_red"),
@@ -134,8 +135,10 @@ def csm_mart(mart: DataFrame, reps: DataFrame, cfg: MetricConfig) -> DataFrame:
         z("n_accounts"), z("book_arr"),
         F.try_divide(F.col("sum_tenths"), F.col("n_scored") * 10.0).alias("avg_avr"),
         F.try_divide(F.col("arr_tenths"), F.col("arr_sum") * 10.0).alias("arr_weighted_avr"),
-        F.round(F.col("avg_t") * 100.0, 6).alias("avg_technical_health"),
-        F.round(F.col("arr_t") * 100.0, 6).alias("arr_weighted_technical_health"),
+        F.try_divide(F.col("t_nano_sum").cast("double"), F.col("n_t") * 1.0e7)
+         .alias("avg_technical_health"),
+        F.try_divide(F.col("arr_t_nano").cast("double"), F.col("arr_sum") * 1.0e7)
+         .alias("arr_weighted_technical_health"),
         z("n_green"), z("n_yellow"), z("n_red"),
         F.try_divide(F.col("n_red"), F.col("n_accounts")).alias("pct_red"),
         z("n_expansion_opps"), z("expansion_pipeline_arr"))
