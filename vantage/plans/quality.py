@@ -1 +1,442 @@
-"""Data-quality checks (G-*, Q-*)."""
+"""Data-quality operators (G-*, Q-*) returning results DataFrames.
+
+Generic checks are declared as data (table, test, column, arguments,
+severity); all count-type checks on one table share a single aggregation
+pass, uniqueness uses one grouped count per key, relationships an anti join.
+Singular assertions are "rows returned must be empty" frames whose row count
+is the failure count.  Every check reports one row; nothing is collected to
+the driver.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from vantage.config import MetricConfig
+from vantage.functions.dates import lit_date
+from vantage.operators import contracts as con
+from vantage.operators import staging as stg
+from vantage.plans import marts
+from vantage.plans.registry import CFG, inputs, query
+
+
+@dataclass(frozen=True)
+class Check:
+    table: str
+    test: str                 # unique | not_null | accepted_values | relationships | expression
+    columns: tuple
+    args: tuple = ()          # accepted values | (parent table, parent column) | (sql expr,)
+    severity: str = "error"
+
+    @property
+    def check_id(self) -> str:
+        return f"{self.test}:{self.table}.{'+'.join(self.columns)}"
+
+
+# The declared generic tests of the source project.
+REGIONS = ("AMER", "EMEA", "APAC", "JAPAC")
+SEGMENTS = ("Enterprise", "Mid-Market")
+SOURCE_SEGMENTS = ("Enterprise", "Mid-Market", "SMB")
+CONTRACT_TYPES = ("New", "Renewal", "Expansion")
+SEVERITIES = (1, 2, 3)
+STATUSES = ("Open", "In Progress", "Resolved", "Closed")
+COLORS = ("Green", "Yellow", "Red")
+BANDS = ("Green", "Yellow", "Red", "Onboarding")
+
+GENERIC_CHECKS: tuple[Check, ...] = (
+    Check("csm_reps", "unique", ("csm_id",)),
+    Check("csm_reps", "not_null", ("csm_id",)),
+    Check("csm_reps", "not_null", ("region",)),
+    Check("csm_reps", "accepted_values", ("region",), REGIONS),
+    Check("accounts", "unique", ("account_id",)),
+    Check("accounts", "not_null", ("account_id",)),
+    Check("accounts", "not_null", ("rep_id",)),
+    Check("accounts", "relationships", ("rep_id",), ("csm_reps", "csm_id")),
+    Check("accounts", "accepted_values", ("segment",), SOURCE_SEGMENTS),
+    Check("contracts", "unique", ("contract_id",)),
+    Check("contracts", "not_null", ("contract_id",)),
+    Check("contracts", "not_null", ("account_id",)),
+    Check("contracts", "relationships", ("account_id",), ("accounts", "account_id")),
+    Check("contracts", "accepted_values", ("contract_type",), CONTRACT_TYPES),
+    Check("contracts", "not_null", ("annual_commit_dollars",)),
+    Check("daily_usage_logs", "not_null", ("date",)),
+    Check("support_tickets", "unique", ("ticket_id",)),
+    Check("support_tickets", "not_null", ("ticket_id",)),
+    Check("support_tickets", "accepted_values", ("severity",), SEVERITIES),
+    Check("account_health", "not_null", ("date",)),
+    Check("account_health", "not_null", ("account_id",)),
+    Check("account_health", "relationships", ("account_id",), ("accounts", "account_id")),
+    Check("account_health", "accepted_values", ("health_color",), COLORS),
+    Check("stg_csm_reps", "accepted_values", ("csm_segment",), SEGMENTS),
+    Check("stg_accounts", "accepted_values", ("account_segment",), SEGMENTS),
+    Check("stg_support_tickets", "accepted_values", ("status",), STATUSES),
+    Check("contract_active", "unique", ("snapshot_date", "account_id")),
+    Check("contract_active", "expression", ("days_in_contract",), ("days_in_contract >= 1",)),
+    Check("snapshot_tickets", "not_null", ("open_sev1",)),
+    Check("snapshot_tickets", "expression", ("open_sev1",), ("open_sev1 >= 0",)),
+    Check("snapshot_tickets", "expression", ("open_sev2",), ("open_sev2 >= 0",)),
+    Check("snapshot_tickets", "expression", ("open_sev3",), ("open_sev3 >= 0",)),
+    Check("snapshot_tickets", "expression", ("age_weighted_load",), ("age_weighted_load >= 0",)),
+    Check("snapshot_health", "accepted_values", ("latest_color",), COLORS),
+    Check("account_mart", "unique", ("snapshot_date", "account_id")),
+    Check("account_mart", "not_null", ("rep_id",)),
+    Check("account_mart", "relationships", ("rep_id",), ("csm_reps", "csm_id")),
+    Check("account_mart", "not_null", ("band",)),
+    Check("account_mart", "accepted_values", ("band",), BANDS),
+    Check("csm_mart", "unique", ("snapshot_date", "csm_id")),
+    Check("csm_mart", "relationships", ("csm_id",), ("csm_reps", "csm_id")),
+)
+
+
+def _result(df: DataFrame, c: Check) -> DataFrame:
+    return df.select(F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
+                     F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
+                     F.col("n_failing").cast("bigint").alias("n_failing"))
+
+
+def _count_expr(c: Check) -> F.Column:
+    col = F.col(c.columns[0])
+    if c.test == "not_null":
+        return F.count_if(col.isNull())
+    if c.test == "accepted_values":
+        return F.count_if(col.isNotNull() & ~col.isin(list(c.args)))
+    if c.test == "expression":
+        return F.count_if(~F.coalesce(F.expr(c.args[0]), F.lit(True)))
+    raise ValueError(c.test)
+
+
+def run_generic(tables: dict[str, DataFrame], checks=GENERIC_CHECKS) -> DataFrame:
+    """One results row per check: check_id, table_name, test, severity,
+    n_failing, status (PASS / WARN / FAIL)."""
+    parts: list[DataFrame] = []
+    by_table: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.test in ("not_null", "accepted_values", "expression"):
+            by_table.setdefault(c.table, []).append(c)
+        elif c.test == "unique":
+            dup = (tables[c.table].groupBy(*c.columns).count().where("count > 1")
+                   .agg(F.count(F.lit(1)).alias("n_failing")))
+            parts.append(_result(dup, c))
+        elif c.test == "relationships":
+            parent_t, parent_c = c.args
+            child = tables[c.table].where(F.col(c.columns[0]).isNotNull())
+            parent = tables[parent_t].select(F.col(parent_c).alias(c.columns[0])).distinct()
+            miss = (child.join(parent, c.columns[0], "left_anti")
+                    .agg(F.count(F.lit(1)).alias("n_failing")))
+            parts.append(_result(miss, c))
+    for table, cs in by_table.items():
+        # one pass over the table for all of its count-type checks
+        row = tables[table].agg(*[_count_expr(c).alias(f"c{i}") for i, c in enumerate(cs)])
+        stack = ", ".join(f"'{c.check_id}', '{c.test}', '{c.severity}', c{i}" for i, c in enumerate(cs))
+        parts.append(row.select(F.expr(f"stack({len(cs)}, {stack})")
+                                .alias("check_id", "test", "severity", "n_failing"))
+                     .select("check_id", F.lit(table).alias("table_name"), "test", "severity",
+                             F.col("n_failing").cast("bigint").alias("n_failing")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return with_status(out)
+
+
+def with_status(df: DataFrame) -> DataFrame:
+    return df.withColumn("status", F.when(F.col("n_failing") == 0, "PASS")
+                         .when(F.col("severity") == "warn", "WARN").otherwise("FAIL"))
+
+
+def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig) -> dict[str, DataFrame]:
+    """Raw inputs, staging frames, intermediate models and both marts."""
+    from vantage.operators.health import snapshot_health
+    from vantage.operators.tickets import snapshot_tickets
+    st = marts.stages(frames, cfg)
+    am = marts.account_mart(frames, cfg, st)
+    t = dict(frames)
+    t.update({
+        "stg_csm_reps": st.reps, "stg_accounts": st.accounts, "stg_contracts": st.contracts,
+        "stg_support_tickets": stg.stg_support_tickets(frames["support_tickets"]),
+        "stg_account_health": st.health, "contract_active": st.active,
+        "snapshot_tickets": snapshot_tickets(st.tickets, st.active, cfg),
+        "snapshot_health": snapshot_health(st.health, cfg),
+        "account_mart": am, "csm_mart": marts.csm_mart(am, st.reps, cfg)})
+    return t
+
+
+def _n(df: DataFrame, check_id: str, severity: str = "error") -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n_failing")).select(
+        F.lit(check_id).alias("check_id"), F.lit(severity).alias("severity"), "n_failing")
+
+
+def singular_checks(t: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
+    """Q-1..Q-13 and Q-31: each is a frame of violating rows; report counts."""
+    am, cm = t["account_mart"], t["csm_mart"]
+    c = [F.col(f"{x}_score") for x in "dcrtb"]
+    comp_bad = F.lit(False)
+    for x in c:
+        comp_bad = comp_bad | (x < 0) | (x > 1)
+    avr = F.col("avr_score")
+    q1 = am.where((avr.isNotNull() & ((avr < 0) | (avr > 100))) | comp_bad)
+    band, ramp = F.col("band"), F.col("is_ramp_period")
+    q2 = am.where(((avr >= 75) & (band != "Green")) | ((avr >= 50) & (avr < 75) & (band != "Yellow"))
+                  | (avr.isNotNull() & (avr < 50) & (band != "Red"))
+                  | (avr.isNull() & (band != "Onboarding")) | (ramp & (band != "Onboarding"))
+                  | (~ramp & (band == "Onboarding")))
+    q3 = t["stg_contracts"].where(F.col("start_date") >= F.col("end_date"))
+    csm_side = cm.groupBy("snapshot_date").agg(F.sum("n_accounts").alias("csm_total"))
+    acc_side = (am.where(~ramp).groupBy("snapshot_date")
+                .agg(F.countDistinct("account_id").alias("account_total")))
+    q4 = csm_side.join(acc_side, "snapshot_date").where(F.col("csm_total") != F.col("account_total"))
+    q5 = cm.where(F.col("n_green") + F.col("n_yellow") + F.col("n_red") != F.col("n_accounts"))
+    ath, wth = F.col("avg_technical_health"), F.col("arr_weighted_technical_health")
+    q6 = cm.where((ath < 0) | (ath > 100) | (wth < 0) | (wth > 100))
+    usage = t["daily_usage_logs"]
+    q7 = usage.where(F.col("compute_credits_consumed") < 0)
+    q8 = con.orphan_usage(usage, t["accounts"])
+    q9 = con.out_of_window_usage(usage, t["accounts"], t["contracts"])
+    q10 = con.overlapping_contracts(t["stg_contracts"])
+    q11 = am.where((ramp & avr.isNotNull()) | (ramp & (band != "Onboarding"))
+                   | (~ramp & avr.isNull()) | (~ramp & (band == "Onboarding")))
+    from vantage.operators.calendar import snapshot_dates
+    snaps = snapshot_dates(am.sparkSession, cfg)
+    q12 = snaps.where(F.col("snapshot_date") != F.last_day("snapshot_date"))
+    tk = t["stg_support_tickets"]
+    q13 = tk.where(F.col("closed_date").isNotNull() & (F.col("closed_date") < F.col("opened_date")))
+    # Q-31: book_arr equals the ARR of the rep's scoreable accounts; weighted score in range
+    book = (am.where(~ramp).groupBy("snapshot_date", F.col("rep_id").alias("csm_id"))
+            .agg(F.sum("annual_commit_dollars").alias("arr")))
+    q31a = (cm.join(book, ["snapshot_date", "csm_id"], "left")
+            .where(F.col("book_arr") != F.coalesce(F.col("arr"), F.lit(0))))
+    wa = F.col("arr_weighted_avr")
+    q31b = cm.where(wa.isNotNull() & ((wa < 0) | (wa > 100)))
+    q31c = cm.join(t["stg_csm_reps"].select("csm_id"), "csm_id", "left_anti")
+    parts = [_n(q1, "avr_score_range"), _n(q2, "band_matches_score"),
+             _n(q3, "contract_start_before_end"), _n(q4, "csm_rollup_account_counts"),
+             _n(q5, "csm_rollup_band_counts"), _n(q6, "csm_technical_health_range"),
+             _n(q7, "negative_usage"), _n(q8, "orphaned_usage", "warn"),
+             _n(q9, "out_of_window_usage", "warn"), _n(q10, "overlapping_contracts_unexpected"),
+             _n(q11, "ramp_accounts_have_null_avr"), _n(q12, "snapshot_dates_are_month_ends"),
+             _n(q13, "ticket_closed_after_opened"), _n(q31a, "csm_book_arr_matches"),
+             _n(q31b, "csm_weighted_avr_range"), _n(q31c, "csm_exists")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return with_status(out)
+
+
+# Pre-load QA bounds of the source project.
+ROW_COUNT_BOUNDS = {"csm_reps": (50, 50), "accounts": (1000, 1000), "contracts": (1080, 1320),
+                    "support_tickets": (22500, 37500), "account_health": (40000, 60000),
+                    "daily_usage_logs": (160000, 240000)}
+FK_CHECKS = (("RI-1", "accounts", "rep_id", "csm_reps", "csm_id", 1.0),
+             ("RI-2", "contracts", "account_id", "accounts", "account_id", 1.0),
+             ("RI-3", "support_tickets", "account_id", "accounts", "account_id", 1.0),
+             ("RI-4", "account_health", "account_id", "accounts", "account_id", 1.0),
+             ("RI-5", "daily_usage_logs", "account_id", "accounts", "account_id", 0.9985))
+
+
+def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """G-8: row count per input table against [lo, hi] (S-10)."""
+    parts = []
+    for name, (lo, hi) in ROW_COUNT_BOUNDS.items():
+        parts.append(frames[name].agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(f"COUNT-{name}").alias("check_id"), F.lit(name).alias("table_name"), "n_rows",
+            F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("status", F.when(F.col("n_rows").between(F.col("lo"), F.col("hi")), "PASS")
+                          .otherwise("FAIL"))
+
+
+def fk_fractions(frames: dict[str, DataFrame]) -> DataFrame:
+    """G-9 / Q-14: share of child rows whose key exists in the parent."""
+    parts = []
+    for cid, child, ccol, parent, pcol, min_frac in FK_CHECKS:
+        keys = frames[parent].select(F.col(pcol).alias("_k")).distinct().withColumn("_hit", F.lit(1))
+        j = frames[child].select(F.col(ccol).alias("_k")).join(keys, "_k", "left")
+        parts.append(j.agg(F.try_divide(F.count_if(F.col("_hit").isNotNull()), F.count(F.lit(1)))
+                           .alias("valid_frac"))
+                     .select(F.lit(cid).alias("check_id"), "valid_frac",
+                             F.lit(min_frac).alias("min_frac")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("status", F.when(F.col("valid_frac") >= F.col("min_frac"), "PASS")
+                          .otherwise("FAIL"))
+
+
+def segment_checks(frames: dict[str, DataFrame]) -> DataFrame:
+    """Q-15 / Q-16: account vs rep segment agreement and Enterprise shares."""
+    a, r = frames["accounts"], frames["csm_reps"]
+    j = a.join(r.select("csm_id", F.col("segment").alias("csm_segment")),
+               F.col("rep_id") == F.col("csm_id"))
+    seg1 = j.agg(F.count_if(F.col("segment") != F.col("csm_segment")).cast("double").alias("actual"))
+    share = lambda df: df.agg(F.avg((F.col("segment") == "Enterprise").cast("double")).alias("actual"))
+    rows = [seg1.select(F.lit("SEG-1").alias("check_id"), "actual",
+                        (F.col("actual") == 0).alias("ok")),
+            share(a).select(F.lit("SEG-2").alias("check_id"), "actual",
+                            F.col("actual").between(0.37, 0.43).alias("ok")),
+            share(r).select(F.lit("SEG-3").alias("check_id"), "actual",
+                            F.col("actual").between(0.35, 0.45).alias("ok"))]
+    out = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return out.select("check_id", "actual", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"))
+
+
+# Target severity mix and New-contract commit ranges.
+SEVERITY_TARGET = {1: 0.03, 2: 0.12, 3: 0.85}
+COMMIT_RANGES = {"Enterprise": (200_000, 2_000_000), "Mid-Market": (25_000, 200_000)}
+
+
+def distribution_checks(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
+    """Q-24..Q-27: severity mix, New-contract commit ranges, colour domain,
+    contract starts inside the run window."""
+    tk = frames["support_tickets"]
+    sev = F.col("severity")
+    per = tk.agg(*[F.try_divide(F.count_if(sev == k), F.count(F.lit(1))).alias(f"s{k}")
+                   for k in SEVERITY_TARGET])
+    worst = F.greatest(*[F.abs(F.col(f"s{k}") - F.lit(v)) for k, v in SEVERITY_TARGET.items()])
+    d1 = per.select(F.lit("DIST-1").alias("check_id"), worst.alias("actual"),
+                    (worst <= 0.05).alias("ok"))
+    newc = (frames["contracts"].where(F.col("contract_type") == "New")
+            .join(frames["accounts"].select("account_id", "segment"), "account_id"))
+    outs = [d1]
+    for cid, seg in (("DIST-2", "Enterprise"), ("DIST-3", "Mid-Market")):
+        lo, hi = COMMIT_RANGES[seg]
+        c = newc.where(F.col("segment") == seg).agg(F.min("annual_commit_dollars").alias("mn"),
+                                                    F.max("annual_commit_dollars").alias("mx"))
+        outs.append(c.select(F.lit(cid).alias("check_id"), F.col("mn").cast("double").alias("actual"),
+                             F.coalesce((F.col("mn") >= lo) & (F.col("mx") <= hi), F.lit(False)).alias("ok")))
+    h = frames["account_health"]
+    d4 = h.agg(F.count_if(~F.col("health_color").isin(*COLORS)).cast("double").alias("actual"))
+    outs.append(d4.select(F.lit("DIST-4").alias("check_id"), "actual", (F.col("actual") == 0).alias("ok")))
+    w0, w1 = lit_date(cfg.snapshot_start.replace(day=1)), lit_date(cfg.snapshot_end)
+    d5 = frames["contracts"].agg(F.count_if(~F.col("start_date").between(w0, w1)).cast("double")
+                                 .alias("actual"))
+    outs.append(d5.select(F.lit("DIST-5").alias("check_id"), "actual", (F.col("actual") == 0).alias("ok")))
+    out = outs[0]
+    for p in outs[1:]:
+        out = out.unionByName(p)
+    return out.select("check_id", "actual", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"))
+
+
+def monthly_vs_allotment(frames: dict[str, DataFrame]) -> DataFrame:
+    """(account, month, allotment) usage totals, counting a log once per
+    covering contract (as the source check does)."""
+    u = frames["daily_usage_logs"]
+    c = frames["contracts"].select(F.col("account_id").alias("c_acc"), "start_date", "end_date",
+                                   "included_monthly_compute_credits")
+    j = u.join(c, (u.account_id == c.c_acc) & u.date.between(c.start_date, c.end_date))
+    return (j.groupBy("account_id", F.trunc("date", "month").alias("ym"),
+                      "included_monthly_compute_credits")
+            .agg(F.sum("compute_credits_consumed").alias("credits")))
+
+
+def usage_cohorts(frames: dict[str, DataFrame]) -> DataFrame:
+    """Edge-case cohort labels per contracted account (EC-1..EC-4, EC-6)."""
+    ctr = frames["contracts"]
+    usage = frames["daily_usage_logs"]
+    accts = ctr.select("account_id").distinct()
+    first = (ctr.groupBy("account_id").agg(F.min(F.struct("start_date", "contract_id")).alias("f"))
+             .select("account_id", F.col("f.start_date").alias("first_start")))
+    uw = usage.join(first, "account_id")
+    off = F.datediff("date", "first_start")
+    spike = (uw.groupBy("account_id")
+             .agg(F.sum(F.when(off.between(0, 29), F.col("compute_credits_consumed")).otherwise(0))
+                  .alias("m1"), F.sum("compute_credits_consumed").alias("tot"))
+             .select("account_id", F.coalesce(F.try_divide("m1", "tot"), F.lit(0.0)) >= 0.85)
+             .toDF("account_id", "is_spike_drop"))
+    used = usage.select("account_id").distinct().withColumn("has_usage", F.lit(True))
+    m = monthly_vs_allotment(frames)
+    allot = F.col("included_monthly_compute_credits")
+    months = m.groupBy("account_id").agg(
+        F.count_if(F.col("credits") >= allot * 1.20).alias("over_months"),
+        F.count_if((F.col("credits") >= allot * 0.80) & (F.col("credits") < allot * 1.20))
+         .alias("approach_months"))
+    adj = con.adjacent_overlap_accounts(ctr).withColumn("has_adjacent_overlap", F.lit(True))
+    out = (accts.join(spike, "account_id", "left").join(used, "account_id", "left")
+           .join(months, "account_id", "left").join(adj, "account_id", "left"))
+    return out.select(
+        "account_id",
+        F.coalesce("is_spike_drop", F.lit(False)).alias("is_spike_drop"),
+        F.col("has_usage").isNull().alias("is_shelfware"),
+        (F.coalesce("over_months", F.lit(0)) >= 6).alias("is_overage"),
+        (F.coalesce("approach_months", F.lit(0)) >= 6).alias("is_approaching_cap"),
+        F.coalesce("has_adjacent_overlap", F.lit(False)).alias("has_adjacent_overlap"))
+
+
+def metric_smoke(scored: DataFrame) -> DataFrame:
+    """Q-28: MET-1 >= 3 bands present, MET-2 >= 50 zero-D/C/B accounts Red,
+    MET-3 >= 50 expansion flags (on the single-date result)."""
+    zero = (F.col("d_score") == 0) & (F.col("c_score") == 0) & (F.col("b_score") == 0)
+    a = scored.agg(F.countDistinct("band").alias("met1"),
+                   F.count_if(zero & (F.col("band") == "Red")).alias("met2"),
+                   F.count_if("expansion_flag").alias("met3"))
+    return a.select(F.expr("stack(3, 'MET-1', met1, 3L, 'MET-2', met2, 50L, 'MET-3', met3, 50L)")
+                    .alias("check_id", "actual", "threshold")).select(
+        "check_id", F.col("actual").cast("bigint").alias("actual"),
+        F.col("threshold").cast("bigint").alias("threshold"),
+        F.when(F.col("actual") >= F.col("threshold"), "PASS").otherwise("FAIL").alias("status"))
+
+
+def overall(results: DataFrame) -> DataFrame:
+    """Q-29: roll-up of a results frame (status counts and exit code)."""
+    return results.agg(F.count_if(F.col("status") == "PASS").alias("n_pass"),
+                       F.count_if(F.col("status") == "WARN").alias("n_warn"),
+                       F.count_if(F.col("status") == "FAIL").alias("n_fail")).withColumn(
+        "exit_code", F.when(F.col("n_fail") > 0, 1).otherwise(0))
+
+
+# ---- registered queries ----------------------------------------------------
+
+@query("dq_generic")
+def q_dq_generic(spark, root):
+    return run_generic(model_tables(inputs(spark, root), CFG))
+
+
+@query("dq_singular")
+def q_dq_singular(spark, root):
+    return singular_checks(model_tables(inputs(spark, root), CFG), CFG)
+
+
+@query("dq_summary")
+def q_dq_summary(spark, root):
+    t = model_tables(inputs(spark, root), CFG)
+    g = run_generic(t).select("check_id", "status")
+    s = singular_checks(t, CFG).select("check_id", "status")
+    return overall(g.unionByName(s))
+
+
+@query("dq_row_counts")
+def q_dq_row_counts(spark, root):
+    return row_counts(inputs(spark, root))
+
+
+@query("dq_fk_fraction")
+def q_dq_fk(spark, root):
+    return fk_fractions(inputs(spark, root))
+
+
+@query("dq_segment")
+def q_dq_segment(spark, root):
+    return segment_checks(inputs(spark, root))
+
+
+@query("dq_distributions")
+def q_dq_dist(spark, root):
+    return distribution_checks(inputs(spark, root), CFG)
+
+
+@query("usage_cohorts")
+def q_usage_cohorts(spark, root):
+    return usage_cohorts(inputs(spark, root))
+
+
+@query("metric_smoke")
+def q_metric_smoke(spark, root):
+    cfg = MetricConfig.v1(scoring_date=CFG.scoring_date)
+    return metric_smoke(marts.point_in_time(inputs(spark, root, cfg), cfg))
+
+
+__all__ = ["Check", "GENERIC_CHECKS", "run_generic", "singular_checks", "usage_cohorts",
+           "metric_smoke", "overall", "Window"]
