@@ -20,7 +20,7 @@ from vantage.functions.dates import lit_date
 from vantage.operators import contracts as con
 from vantage.operators import staging as stg
 from vantage.plans import marts
-from vantage.plans.registry import CFG, inputs, query
+from vantage.plans.registry import CFG, inputs, materialized_marts, query
 
 
 @dataclass(frozen=True)
@@ -146,12 +146,17 @@ def with_status(df: DataFrame) -> DataFrame:
                          .when(F.col("severity") == "warn", "WARN").otherwise("FAIL"))
 
 
-def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig) -> dict[str, DataFrame]:
+def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig,
+                 built: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Raw inputs, staging frames, intermediate models and both marts."""
     from vantage.operators.health import snapshot_health
     from vantage.operators.tickets import snapshot_tickets
     st = marts.stages(frames, cfg)
-    am = marts.account_mart(frames, cfg, st)
+    if built is None:
+        am = marts.account_mart(frames, cfg, st)
+        cm = marts.csm_mart(am, st.reps, cfg)
+    else:
+        am, cm = built
     t = dict(frames)
     t.update({
         "stg_csm_reps": st.reps, "stg_accounts": st.accounts, "stg_contracts": st.contracts,
@@ -159,7 +164,7 @@ def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig) -> dict[str, D
         "stg_account_health": st.health, "contract_active": st.active,
         "snapshot_tickets": snapshot_tickets(st.tickets, st.active, cfg),
         "snapshot_health": snapshot_health(st.health, cfg),
-        "account_mart": am, "csm_mart": marts.csm_mart(am, st.reps, cfg)})
+        "account_mart": am, "csm_mart": cm})
     return t
 
 
@@ -391,17 +396,17 @@ def overall(results: DataFrame) -> DataFrame:
 
 @query("dq_generic")
 def q_dq_generic(spark, root):
-    return run_generic(model_tables(inputs(spark, root), CFG))
+    return run_generic(model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG)))
 
 
 @query("dq_singular")
 def q_dq_singular(spark, root):
-    return singular_checks(model_tables(inputs(spark, root), CFG), CFG)
+    return singular_checks(model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG)), CFG)
 
 
 @query("dq_summary")
 def q_dq_summary(spark, root):
-    t = model_tables(inputs(spark, root), CFG)
+    t = model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG))
     g = run_generic(t).select("check_id", "status")
     s = singular_checks(t, CFG).select("check_id", "status")
     return overall(g.unionByName(s))

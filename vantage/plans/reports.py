@@ -19,7 +19,7 @@ from vantage.functions.dates import lit_date, prev_month_end, prev_month_start
 from vantage.functions.filters import account_filter, round_half_up, round_ratio
 from vantage.operators.calendar import rolling_window_12m, snapshot_dates
 from vantage.plans import marts
-from vantage.plans.registry import CFG, inputs, query
+from vantage.plans.registry import CFG, inputs, materialized_marts, query
 
 # Fixed report parameters of the registered queries.
 REPORT_SNAPSHOT = CFG.scoring_date                 # selected snapshot
@@ -419,7 +419,7 @@ def handoff_queue(csm: DataFrame, snapshot) -> DataFrame:
 
 def _marts(spark, root):
     f = inputs(spark, root)
-    am, cm = marts.build_marts(f, CFG)
+    am, cm = materialized_marts(spark, root, CFG)
     return f, am, cm
 
 
