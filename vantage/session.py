@@ -38,11 +38,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when the
-    session names none (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="vantage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """Return the session's shared checkpoint folder (`spark.checkpoint.dir`
+    or the context's checkpoint dir); only when neither is set (local tests)
+    is a scratch folder created and registered."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    spark.sparkContext.setCheckpointDir(
+        tempfile.mkdtemp(prefix="vantage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return spark.sparkContext.getCheckpointDir()
