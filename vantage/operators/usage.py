@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vantage.config import MetricConfig
-from vantage.functions.dates import prev_month_end, prev_month_start
+from vantage.functions.dates import calendar_bounds, prev_month_end, prev_month_start
 
 USAGE_STAT_COLUMNS = ["credits_last_month", "mean_90d", "sd_90d", "n_days_90d",
                       "credits_last_3mo", "credits_ytd_contract"]
@@ -76,8 +76,15 @@ def usage_stats(active: DataFrame, daily: DataFrame, cfg: MetricConfig,
         "credits_last_3mo", "credits_ytd_contract")
 
 
+def usage_until_last_snapshot(usage: DataFrame, cfg: MetricConfig) -> DataFrame:
+    """Logs after the last snapshot never enter a window; dropping them
+    before the reduction lets the date predicate prune scans / partitions."""
+    _, cal_hi = calendar_bounds(cfg)
+    return usage.where(F.col("date") <= cal_hi)
+
+
 def snapshot_usage(active: DataFrame, usage: DataFrame, accounts: DataFrame,
                    cfg: MetricConfig) -> DataFrame:
     """M-4 output grain: (snapshot_date, account_id, contract_start) + stats."""
-    stats = usage_stats(active, daily_moments(usage, accounts), cfg)
+    stats = usage_stats(active, daily_moments(usage_until_last_snapshot(usage, cfg), accounts), cfg)
     return stats.withColumnRenamed("start_date", "contract_start")

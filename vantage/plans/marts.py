@@ -22,7 +22,7 @@ from vantage.operators.health import health_at, snapshot_health
 from vantage.operators.staging import (stg_account_health, stg_accounts, stg_contracts,
                                        stg_csm_reps)
 from vantage.operators.tickets import open_severity_counts_at, snapshot_tickets
-from vantage.operators.usage import daily_moments, usage_stats
+from vantage.operators.usage import daily_moments, usage_stats, usage_until_last_snapshot
 
 ACCOUNT_MART_COLUMNS = [
     "snapshot_date", "account_id", "company_name", "industry", "account_segment", "rep_id",
@@ -59,7 +59,7 @@ def stages(frames: dict[str, DataFrame], cfg: MetricConfig) -> Stages:
 def scored_active(st: Stages, cfg: MetricConfig) -> DataFrame:
     """Active contract rows with usage stats, ticket and health signals and
     all component scores (before the dimension joins)."""
-    daily = daily_moments(st.usage, st.accounts)
+    daily = daily_moments(usage_until_last_snapshot(st.usage, cfg), st.accounts)
     enriched = usage_stats(st.active, daily, cfg, carry=ACTIVE_COLUMNS + [
         "days_to_renewal", "days_in_contract"])
     tick = snapshot_tickets(st.tickets, st.active, cfg)
