@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vantage.llm.common import table
 from vantage.llm.op1_language import identify
+from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
 from vantage.llm.op6_sharding import shard_documents
 
 
@@ -19,9 +20,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8, seed=17)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op6_sharding": op6_sharding,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLES: dict[str, str] = {}
