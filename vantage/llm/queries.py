@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vantage.llm.common import table
 from vantage.llm.op1_language import identify
 from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
+from vantage.llm.op5_suffix_dedup import remove_repeats
 from vantage.llm.op6_sharding import shard_documents
 
 
@@ -16,6 +17,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), sample_docs=400)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8, seed=17)
 
@@ -26,6 +31,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op10_order_minhash": op10_order_minhash,
 }

@@ -61,7 +61,11 @@ class PrefixHash:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
-    column = pc.fill_null(column, "")
+    return raw_bytes(pc.fill_null(column, ""))
+
+
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a string or binary column without nulls."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
