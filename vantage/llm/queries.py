@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vantage.llm.common import table
 from vantage.llm.op1_language import identify
 from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
+from vantage.llm.op3_decontaminate import find_leaks
+from vantage.llm.op4_mixing import mix
 from vantage.llm.op5_suffix_dedup import remove_repeats
 from vantage.llm.op6_sharding import shard_documents
+from vantage.llm.op9_sentence_spans import remove_spans
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), sample_docs=400)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
+# The mixing run's tree: the first source is the web crawl, the others are reference works or forums by number.
+MIX_WEIGHTS = {"domain": {"web": 4, "reference": 5, "forum": 3}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
+
+
+def mix_domain() -> Column:
+    number = F.regexp_extract("source", "^src([0-9]+)$", 1)
+    return (F.when(F.col("source") == "src0", "web").when(number == "", "other")
+            .when(F.substring(number, -1, 1).isin("1", "3", "5", "7", "9"), "reference").otherwise("forum"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), mix_domain(), MIX_WEIGHTS, budget_share=0.5, max_epochs=2, seed=11)
+    return mixed.select("doc_id", F.col("_epoch").alias("epoch"), F.col("_domain").alias("domain"), "lang", "source",
+                        F.col("_tokens").alias("n_tokens"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
@@ -25,14 +49,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8, seed=17)
 
 
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_spans(table(spark, sf_dir, "documents"), run=3, min_words=12, piece=16)
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
+    "op9_sentence_spans": op9_sentence_spans,
     "op10_order_minhash": op10_order_minhash,
 }
 

@@ -75,11 +75,33 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off.astype(np.int64) - int(off[0])
 
 
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """Lower-case ASCII and Latin-1 letters of UTF-8 bytes; no text changes its length."""
+    out = data + np.where((data >= 0x41) & (data <= 0x5A), np.uint8(0x20), np.uint8(0))
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    out[second] += np.uint8(0x20)
+    return out
+
+
+def run_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of values[start:end] for many runs, by prefix sums."""
+    with np.errstate(over="ignore"):
+        own = mix64(values ^ U64(_STEP * (2 * seed + 1) & 0xFFFFFFFFFFFFFFFF))
+        prefix = np.concatenate([np.zeros(1, U64), np.cumsum(own * powers(len(values))[:len(values)])])
+        h = (prefix[end] - prefix[start]) * powers(len(values), _BASE_INV)[start]
+        return mix64(h + (end - start).astype(U64))
+
+
 class Words:
     """Words of each text: `start`/`end` byte positions, `doc` index, `offsets` by doc, 64-bit `hash`."""
 
-    def __init__(self, column: pa.Array, seed: int = 1):
-        data, offs = utf8(pc.utf8_lower(column))
+    def __init__(self, column: pa.Array, seed: int = 1, in_place: bool = False):
+        """in_place: byte positions are those of the column's own text (see `fold_case`)."""
+        data, offs = utf8(column if in_place else pc.utf8_lower(column))
+        if in_place:
+            data = fold_case(data)
+        self.data, self.text_offsets = data, offs
         w = WORD_BYTE[data]
         first = offs[:-1][offs[:-1] < offs[1:]]
         prev = np.empty_like(w)
