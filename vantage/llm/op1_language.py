@@ -31,6 +31,7 @@ from vantage.llm.textops import utf8
 
 UNDETERMINED = "und"
 MAX_LANGUAGES = 256
+COUNT_TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_docs: i
     than `min_context` times in all languages together stay out of the tree."""
 
     def grams(batches):
+        held: dict[str, tuple] = {}  # one row for each gram that the task met
         for part in text_slices(batches, "_text"):
             labels = part.column("_label").to_pylist()
             buf, at, offs = _padded(part.column("_text"))
@@ -88,12 +90,19 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample_docs: i
             gram = (_context(buf, at).astype(np.int64) << 8) | buf[at]
             names = sorted(set(labels))
             which = np.repeat(np.array([names.index(x) for x in labels]), np.diff(offs))
-            u, c = np.unique(gram | (which.astype(np.int64) << 32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in u >> 32], pa.string()),
-                                              pa.array(u & 0xFFFFFFFF), pa.array(c.astype(np.int64))],
+            for i, name in enumerate(names):
+                u, c = np.unique(gram[which == i], return_counts=True)
+                if name in held:
+                    both, c = np.concatenate([held[name][0], u]), np.concatenate([held[name][1], c])
+                    u, inv = np.unique(both, return_inverse=True)
+                    c = np.bincount(inv, weights=c).astype(np.int64)
+                held[name] = u, c
+        for name, (u, c) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(u), pa.array(c)],
                                              names=["label", "gram", "n"])
 
-    rows = (training_sample(docs, text, label, sample_docs)
+    # the sample is bounded, so a fixed number of tasks counts it
+    rows = (training_sample(docs, text, label, sample_docs).coalesce(COUNT_TASKS)
             .mapInArrow(grams, "label string, gram long, n long")
             .groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow())
     names = sorted(set(rows.column("label").to_pylist()))
