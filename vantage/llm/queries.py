@@ -14,6 +14,9 @@ from vantage.llm.op3_decontaminate import find_leaks
 from vantage.llm.op4_mixing import mix
 from vantage.llm.op5_suffix_dedup import remove_repeats
 from vantage.llm.op6_sharding import shard_documents
+from vantage.llm.op7_vantage_point import nearest
+from vantage.llm.op8_licenses import oracle as license_oracle
+from vantage.llm.op8_licenses import scan
 from vantage.llm.op9_sentence_spans import remove_spans
 
 
@@ -49,6 +52,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8, seed=17)
 
 
+def op7_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_spans(table(spark, sf_dir, "documents"), run=3, min_words=12, piece=16)
 
@@ -63,8 +74,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
+    "op7_vantage_point": op7_vantage_point,
+    "op8_licenses": op8_licenses,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_order_minhash": op10_order_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_licenses": license_oracle(),
+}
