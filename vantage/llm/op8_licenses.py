@@ -121,7 +121,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
             F.array().cast("array<bigint>"))
 
     starts = F.array_distinct(F.flatten(F.transform("spots", around)))
-    windows = shaped.select("doc_id", "size", "width", "words", F.explode(starts).cast("int").alias("start")).select(
+    windows = shaped.select("doc_id", "size", "width", "words", F.explode(starts.cast("array<int>")).alias("start")).select(
         "doc_id", "size", "start", F.slice("words", F.col("start") + 1, F.col("width")).alias("w"))
     own = F.when(F.col("size") < K, _runs(F.col("w"), sizes)).otherwise(shingle_hashes(F.col("w"), K))
     hashed = banded(windows.select("doc_id", "size", "start", own.alias("held")), "held")
