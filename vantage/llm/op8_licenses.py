@@ -99,7 +99,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     may, keyed = F.lit(False), key_words(templates)
     for word in keyed:
         may = may | lower.contains(word)
-    rows = docs.select("doc_id", "text").where(may).select("doc_id", words_of(F.col("text")).alias("words"))
+    # a generator of one element keeps the optimizer from repeating the cut for every word that is looked at
+    rows = docs.select("doc_id", "text").where(may).select("doc_id", F.explode(F.array(words_of(F.col("text")))).alias("words"))
     # one entry for each template length: window length and step
     sizes = sorted({len(plain_words(t)) for t in templates.values()})
     if not sizes:
@@ -109,8 +110,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
                                           F.lit(t // 4 + 1).alias("step")) for t in sizes])).alias("shape")
     spots = F.filter(F.sequence(F.lit(0), F.size("words") - 1),
                      lambda i: F.get("words", i).isin(keyed))  # where the key words stand
-    shaped = (rows.where(F.size("words") > 0).select("doc_id", "words", spots.alias("spots"))
-              .where(F.size("spots") > 0).select("doc_id", "words", "spots", shapes)
+    shaped = (rows.where(F.size("words") > 0).select("doc_id", "words", F.explode(F.array(spots)).alias("spots"))
+              .select("doc_id", "words", "spots", shapes)
               .select("doc_id", "words", "spots", "shape.*").where(F.size("words") >= F.col("size")))
 
     def around(i: Column) -> Column:
