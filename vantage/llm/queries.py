@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vantage.llm.common import table
 from vantage.llm.op1_language import identify
 from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
+from vantage.llm.op2_token_files import token_index
 from vantage.llm.op3_decontaminate import find_leaks
 from vantage.llm.op4_mixing import mix
 from vantage.llm.op5_suffix_dedup import remove_repeats
@@ -24,6 +25,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), sample_docs=400)
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
 
@@ -70,6 +75,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_token_files": op2_token_files,
     "op3_decontaminate": op3_decontaminate,
     "op4_mixing": op4_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
