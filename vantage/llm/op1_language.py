@@ -165,17 +165,17 @@ def predict(docs: DataFrame, counts: Counts, text: str = "text", keep: tuple[str
     kept = [f for f in frame.schema if f.name != "_text"]
 
     def score(batches):
-        if shared.value.uid not in _MODELS:  # once for each Python worker
+        counts = shared.value
+        if counts.languages and counts.uid not in _MODELS:  # once for each Python worker
             _MODELS.clear()
-            _MODELS[shared.value.uid] = Model(shared.value)
-        model = _MODELS[shared.value.uid]
-        names = np.array(model.languages + (UNDETERMINED,), object)
+            _MODELS[counts.uid] = Model(counts)
+        names = np.array(counts.languages + (UNDETERMINED,), object)
         for part in text_slices(batches, "_text", 2 << 20):
             texts = part.column("_text")
             letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             n = np.maximum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 1)
-            if model.languages:
-                bits = model.bits(texts)
+            if counts.languages:
+                bits = _MODELS[counts.uid].bits(texts)
                 best = bits.argmin(1)
                 least = bits[np.arange(len(best)), best]
                 share = 1.0 / np.exp2(np.minimum(least[:, None] - bits, 0.0)).sum(1)
