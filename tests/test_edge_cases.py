@@ -10,7 +10,7 @@ from vantage.plans.marts import build_marts
 
 D = dt.date
 CFG = MetricConfig(snapshot_start=D(2001, 1, 31), snapshot_end=D(2001, 6, 30),
-                   health_start=D(2000, 10, 1), health_end=D(2001, 7, 1))
+                   health_start=D(2000, 10, 1))
 
 
 def frames(spark, contracts, usage=(), tickets=(), accounts=None):

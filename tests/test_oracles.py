@@ -26,7 +26,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.count() == 114
+    assert df.count() == 2114
     assert "avr_score" in df.columns and "band" in df.columns
 
 

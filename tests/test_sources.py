@@ -3,9 +3,11 @@
 import datetime as dt
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from vantage.sources.io import read_csv_typed, write_csv, write_mart
+from vantage.sources.io import (read_csv_typed, row_counts, write_csv, write_mart, write_raw_facts, write_results,
+                                write_table)
 
 
 def test_csv_round_trip_keeps_types_and_nulls(spark):
@@ -31,13 +33,35 @@ def test_mart_partition_overwrite_replaces_only_given_snapshots(spark):
     assert got == {dt.date(2001, 1, 31): 10.0, dt.date(2001, 2, 28): 25.0}
 
 
-def test_adapter_keys_and_counts(spark):
+def test_adapters_read_every_row(spark):
     from vantage.sources.adapters import load_inputs
-    f = load_inputs(spark, "/root/testdata/sf0.001")
-    assert f["accounts"].count() == 9
-    assert f["contracts"].count() == 75
-    assert f["daily_usage_logs"].count() == 5383
-    assert f["support_tickets"].count() == 1783
-    colors = {r[0]: r[1] for r in f["account_health"].groupBy("health_color").count().collect()}
-    assert colors == {"Green": 222, "Yellow": 18, "Red": 328}
-    assert f["daily_usage_logs"].agg(F.countDistinct("log_id")).first()[0] == 5383
+    root = "/root/testdata/sf0.001"
+    f = load_inputs(spark, root)
+    n = {t: spark.read.parquet(f"{root}/{t}.parquet").count() for t in ("customer", "orders", "lineitem", "nation")}
+    assert f["accounts"].count() == n["customer"]
+    assert f["contracts"].count() == n["orders"]
+    assert f["daily_usage_logs"].count() == f["support_tickets"].count() == n["lineitem"]
+    assert f["csm_reps"].count() == n["nation"]
+    assert f["daily_usage_logs"].agg(F.countDistinct("log_id")).first()[0] == n["lineitem"]
+
+
+def test_swapped_csv_header_fails_at_load(spark):
+    d = tempfile.mkdtemp(prefix="vantage-csv-")
+    spark.createDataFrame([("A1", "R1")], "rep_id string, account_id string").write.option("header", True).csv(f"{d}/t")
+    with pytest.raises(Exception):
+        read_csv_typed(spark, f"{d}/t", "accounts").collect()
+
+
+def test_results_are_written_by_many_tasks(spark):
+    d = tempfile.mkdtemp(prefix="vantage-res-")
+    write_results(spark.range(100).repartition(4), f"{d}/r", "parquet")
+    assert spark.read.parquet(f"{d}/r").count() == 100
+
+
+def test_month_partitioned_facts(spark):
+    d = tempfile.mkdtemp(prefix="vantage-fact-")
+    df = spark.createDataFrame([(i, dt.date(2001, 1 + i % 3, 5)) for i in range(30)], "id long, date date")
+    write_raw_facts(df, f"{d}/f", "date")
+    assert spark.read.parquet(f"{d}/f").select("id", "date").exceptAll(df).count() == 0
+    write_table(df, f"{d}/t")
+    assert row_counts({"t": spark.read.parquet(f"{d}/t")}).collect()[0]["n_rows"] == 30

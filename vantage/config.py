@@ -14,6 +14,11 @@ def _d(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
+def _sunday(d: dt.date) -> dt.date:
+    """The Sunday on or after `d`."""
+    return d + dt.timedelta(days=6 - d.weekday())
+
+
 @dataclass(frozen=True)
 class MetricConfig:
     # snapshot calendar: every month-end from the month of `snapshot_start`
@@ -54,9 +59,18 @@ class MetricConfig:
     scoring_date: dt.date = _d("2001-01-31")
     as_of: dt.date = _d("2001-06-30")
 
-    # weekly health derivation: Sundays in [health_start, health_end]
-    health_start: dt.date = _d("1999-11-07")
-    health_end: dt.date = _d("2001-07-01")
+    # weekly health derivation: Sundays from `health_start` (None: from the first
+    # contract on) to the end of the week of `as_of`
+    health_start: dt.date | None = None
+
+    @property
+    def health_first(self) -> dt.date | None:
+        """The Sunday that closes the week of `health_start`."""
+        return self.health_start and _sunday(self.health_start)
+
+    @property
+    def health_end(self) -> dt.date:
+        return _sunday(self.as_of)
 
     @classmethod
     def v1(cls, **kw) -> "MetricConfig":

@@ -86,7 +86,9 @@ def month_ends_between(lo: Column, hi: Column, cfg: MetricConfig, clip: bool = T
 
 def sundays_between(lo: Column, hi: Column, cfg: MetricConfig) -> Column:
     """Array of health Sundays s with lo <= s <= hi, clipped to the health range."""
-    first = F.greatest(week_ending_sunday(lo), lit_date(cfg.health_start))
+    first = week_ending_sunday(lo)
+    if cfg.health_first:
+        first = F.greatest(first, lit_date(cfg.health_first))
     last = F.least(sunday_on_or_before(hi), lit_date(cfg.health_end))
     return F.when(first <= last, F.sequence(first, last, _week())).otherwise(
         F.array().cast("array<date>"))

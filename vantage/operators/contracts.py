@@ -96,7 +96,7 @@ def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) ->
     cols = ["contract_id", "contract_type", "start_date", "end_date"]
     x = contracts.select("account_id", *[F.col(c).alias(f"x_{c}") for c in cols],
                          F.explode(F.sequence(F.trunc("start_date", "month"),
-                                              F.trunc("end_date", "month"),
+                                              F.trunc(F.greatest("start_date", "end_date"), "month"),
                                               F.expr("INTERVAL 1 MONTH"))).alias("bucket"))
     y = contracts.select("account_id", *[F.col(c).alias(f"y_{c}") for c in cols],
                          F.trunc("start_date", "month").alias("bucket"))
@@ -127,12 +127,13 @@ def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) ->
 
 def contract_timeline_clip(contracts: DataFrame) -> DataFrame:
     """M-20: make each account's contracts non-overlapping by ending every
-    contract the day before the next one (by start date) begins."""
+    contract the day before the next one (by start date) begins; a contract
+    that is left without a day (the next begins on the same date) goes."""
     w = Window.partitionBy("account_id").orderBy("start_date", "contract_id")
     nxt = F.lead("start_date").over(w)
     return contracts.withColumn(
         "end_date", F.when(nxt.isNotNull(), F.least(F.col("end_date"), F.date_sub(nxt, 1)))
-        .otherwise(F.col("end_date")))
+        .otherwise(F.col("end_date"))).where(F.col("end_date") >= F.col("start_date"))
 
 
 def adjacent_overlap_accounts(contracts: DataFrame) -> DataFrame:

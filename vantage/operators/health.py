@@ -38,7 +38,13 @@ def derive_health(contracts: DataFrame, usage: DataFrame, tickets: DataFrame,
       "sev-1 open more than 7 days"), bucketed to Sundays and turned into
       counts by a running sum per account.
     """
-    h0, h1 = lit_date(cfg.health_start), lit_date(cfg.health_end)
+    h0 = lit_date(cfg.health_first) if cfg.health_first else None
+    h1 = lit_date(cfg.health_end)
+    # plain date tests, so that they reach the scan
+    usage = usage.where(F.col("date") <= h1)
+    tickets = tickets.where(F.col("opened_date") <= h1)
+    if h0 is not None:
+        usage = usage.where(F.col("date") > F.date_sub(h0, 7))
     cover = (contracts.select(
                 "account_id", "start_date", "contract_id", "included_monthly_compute_credits",
                 F.explode(sundays_between(F.col("start_date"), F.col("end_date"), cfg)).alias("sunday"))
@@ -52,7 +58,6 @@ def derive_health(contracts: DataFrame, usage: DataFrame, tickets: DataFrame,
 
     wk = week_ending_sunday(F.col("date"))
     weekly = (usage.select("account_id", wk.alias("sunday"), "compute_credits_consumed")
-              .where(F.col("sunday").between(h0, h1))
               .groupBy("account_id", "sunday")
               .agg(F.sum("compute_credits_consumed").alias("wu"))
               .select("account_id", "sunday", F.lit(None).cast("bigint").alias("allot"), "wu",
@@ -78,7 +83,8 @@ def derive_health(contracts: DataFrame, usage: DataFrame, tickets: DataFrame,
                   ev(close_at(stale_from), 0, -is1))).alias("e"))
               .where(F.col("e.day").isNotNull())
               .select("account_id",
-                      F.greatest(week_ending_sunday(F.col("e.day")), h0).alias("sunday"),
+                      (week_ending_sunday(F.col("e.day")) if h0 is None else
+                       F.greatest(week_ending_sunday(F.col("e.day")), h0)).alias("sunday"),
                       F.col("e.d12").alias("d12"), F.col("e.d1").alias("d1"))
               .where(F.col("sunday") <= h1)
               .groupBy("account_id", "sunday")

@@ -172,7 +172,8 @@ def point_in_time(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
               .withColumn("days_to_renewal", days_between(F.col("end_date"), s))
               .withColumn("days_in_contract", days_between(s, F.col("start_date")) + 1))
     acc = frames["accounts"]
-    daily = daily_moments(frames["daily_usage_logs"], acc)
+    # every window ends on the scoring date: later rows are never read
+    daily = daily_moments(frames["daily_usage_logs"].where(F.col("date") <= s), acc)
     a, u = active.alias("a"), daily.alias("u")
     d = F.col("u.date")
     j = a.join(u, (F.col("a.account_id") == F.col("u.account_id"))

@@ -20,6 +20,7 @@ from vantage.functions.dates import lit_date
 from vantage.operators import contracts as con
 from vantage.operators import staging as stg
 from vantage.plans import marts
+from vantage.sources.adapters import Inputs
 from vantage.plans.registry import CFG, inputs, materialized_marts, query
 
 
@@ -47,6 +48,7 @@ COLORS = ("Green", "Yellow", "Red")
 BANDS = ("Green", "Yellow", "Red", "Onboarding")
 
 GENERIC_CHECKS: tuple[Check, ...] = (
+    # raw inputs
     Check("csm_reps", "unique", ("csm_id",)),
     Check("csm_reps", "not_null", ("csm_id",)),
     Check("csm_reps", "not_null", ("region",)),
@@ -70,24 +72,81 @@ GENERIC_CHECKS: tuple[Check, ...] = (
     Check("account_health", "not_null", ("account_id",)),
     Check("account_health", "relationships", ("account_id",), ("accounts", "account_id")),
     Check("account_health", "accepted_values", ("health_color",), COLORS),
+    # staging
+    Check("stg_csm_reps", "unique", ("csm_id",)),
+    Check("stg_csm_reps", "not_null", ("csm_id",)),
+    Check("stg_csm_reps", "not_null", ("region",)),
+    Check("stg_csm_reps", "accepted_values", ("region",), REGIONS),
     Check("stg_csm_reps", "accepted_values", ("csm_segment",), SEGMENTS),
+    Check("stg_accounts", "unique", ("account_id",)),
+    Check("stg_accounts", "not_null", ("account_id",)),
+    Check("stg_accounts", "not_null", ("rep_id",)),
+    Check("stg_accounts", "relationships", ("rep_id",), ("stg_csm_reps", "csm_id")),
     Check("stg_accounts", "accepted_values", ("account_segment",), SEGMENTS),
+    Check("stg_contracts", "unique", ("contract_id",)),
+    Check("stg_contracts", "not_null", ("contract_id",)),
+    Check("stg_contracts", "not_null", ("account_id",)),
+    Check("stg_contracts", "relationships", ("account_id",), ("stg_accounts", "account_id")),
+    Check("stg_contracts", "accepted_values", ("contract_type",), CONTRACT_TYPES),
+    Check("stg_daily_usage_logs", "unique", ("log_id",)),
+    Check("stg_daily_usage_logs", "not_null", ("log_id",)),
+    Check("stg_daily_usage_logs", "not_null", ("date",)),
+    Check("stg_support_tickets", "unique", ("ticket_id",)),
+    Check("stg_support_tickets", "not_null", ("ticket_id",)),
+    Check("stg_support_tickets", "not_null", ("account_id",)),
+    Check("stg_support_tickets", "relationships", ("account_id",), ("stg_accounts", "account_id")),
+    Check("stg_support_tickets", "not_null", ("severity",)),
+    Check("stg_support_tickets", "accepted_values", ("severity",), SEVERITIES),
     Check("stg_support_tickets", "accepted_values", ("status",), STATUSES),
+    Check("stg_account_health", "not_null", ("account_id",)),
+    Check("stg_account_health", "relationships", ("account_id",), ("stg_accounts", "account_id")),
+    Check("stg_account_health", "not_null", ("date",)),
+    Check("stg_account_health", "accepted_values", ("health_color",), COLORS),
+    # intermediate models
+    Check("snapshot_dates", "unique", ("snapshot_date",)),
+    Check("snapshot_dates", "not_null", ("snapshot_date",)),
     Check("contract_active", "unique", ("snapshot_date", "account_id")),
-    Check("contract_active", "expression", ("days_in_contract",), ("days_in_contract >= 1",)),
+    Check("contract_active", "not_null", ("snapshot_date",)),
+    Check("contract_active", "not_null", ("account_id",)),
+    Check("contract_active", "not_null", ("contract_id",)),
+    Check("usage_windows", "unique", ("log_id",)),
+    Check("usage_windows", "not_null", ("log_id",)),
+    Check("snapshot_usage", "not_null", ("snapshot_date",)),
+    Check("snapshot_usage", "not_null", ("account_id",)),
+    Check("snapshot_tickets", "not_null", ("snapshot_date",)),
+    Check("snapshot_tickets", "not_null", ("account_id",)),
     Check("snapshot_tickets", "not_null", ("open_sev1",)),
     Check("snapshot_tickets", "expression", ("open_sev1",), ("open_sev1 >= 0",)),
+    Check("snapshot_tickets", "not_null", ("open_sev2",)),
     Check("snapshot_tickets", "expression", ("open_sev2",), ("open_sev2 >= 0",)),
+    Check("snapshot_tickets", "not_null", ("open_sev3",)),
     Check("snapshot_tickets", "expression", ("open_sev3",), ("open_sev3 >= 0",)),
+    Check("snapshot_tickets", "not_null", ("age_weighted_load",)),
     Check("snapshot_tickets", "expression", ("age_weighted_load",), ("age_weighted_load >= 0",)),
+    Check("snapshot_health", "not_null", ("snapshot_date",)),
+    Check("snapshot_health", "not_null", ("account_id",)),
     Check("snapshot_health", "accepted_values", ("latest_color",), COLORS),
+    # marts
     Check("account_mart", "unique", ("snapshot_date", "account_id")),
+    Check("account_mart", "not_null", ("snapshot_date",)),
+    Check("account_mart", "not_null", ("account_id",)),
     Check("account_mart", "not_null", ("rep_id",)),
-    Check("account_mart", "relationships", ("rep_id",), ("csm_reps", "csm_id")),
+    Check("account_mart", "relationships", ("rep_id",), ("stg_csm_reps", "csm_id")),
     Check("account_mart", "not_null", ("band",)),
     Check("account_mart", "accepted_values", ("band",), BANDS),
+    Check("account_mart", "not_null", ("is_ramp_period",)),
+    Check("account_mart", "not_null", ("expansion_flag",)),
+    Check("account_mart", "not_null", ("d_score",)),
+    Check("account_mart", "not_null", ("c_score",)),
+    Check("account_mart", "not_null", ("t_score",)),
+    Check("account_mart", "not_null", ("r_score",)),
+    Check("account_mart", "not_null", ("b_score",)),
     Check("csm_mart", "unique", ("snapshot_date", "csm_id")),
-    Check("csm_mart", "relationships", ("csm_id",), ("csm_reps", "csm_id")),
+    Check("csm_mart", "not_null", ("snapshot_date",)),
+    Check("csm_mart", "not_null", ("csm_id",)),
+    Check("csm_mart", "relationships", ("csm_id",), ("stg_csm_reps", "csm_id")),
+    Check("csm_mart", "not_null", ("n_accounts",)),
+    Check("csm_mart", "not_null", ("book_arr",)),
 )
 
 
@@ -117,7 +176,10 @@ def run_generic(tables: dict[str, DataFrame], checks=GENERIC_CHECKS) -> DataFram
         if c.test in ("not_null", "accepted_values", "expression"):
             by_table.setdefault(c.table, []).append(c)
         elif c.test == "unique":
-            dup = (tables[c.table].groupBy(*c.columns).count().where("count > 1")
+            rows = tables[c.table]
+            if len(c.columns) == 1:  # a NULL is no duplicate of another; a NULL in a combination is
+                rows = rows.where(F.col(c.columns[0]).isNotNull())
+            dup = (rows.groupBy(*c.columns).count().where("count > 1")
                    .agg(F.count(F.lit(1)).alias("n_failing")))
             parts.append(_result(dup, c))
         elif c.test == "relationships":
@@ -150,17 +212,23 @@ def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig,
                  built: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Raw inputs, staging frames, intermediate models and both marts."""
     from vantage.operators.health import snapshot_health
+    from vantage.operators.calendar import snapshot_dates
     from vantage.operators.tickets import snapshot_tickets
+    from vantage.operators.usage import snapshot_usage
     st = marts.stages(frames, cfg)
     if built is None:
         am = marts.account_mart(frames, cfg, st)
         cm = marts.csm_mart(am, st.reps, cfg)
     else:
         am, cm = built
-    t = dict(frames)
+    t = frames.all() if isinstance(frames, Inputs) else dict(frames)
     t.update({
         "stg_csm_reps": st.reps, "stg_accounts": st.accounts, "stg_contracts": st.contracts,
+        "stg_daily_usage_logs": stg.stg_daily_usage_logs(frames["daily_usage_logs"]),
         "stg_support_tickets": stg.stg_support_tickets(frames["support_tickets"]),
+        "snapshot_dates": snapshot_dates(am.sparkSession, cfg),
+        "usage_windows": con.usage_in_contract(frames["daily_usage_logs"], frames["accounts"], frames["contracts"]),
+        "snapshot_usage": snapshot_usage(st.active, frames["daily_usage_logs"], frames["accounts"], cfg),
         "stg_account_health": st.health, "contract_active": st.active,
         "snapshot_tickets": snapshot_tickets(st.tickets, st.active, cfg),
         "snapshot_health": snapshot_health(st.health, cfg),
@@ -183,8 +251,9 @@ def singular_checks(t: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
     avr = F.col("avr_score")
     q1 = am.where((avr.isNotNull() & ((avr < 0) | (avr > 100))) | comp_bad)
     band, ramp = F.col("band"), F.col("is_ramp_period")
-    q2 = am.where(((avr >= 75) & (band != "Green")) | ((avr >= 50) & (avr < 75) & (band != "Yellow"))
-                  | (avr.isNotNull() & (avr < 50) & (band != "Red"))
+    green, yellow = cfg.band_green_cutoff, cfg.band_yellow_cutoff
+    q2 = am.where(((avr >= green) & (band != "Green")) | ((avr >= yellow) & (avr < green) & (band != "Yellow"))
+                  | (avr.isNotNull() & (avr < yellow) & (band != "Red"))
                   | (avr.isNull() & (band != "Onboarding")) | (ramp & (band != "Onboarding"))
                   | (~ramp & (band == "Onboarding")))
     q3 = t["stg_contracts"].where(F.col("start_date") >= F.col("end_date"))

@@ -7,6 +7,7 @@ the run configuration.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from vantage.plans import marts
 from vantage.sources.adapters import load_inputs
 
 CFG = MetricConfig()
+DRIVER_TABLES = ("region", "nation", "customer", "orders", "lineitem")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -34,7 +36,8 @@ def query(name: str):
 
 
 def inputs(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> dict[str, DataFrame]:
-    return load_inputs(spark, root, cfg)
+    """The six inputs, each built when it is asked for; health is the stored table."""
+    return load_inputs(spark, root, cfg, health=lambda: stored_health(spark, root, CFG))
 
 
 def account_mart_df(spark, root, cfg=CFG):
@@ -45,44 +48,46 @@ def marts_df(spark, root, cfg=CFG):
     return marts.build_marts(inputs(spark, root, cfg), cfg)
 
 
-_BUILT: dict[tuple, tuple[str, str]] = {}
+_READY: dict[str, str] = {}
 
 
-def _fingerprint(root: str, cfg: MetricConfig) -> str:
-    """Input identity: path, config and (when local) file sizes / mtimes."""
-    import hashlib
-    import os
-    h = hashlib.sha1(f"{os.path.abspath(root) if '://' not in root else root}|{cfg!r}".encode())
-    if "://" not in root and os.path.isdir(root):
-        for name in sorted(os.listdir(root)):
-            st = os.stat(os.path.join(root, name))
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:16]
+def store(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> str:
+    """Folder of the tables derived from `root`: below the session's shared
+    checkpoint folder, named by the configuration and by name, size and time of
+    every input file (as its own store reports them), so a changed input never
+    meets old tables. Files that can't be listed are an error."""
+    from vantage.session import ensure_checkpoint_dir
+    from vantage.sources.io import file_state
+    state = [file_state(spark, f"{root}/{t}.parquet") for t in DRIVER_TABLES]
+    key = hashlib.sha1(repr((state, cfg)).encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vantage-marts/{key}"
+
+
+def _stored(spark: SparkSession, path: str, build) -> DataFrame:
+    """The table at `path`, written by `build` unless a complete one is there."""
+    from vantage.sources.io import path_exists
+    if path not in _READY and not path_exists(spark, path + "/_SUCCESS"):
+        build(path)
+    _READY[path] = path
+    return spark.read.parquet(path)
+
+
+def stored_health(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> DataFrame:
+    """The weekly health records (M-19) as a written table: marts and reports read it instead of deriving it again."""
+    return _stored(spark, store(spark, root, cfg) + "/account_health",
+                   lambda p: load_inputs(spark, root, cfg)["account_health"].write.mode("overwrite").parquet(p))
 
 
 def materialized_marts(spark: SparkSession, root: str, cfg: MetricConfig = CFG):
-    """Both marts written once per input under the session's shared
-    checkpoint folder (marts are tables, as in the source project) and read
-    back; report queries run against these tables, which also cuts the
-    lineage back to the raw facts."""
-    from vantage.session import ensure_checkpoint_dir
+    """Both marts as written tables (as in the source project), each built once
+    for each state of the input; the rep mart is built from the account mart."""
     from vantage.sources.io import write_mart
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    key = (base, _fingerprint(root, cfg))
-    if key not in _BUILT:
-        am_path = f"{base}/vantage-marts/{key[1]}/account_mart"
-        cm_path = f"{base}/vantage-marts/{key[1]}/csm_mart"
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(cm_path + "/_SUCCESS")
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(jvm_path):
-            am, cm = marts_df(spark, root, cfg)
-            write_mart(am, am_path)
-            write_mart(spark.read.parquet(am_path).transform(
-                lambda a: marts.csm_mart(a, marts.stages(inputs(spark, root, cfg), cfg).reps, cfg)),
-                cm_path)
-        _BUILT[key] = (am_path, cm_path)
-    am_path, cm_path = _BUILT[key]
-    return spark.read.parquet(am_path), spark.read.parquet(cm_path)
+    base = store(spark, root, cfg)
+    am = _stored(spark, base + "/account_mart",
+                 lambda p: write_mart(account_mart_df(spark, root, cfg), p, only_given=False))
+    reps = stg.stg_csm_reps(load_inputs(spark, root, cfg)["csm_reps"])
+    cm = _stored(spark, base + "/csm_mart", lambda p: write_mart(marts.csm_mart(am, reps, cfg), p, only_given=False))
+    return am, cm
 
 
 # ---- staging / calendar -------------------------------------------------
@@ -155,7 +160,7 @@ def q_snapshot_tickets(spark, root):
 
 @query("derive_health")
 def q_derive_health(spark, root):
-    return inputs(spark, root)["account_health"]
+    return load_inputs(spark, root, CFG)["account_health"]
 
 
 @query("snapshot_health")

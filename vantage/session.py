@@ -40,10 +40,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder (`spark.checkpoint.dir`
     or the context's checkpoint dir); only when neither is set (local tests)
-    is a scratch folder created and registered."""
+    is a scratch folder created and registered. A cluster must name one: a
+    folder of the driver's machine would not be seen by the executors."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(
         tempfile.mkdtemp(prefix="vantage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark.sparkContext.getCheckpointDir()

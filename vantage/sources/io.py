@@ -10,10 +10,15 @@ from vantage.sources.schemas import SCHEMAS
 TABLES = tuple(SCHEMAS)
 
 
-def read_csv_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One header row, quoted newlines allowed, explicit schema, fail fast on
-    malformed rows (no inference: schema drift fails at load time)."""
-    return (spark.read.schema(SCHEMAS[table]).option("header", True).option("multiLine", True)
+def read_csv_typed(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+    """One header row, explicit types, fail fast on malformed rows (no inference).
+
+    The header's names must be the schema's in its order, else loading fails:
+    columns are never taken by position alone. Quoted line breaks need
+    `multi_line`, which reads each file in one task; without it large files are
+    split."""
+    return (spark.read.schema(SCHEMAS[table]).option("header", True).option("multiLine", multi_line)
+            .option("enforceSchema", False)
             .option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
@@ -42,20 +47,47 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 def write_raw_facts(df: DataFrame, path: str, date_col: str) -> None:
     """S-4 for the two large facts: partition by month (not by day, which
     would create hundreds of tiny directories)."""
-    df.withColumn("month", F.trunc(date_col, "month")).write.mode("overwrite") \
+    months = df.withColumn("month", F.trunc(date_col, "month"))
+    months.repartition("month", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite") \
         .partitionBy("month").parquet(path)
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """S-9: mart partitioned by snapshot_date with dynamic partition
-    overwrite, so re-running some snapshots replaces only those partitions."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("snapshot_date").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def write_mart(df: DataFrame, path: str, only_given: bool = True) -> None:
+    """S-9: mart partitioned by snapshot_date, a few files for each snapshot.
+
+    With `only_given` re-running some snapshots replaces only the partitions
+    that have rows; else the whole mart is replaced (and marked by _SUCCESS)."""
+    rows = df.repartition("snapshot_date", F.pmod(F.xxhash64(*df.columns[:2]), F.lit(4)))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_given else "static")
+     .partitionBy("snapshot_date").parquet(path))
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of every file below `path`, on whatever store it is."""
+    fs, p = _file_system(spark, path)
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Delete the partitions column=value of a written table."""
+    for v in values:
+        fs, p = _file_system(spark, f"{path.rstrip('/')}/{column}={v}")
+        if fs.exists(p):
+            fs.delete(p, True)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -70,4 +102,4 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def write_results(df: DataFrame, path: str, fmt: str = "json") -> None:
     """S-12: a check or report results frame as JSON / Parquet."""
-    df.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    df.write.mode("overwrite").format(fmt).save(path)

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.config import MetricConfig
-from vantage.plans.marts import build_marts
-from vantage.sources.io import write_mart
+from vantage.operators.staging import stg_csm_reps
+from vantage.plans.marts import account_mart, csm_mart
+from vantage.sources.io import remove_partitions, write_mart
 
 
 def affected_snapshots(changed_from: dt.date, cfg: MetricConfig) -> list[dt.date]:
@@ -32,7 +33,20 @@ def affected_snapshots(changed_from: dt.date, cfg: MetricConfig) -> list[dt.date
 
 def refresh(frames: dict[str, DataFrame], cfg: MetricConfig, account_path: str, csm_path: str,
             snapshots: list[dt.date]) -> None:
-    am, cm = build_marts(frames, cfg)
+    """Rebuild the named snapshots in both written marts.
+
+    The calendar is narrowed to the named snapshots and the one before (the
+    ticket trend looks back by one). Accounts that have vanished from a snapshot
+    vanish from its partition, and a snapshot without any row loses it. The rep
+    mart is built from the account mart as written."""
+    spark = frames["accounts"].sparkSession
+    before = min(snapshots).replace(day=1) - dt.timedelta(days=1)
+    narrow = cfg.with_(snapshot_start=max(before, cfg.snapshot_start), snapshot_end=max(snapshots))
     keep = F.col("snapshot_date").isin([F.lit(s) for s in snapshots])
-    write_mart(am.where(keep), account_path)
-    write_mart(cm.where(keep), csm_path)
+    new = account_mart(frames, narrow).where(keep)
+    write_mart(new, account_path)
+    # a partition that got no row was left alone by the overwrite
+    left = {r[0] for r in new.select("snapshot_date").distinct().collect()}
+    remove_partitions(spark, account_path, "snapshot_date", [s for s in snapshots if s not in left])
+    mart = spark.read.schema(new.schema).parquet(account_path).where(keep)
+    write_mart(csm_mart(mart, stg_csm_reps(frames["csm_reps"]), narrow).where(keep), csm_path)
