@@ -121,8 +121,8 @@ def band_v1(score: Column, cfg: MetricConfig) -> Column:
 
 
 def pct_red_band(pct_red: Column) -> Column:
-    """M-22: inverted band for a "% Red" figure (lower is better)."""
-    return F.when(pct_red <= 25, "Green").when(pct_red <= 50, "Yellow").otherwise("Red")
+    """M-22: inverted band for a "% Red" figure (lower is better); NULL has no band."""
+    return F.when(pct_red.isNull(), F.lit(None).cast("string")).when(pct_red <= 25, "Green").when(pct_red <= 50, "Yellow").otherwise("Red")
 
 
 def score_tenths(score: Column) -> Column:

@@ -104,7 +104,7 @@ def q_stg_tickets(spark, root):
 
 @query("snapshot_dates")
 def q_snapshot_dates(spark, root):
-    return cal.snapshot_dates(spark, CFG)
+    return cal.snapshot_dates_of(inputs(spark, root)["contracts"])
 
 
 # ---- joins --------------------------------------------------------------

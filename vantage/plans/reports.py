@@ -61,11 +61,14 @@ def kpis(mart: DataFrame, fs: FilterSet, snapshots: list) -> DataFrame:
     """R-6 headline KPIs for each requested snapshot under the same filters."""
     f = mart.where(account_filter(fs, with_snapshot=False)
                    & F.col("snapshot_date").isin([lit_date(s) for s in snapshots]))
-    out = f.groupBy("snapshot_date").agg(
+    # a snapshot whose selection is empty still has its row: zeros, and averages of nothing
+    asked = mart.sparkSession.range(1).select(
+        F.explode(F.array(*[lit_date(s) for s in snapshots])).alias("snapshot_date"))
+    out = asked.join(f, "snapshot_date", "left").groupBy("snapshot_date").agg(
         F.countDistinct("account_id").alias("n_accounts"),
-        F.sum("annual_commit_dollars").alias("book_arr"),
+        F.coalesce(F.sum("annual_commit_dollars"), F.lit(0)).alias("book_arr"),
         tenths_avg().alias("avg_avr"),
-        F.try_divide(F.count_if(F.col("band") == "Red"), F.count(F.lit(1))).alias("pct_red"),
+        F.try_divide(F.count_if(F.col("band") == "Red"), F.count("account_id")).alias("pct_red"),
         F.count_if("expansion_flag").alias("n_expansion_opps"),
         F.sum(F.when(F.col("expansion_flag"), F.col("annual_commit_dollars")).otherwise(0))
          .alias("expansion_pipeline_arr"),
@@ -164,7 +167,8 @@ def csm_leaderboard(csm: DataFrame, fs: FilterSet, mart: DataFrame | None = None
                    round_half_up(F.col("pct_red") * 100.0, 1).alias("pct_red"),
                    "n_expansion_opps", "expansion_pipeline_arr")
     top = F.max("avg_avr").over(Window.partitionBy(F.lit(1)))
-    return out.withColumn("is_leader", F.coalesce(F.col("avg_avr") == top, F.lit(False)))
+    return out.withColumn("is_leader", F.coalesce(F.col("avg_avr") == top, F.lit(False))).orderBy(
+        F.col("avg_avr").desc_nulls_last(), "csm_id")
 
 
 def book_gap(mart: DataFrame, fs: FilterSet) -> DataFrame:
@@ -187,12 +191,20 @@ def book_gap(mart: DataFrame, fs: FilterSet) -> DataFrame:
                      .when(gap.isNotNull(), "balanced").alias("interpretation")))
 
 
-def csm_gap_details(csm: DataFrame, fs: FilterSet, min_abs_gap: float = GAP_THRESHOLD) -> DataFrame:
-    """R-12: reps whose (rounded) weighted-minus-average gap is large."""
+def csm_gap_details(csm: DataFrame, fs: FilterSet, min_abs_gap: float = GAP_THRESHOLD,
+                    mart: DataFrame | None = None) -> DataFrame:
+    """R-12: reps whose (rounded) weighted-minus-average gap is large, narrowed
+    like the leaderboard by region, rep and the owners of chosen accounts."""
     f = csm.where((F.col("snapshot_date") == lit_date(fs.snapshot_date)) & (F.col("n_accounts") > 0)
                   & F.col("arr_weighted_avr").isNotNull())
     if fs.regions:
         f = f.where(F.col("region").isin(list(fs.regions)))
+    if fs.csm_ids:
+        f = f.where(F.col("csm_id").isin(list(fs.csm_ids)))
+    if mart is not None and (fs.account_ids or fs.segments):
+        own = mart.where(account_filter(FilterSet(snapshot_date=fs.snapshot_date, segments=fs.segments,
+                                                  account_ids=fs.account_ids)))
+        f = f.join(own.select(F.col("rep_id").alias("csm_id")).distinct(), "csm_id", "left_semi")
     gap = round_half_up(F.col("arr_weighted_avr") - F.col("avg_avr"), 1)
     return (f.select("csm_id", "csm_name", "region", "n_accounts", "book_arr",
                      round_half_up(F.col("avg_avr"), 1).alias("avg_avr"),
@@ -488,8 +500,9 @@ def q_book_gap(spark, root):
 
 @query("csm_gap_details")
 def q_csm_gap(spark, root):
-    _, _, cm = _marts(spark, root)
-    return csm_gap_details(cm, default_filter())
+    _, am, cm = _marts(spark, root)
+    fs = FilterSet(snapshot_date=REPORT_SNAPSHOT, csm_ids=tuple(range(1, 21)), segments=("Mid-Market",))
+    return csm_gap_details(cm, fs, 0.5, am)
 
 
 @query("expansion_opps")
