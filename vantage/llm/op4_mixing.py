@@ -108,3 +108,46 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], bud
               .where("copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int")))))
     out = chosen.select(*names, "domain", "_epoch", "_tokens")
     return out.toDF(*docs.columns, "_domain", "_epoch", "_tokens")
+
+
+def oracle(domain_sql: str, weights: dict[str, dict[str, int]], budget_share: float, max_epochs: int, seed: int) -> str:
+    """DuckDB SQL of a mixing run: doc_id, epoch, domain, lang, source, n_tokens of `documents`."""
+
+    def level(depth: int) -> str:
+        name, parent = LEVELS[depth - 1], LEVELS[:depth - 1]
+        keys, by = ", ".join(LEVELS[:depth]), f"PARTITION BY {', '.join(parent)}" if parent else ""
+        given = (f"JOIN b{depth - 1} p USING ({', '.join(parent)})" if parent else
+                 f"CROSS JOIN (SELECT CAST(floor(sum(tokens) * {budget_share}::DOUBLE) AS BIGINT) AS budget FROM leaf) p")
+        case = " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.get(name, {}).items())
+        weight_sql = f"CASE {name} {case} ELSE 1 END" if case else "1"
+        return f"""
+n{depth} AS (SELECT {keys}, cap, given, weight, sum(cap) OVER ({by} ORDER BY cap / weight, {name}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cap AS used,
+                    sum(weight) OVER ({by} ORDER BY cap / weight DESC, {name} DESC
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w
+            FROM (SELECT {keys}, sum(tokens) * {max_epochs} AS cap, any_value(p.budget) AS given, {weight_sql} AS weight
+                  FROM leaf {given} GROUP BY {keys}) x),
+f{depth} AS (SELECT *, cap * w <= weight * (given - used) AS is_full FROM n{depth}),
+r{depth} AS (SELECT *, given - coalesce(sum(cap) FILTER (WHERE is_full) OVER ({by}), 0) AS rest,
+                    sum(weight) FILTER (WHERE NOT is_full) OVER ({by}) AS ws FROM f{depth}),
+s{depth} AS (SELECT *, if(is_full, NULL, (rest * weight) // ws) AS part,
+                    count(*) FILTER (WHERE NOT is_full) OVER ({by} ORDER BY {name}) AS nth FROM r{depth}),
+b{depth} AS (SELECT {keys}, CAST(if(is_full, cap, part + CAST(nth <= rest - sum(part) OVER ({by}) AS INTEGER)) AS BIGINT) AS budget
+            FROM s{depth})"""
+
+    return f"""
+WITH d AS (SELECT doc_id, lang AS own_lang, source AS own_source, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  {domain_sql} AS domain, CAST(CASE WHEN length(text) > 0 THEN
+                    length(text) - length(translate(text, ' ' || chr(10), '')) + 1 ELSE 0 END AS BIGINT) AS n_tokens
+           FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY ALL),{level(1)},{level(2)},{level(3)},
+plan AS (SELECT domain, lang, source, budget // tokens AS whole, budget % tokens AS rest
+         FROM b3 JOIN leaf USING (domain, lang, source) WHERE tokens > 0),
+keyed AS (SELECT d.*, whole, rest, md5(concat_ws(':', {seed}, whole, coalesce(CAST(doc_id AS VARCHAR), ''))) AS k
+          FROM d JOIN plan USING (domain, lang, source)),
+placed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k
+                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS before FROM keyed)
+SELECT doc_id, CAST(unnest(range(CAST(whole + CAST(before < rest AS INTEGER) AS BIGINT))) AS INTEGER) AS epoch, domain,
+       own_lang AS lang, own_source AS source, n_tokens
+FROM placed
+"""
