@@ -394,38 +394,49 @@ def distribution_checks(frames: dict[str, DataFrame], cfg: MetricConfig) -> Data
     return out.select("check_id", "actual", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"))
 
 
+def daily_usage(usage: DataFrame) -> DataFrame:
+    """Logs and credits by (account, day): the reduction before any join on the account."""
+    return usage.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n_logs"),
+                                                   F.sum("compute_credits_consumed").alias("credits"))
+
+
 def monthly_vs_allotment(frames: dict[str, DataFrame]) -> DataFrame:
     """(account, month, allotment) usage totals, counting a log once per
     covering contract (as the source check does)."""
-    u = frames["daily_usage_logs"]
+    u = daily_usage(frames["daily_usage_logs"])
     c = frames["contracts"].select(F.col("account_id").alias("c_acc"), "start_date", "end_date",
                                    "included_monthly_compute_credits")
     j = u.join(c, (u.account_id == c.c_acc) & u.date.between(c.start_date, c.end_date))
     return (j.groupBy("account_id", F.trunc("date", "month").alias("ym"),
                       "included_monthly_compute_credits")
-            .agg(F.sum("compute_credits_consumed").alias("credits")))
+            .agg(F.sum("credits").alias("credits")))
+
+
+# Thresholds of the edge-case cohorts, and how many of each the source's data set must hold.
+COHORT_RULES = {"spike_share": 0.85, "spike_days": 30, "overage": 1.20, "approach": 0.80, "months": 6}
+EDGE_CASE_MINIMA = {"EC-1": 45, "EC-2": 90, "EC-3": 140, "EC-4": 25, "EC-5a": 150, "EC-5b": 75, "EC-6": 70}
 
 
-def usage_cohorts(frames: dict[str, DataFrame]) -> DataFrame:
+def usage_cohorts(frames: dict[str, DataFrame], rules: dict = COHORT_RULES) -> DataFrame:
     """Edge-case cohort labels per contracted account (EC-1..EC-4, EC-6)."""
     ctr = frames["contracts"]
-    usage = frames["daily_usage_logs"]
+    usage = daily_usage(frames["daily_usage_logs"])
     accts = ctr.select("account_id").distinct()
     first = (ctr.groupBy("account_id").agg(F.min(F.struct("start_date", "contract_id")).alias("f"))
              .select("account_id", F.col("f.start_date").alias("first_start")))
     uw = usage.join(first, "account_id")
     off = F.datediff("date", "first_start")
     spike = (uw.groupBy("account_id")
-             .agg(F.sum(F.when(off.between(0, 29), F.col("compute_credits_consumed")).otherwise(0))
-                  .alias("m1"), F.sum("compute_credits_consumed").alias("tot"))
-             .select("account_id", F.coalesce(F.try_divide("m1", "tot"), F.lit(0.0)) >= 0.85)
+             .agg(F.sum(F.when(off.between(0, rules["spike_days"] - 1), F.col("credits")).otherwise(0))
+                  .alias("m1"), F.sum("credits").alias("tot"))
+             .select("account_id", F.coalesce(F.try_divide("m1", "tot"), F.lit(0.0)) >= rules["spike_share"])
              .toDF("account_id", "is_spike_drop"))
     used = usage.select("account_id").distinct().withColumn("has_usage", F.lit(True))
     m = monthly_vs_allotment(frames)
     allot = F.col("included_monthly_compute_credits")
     months = m.groupBy("account_id").agg(
-        F.count_if(F.col("credits") >= allot * 1.20).alias("over_months"),
-        F.count_if((F.col("credits") >= allot * 0.80) & (F.col("credits") < allot * 1.20))
+        F.count_if(F.col("credits") >= allot * rules["overage"]).alias("over_months"),
+        F.count_if((F.col("credits") >= allot * rules["approach"]) & (F.col("credits") < allot * rules["overage"]))
          .alias("approach_months"))
     adj = con.adjacent_overlap_accounts(ctr).withColumn("has_adjacent_overlap", F.lit(True))
     out = (accts.join(spike, "account_id", "left").join(used, "account_id", "left")
@@ -434,11 +445,55 @@ def usage_cohorts(frames: dict[str, DataFrame]) -> DataFrame:
         "account_id",
         F.coalesce("is_spike_drop", F.lit(False)).alias("is_spike_drop"),
         F.col("has_usage").isNull().alias("is_shelfware"),
-        (F.coalesce("over_months", F.lit(0)) >= 6).alias("is_overage"),
-        (F.coalesce("approach_months", F.lit(0)) >= 6).alias("is_approaching_cap"),
+        (F.coalesce("over_months", F.lit(0)) >= rules["months"]).alias("is_overage"),
+        (F.coalesce("approach_months", F.lit(0)) >= rules["months"]).alias("is_approaching_cap"),
         F.coalesce("has_adjacent_overlap", F.lit(False)).alias("has_adjacent_overlap"))
 
 
+def edge_case_checks(frames: dict[str, DataFrame], minima: dict[str, int] = EDGE_CASE_MINIMA) -> DataFrame:
+    """Q-17..Q-23: how many accounts or logs show each edge case, against the
+    minimum asked for. EC-5b (Q-22) compares a known account's logs with the
+    span from its first contract's start to its last contract's end (A-18)."""
+    labels = {"EC-1": "is_spike_drop", "EC-2": "is_shelfware", "EC-3": "is_overage", "EC-4": "has_adjacent_overlap",
+              "EC-6": "is_approaching_cap"}
+    days = daily_usage(frames["daily_usage_logs"])
+    known = frames["accounts"].select("account_id")
+    span = frames["contracts"].groupBy("account_id").agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
+    logs = lambda df, name: df.agg(F.coalesce(F.sum("n_logs"), F.lit(0)).alias("actual")).select(
+        F.lit(name).alias("check_id"), "actual")
+    cohorts = usage_cohorts(frames).agg(*[F.count_if(c).alias(c) for c in labels.values()])
+    rows = cohorts.select(F.expr("stack(%d, %s)" % (len(labels), ", ".join(f"'{k}', {c}" for k, c in labels.items())))
+                          .alias("check_id", "actual"))
+    outside = days.join(known, "account_id", "left_semi").join(span, "account_id").where(
+        (F.col("date") < F.col("lo")) | (F.col("date") > F.col("hi")))
+    rows = (rows.unionByName(logs(days.join(known, "account_id", "left_anti"), "EC-5a"))
+            .unionByName(logs(outside, "EC-5b")))
+    least = F.create_map(*[F.lit(x) for kv in minima.items() for x in kv])[F.col("check_id")].cast("bigint")
+    return rows.select("check_id", F.col("actual").cast("bigint").alias("actual"), least.alias("minimum"),
+                       F.when(F.col("actual") >= least, "PASS").otherwise("FAIL").alias("status"))
+
+
+def preload_summary(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
+    """Q-29: roll-up of all 26 checks before a load."""
+    parts = [row_counts(frames), fk_fractions(frames), segment_checks(frames), edge_case_checks(frames),
+             distribution_checks(frames, cfg)]
+    out = parts[0].select("check_id", "status")
+    for p in parts[1:]:
+        out = out.unionByName(p.select("check_id", "status"))
+    return overall(out)
+
+
+def reconcile_formulas(mart: DataFrame, single: DataFrame, snapshot) -> DataFrame:
+    """Q-30: the current formula's bands and flags against the older one's on one date, by pair of bands."""
+    now = mart.where(F.col("snapshot_date") == lit_date(snapshot)).select(
+        "account_id", F.col("band").alias("current_band"), F.col("expansion_flag").alias("f"))
+    old = single.select("account_id", F.col("band").alias("v1_band"), F.col("expansion_flag").alias("g"))
+    both = now.join(old, "account_id", "full")
+    return both.groupBy("current_band", "v1_band").agg(
+        F.count(F.lit(1)).alias("n_accounts"), F.count_if("f").alias("n_flag_current"),
+        F.count_if("g").alias("n_flag_v1"), F.count_if(F.col("f") & F.col("g")).alias("n_flag_both"))
+
+
 def metric_smoke(scored: DataFrame) -> DataFrame:
     """Q-28: MET-1 >= 3 bands present, MET-2 >= 50 zero-D/C/B accounts Red,
     MET-3 >= 50 expansion flags (on the single-date result)."""
@@ -514,3 +569,20 @@ def q_metric_smoke(spark, root):
 
 __all__ = ["Check", "GENERIC_CHECKS", "run_generic", "singular_checks", "usage_cohorts",
            "metric_smoke", "overall", "Window"]
+
+
+@query("dq_edge_cases")
+def q_dq_edge_cases(spark, root):
+    return edge_case_checks(inputs(spark, root))
+
+
+@query("dq_preload")
+def q_dq_preload(spark, root):
+    return preload_summary(inputs(spark, root), CFG)
+
+
+@query("formula_reconciliation")
+def q_formula_reconciliation(spark, root):
+    v1 = MetricConfig.v1(scoring_date=CFG.scoring_date)
+    return reconcile_formulas(materialized_marts(spark, root, CFG)[0],
+                              marts.point_in_time(inputs(spark, root, v1), v1), CFG.scoring_date)
