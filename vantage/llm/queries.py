@@ -13,6 +13,7 @@ from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
 from vantage.llm.op2_token_files import token_index
 from vantage.llm.op3_decontaminate import find_leaks
 from vantage.llm.op4_mixing import mix
+from vantage.llm.op4_mixing import oracle as mixing_oracle
 from vantage.llm.op5_suffix_dedup import remove_repeats
 from vantage.llm.op6_sharding import shard_documents
 from vantage.llm.op7_vantage_point import nearest
@@ -43,6 +44,10 @@ def mix_domain() -> Column:
             .when(F.substring(number, -1, 1).isin("1", "3", "5", "7", "9"), "reference").otherwise("forum"))
 
 
+MIX_DOMAIN_SQL = """CASE WHEN source = 'src0' THEN 'web' WHEN regexp_extract(source, '^src([0-9]+)$', 1) = '' THEN 'other'
+                       WHEN right(source, 1) IN ('1', '3', '5', '7', '9') THEN 'reference' ELSE 'forum' END"""
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), mix_domain(), MIX_WEIGHTS, budget_share=0.5, max_epochs=2, seed=11)
     return mixed.select("doc_id", F.col("_epoch").alias("epoch"), F.col("_domain").alias("domain"), "lang", "source",
@@ -73,6 +78,12 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it builds on this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_token_files": op2_token_files,
@@ -84,8 +95,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_order_minhash": op10_order_minhash,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_mixing": mixing_oracle(MIX_DOMAIN_SQL, MIX_WEIGHTS, 0.5, 2, 11),
     "op8_licenses": license_oracle(),
 }
