@@ -14,10 +14,16 @@ m aligned shingles of a and b give similarity m / (a + b - m). Drift beyond the
 band cannot reach the threshold, so the band loses nothing. Links form
 connected components, and a component's smallest doc_id names it.
 
-Lists shared by up to `small` classes are compared pair by pair. In larger
-ones (groups of thousands of copies) every class meets leaders only: first the
-smallest class of the list, then, for those that no leader matched, 8 leaders,
-64, and so on until none is left. Nothing is capped.
+A list that many classes share is never paired in full. First every class of a
+list meets one leader, the class that shares most lists with others: in a group
+of copies that is the text they were made from, or one close to it. From then on
+only lists whose classes do not all lead to one root (along links to leaders)
+matter, and only pairs with different roots are compared: all of them in lists of
+up to `small` classes; in larger ones 8 leaders of the list, then 512, and so on,
+until every class of the list has led or all have one root. So a comparison is
+skipped only if both classes are known to be connected, or
+if the counts of shingles and their odd bits (see `odd_bits`) rule the threshold
+out.
 """
 
 from __future__ import annotations
@@ -32,6 +38,7 @@ from vantage.llm.components import components
 from vantage.llm.textops import Words, mix64, shingles
 
 SEEDS = 0xC2B2AE3D27D4EB4F
+ODD_BITS = 1024
 
 
 def _fold(h: np.ndarray, offs: np.ndarray, factor: int) -> np.ndarray:
@@ -57,10 +64,21 @@ def _labelled(h: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return mix64(h + nth * np.uint64(SEEDS))
 
 
-def sketch(h: np.ndarray, offs: np.ndarray, bands: int, picks: int) -> np.ndarray:
+def odd_bits(labelled: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """For each of `ODD_BITS` parts of the labelled shingles, whether the text holds an odd number: (texts, longs).
+
+    A shingle that only one of two texts holds turns one bit, so the bits in
+    which two texts differ are no more than the shingles in which they differ."""
+    owner = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    part = (labelled & np.uint64(ODD_BITS - 1)).astype(np.int64)
+    odd = np.bincount(owner * ODD_BITS + part, minlength=(len(offs) - 1) * ODD_BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(-1, ODD_BITS), axis=1).view(np.int64)
+
+
+def sketch(labelled: np.ndarray, offs: np.ndarray, bands: int, picks: int) -> np.ndarray:
     """Order MinHash lists of non-empty runs, each folded into one value: (texts, bands)."""
     n = np.diff(offs)
-    labelled, out = _labelled(h, offs), np.zeros((len(n), bands), np.uint64)
+    out = np.zeros((len(n), bands), np.uint64)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     for b in range(bands):
         v = mix64(labelled ^ np.uint64((SEEDS * (2 * b + 1)) & 0xFFFFFFFFFFFFFFFF))
@@ -68,7 +86,7 @@ def sketch(h: np.ndarray, offs: np.ndarray, bands: int, picks: int) -> np.ndarra
         for _ in range(picks):
             least = np.minimum.reduceat(v, offs[:-1])
             hit = np.flatnonzero(v == np.repeat(least, n))
-            at = np.full(len(n), len(h))
+            at = np.full(len(n), len(labelled))
             at[np.searchsorted(offs, hit, "right")[::-1] - 1] = hit[::-1]
             v[at] = top
             where.append(at)
@@ -87,7 +105,7 @@ def _keys(words: Words) -> list[bytes | None]:
 
 
 def signatures(docs: DataFrame, bands: int, picks: int, k: int) -> DataFrame:
-    """doc_id, key (16 bytes: the text's words; null without any word), n (shingles), lists."""
+    """doc_id, tag (a hash of the text), key (16 bytes: its words; null without any word), n (shingles), lists, odd."""
 
     def sign(batches):
         for part in text_slices(batches, "text", 2 << 20):
@@ -95,17 +113,20 @@ def signatures(docs: DataFrame, bands: int, picks: int, k: int) -> DataFrame:
             h, offs = shingles(words, k)
             n = np.diff(offs)
             full = np.flatnonzero(n)
-            lists = np.zeros((len(n), bands), np.uint64)
+            lists, odd = np.zeros((len(n), bands), np.uint64), np.zeros((len(n), ODD_BITS // 64), np.int64)
             if len(full):
-                lists[full] = sketch(h, np.concatenate([[0], np.cumsum(n[full])]), bands, picks)
+                ends = np.concatenate([[0], np.cumsum(n[full])])
+                labelled = _labelled(h, ends)
+                lists[full], odd[full] = sketch(labelled, ends, bands, picks), odd_bits(labelled, ends)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(_keys(words), pa.binary()), pa.array(n.astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands),
-                                          pa.array(lists.ravel().view(np.int64)))],
-                names=["doc_id", "key", "n", "lists"])
+                [part.column("doc_id"), part.column("tag"), pa.array(_keys(words), pa.binary()), pa.array(n.astype(np.int32)),
+                 *(pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * x.shape[1]),
+                                            pa.array(x.ravel().view(np.int64))) for x in (lists, odd))],
+                names=["doc_id", "tag", "key", "n", "lists", "odd"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, key binary, n int, lists array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tag")).mapInArrow(
+        sign, f"doc_id {kind}, tag long, key binary, n int, lists array<long>, odd array<long>")
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> int:
@@ -152,7 +173,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> int:
 
 
 def _tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, seq (32 bits of each word's hash, in text order) of the classes in `wanted` (doc_id, key)."""
+    """key, seq (32 bits of each word's hash, in text order) of the classes in `wanted` (w_id, w_tag, key)."""
 
     def cut(batches):
         done = set()  # of a row that repeats a task passes on one copy
@@ -160,15 +181,17 @@ def _tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             words = Words(part.column("text"))
             raw = (words.hash >> np.uint64(32)).astype(np.uint32).tobytes()
             keys, seqs = [], []
-            for key, own, s, e in zip(part.column("key").to_pylist(), _keys(words), words.offsets, words.offsets[1:]):
-                if key == own and key not in done:  # not another text under the same doc_id
+            for key, s, e in zip(part.column("key").to_pylist(), words.offsets, words.offsets[1:]):
+                if key not in done:
                     done.add(key)
                     keys.append(key)
                     seqs.append(raw[4 * s:4 * e])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(seqs, pa.binary())],
                                              names=["key", "seq"])
 
-    return docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(cut, "key binary, seq binary")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
+    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("tag") == F.col("w_tag"))
+    return rows.join(wanted, same).select("text", "key").mapInArrow(cut, "key binary, seq binary")
 
 
 def _runs(seq, k: int) -> np.ndarray:
@@ -188,88 +211,132 @@ def similarity(x: np.ndarray, y: np.ndarray, threshold: float) -> float:
 
 
 def _verify(pairs: DataFrame, tokens: DataFrame, threshold: float, k: int) -> DataFrame:
-    """The pairs (key, leader) whose alignment reaches the threshold."""
+    """The pairs (key, leader, w) whose alignment reaches the threshold."""
 
     def check(batches):
         for part in batches:
             good = [i for i, (x, y) in enumerate(zip(part.column("a"), part.column("b")))
                     if similarity(_runs(x.as_buffer(), k), _runs(y.as_buffer(), k), threshold)]
             yield pa.RecordBatch.from_arrays([part.column(c).take(pa.array(good, pa.int64()))
-                                              for c in ("key", "leader")], names=["key", "leader"])
+                                              for c in ("key", "leader", "w")], names=["key", "leader", "w"])
 
     a = tokens.select("key", F.col("seq").alias("a"))
     b = tokens.select(F.col("key").alias("leader"), F.col("seq").alias("b"))
-    return pairs.join(a, "key").join(b, "leader").select("key", "leader", "a", "b").mapInArrow(
-        check, "key binary, leader binary").distinct()
-
-
-def _pairs(members: DataFrame, slots: int, small: int, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Candidate pairs of small lists, those of classes with leaders of the other lists, and these leaders."""
-    counted = members.join(members.groupBy("band", "list").agg(F.count("*").alias("size")), ["band", "list"])
-    few = counted.where(F.col("size") <= small)
-    other = few.select("band", "list", F.col("key").alias("leader"), F.col("n").alias("m"))
-    near = F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9  # lengths that can reach it at all
-    whole = few.join(other, ["band", "list"]).where((F.col("leader") < F.col("key")) & near)
-    many = counted.where(F.col("size") > small).drop("size")
+    return pairs.join(a, "key").join(b, "leader").select("key", "leader", "w", "a", "b").mapInArrow(
+        check, "key binary, leader binary, w long")
+
+
+def _near(threshold: float):
+    """Whether two classes can reach the threshold at all, by their shingle counts n and m and their odd bits.
+
+    Similarity t leaves (n + m) (1 - t) / (1 + t) shingles that only one of them has, at most."""
+    differ = F.aggregate(F.zip_with("odd", "far_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                         lambda s, x: s + x)
+    return (F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9) & (
+        differ <= (F.col("n") + F.col("m")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
+
+
+def _led(members: DataFrame, slots: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs of classes with the leaders of their lists, these leaders): one leader for each of `slots` parts of a list."""
     slot = F.pmod(F.xxhash64("key", F.lit(slots)), F.lit(slots))
-    leaders = many.groupBy("band", "list", slot.alias("slot")).agg(F.min(F.struct("key", "n")).alias("lead")).select(
-        "band", "list", F.col("lead.key").alias("leader"), F.col("lead.n").alias("m"))
-    led = many.join(leaders, ["band", "list"]).where((F.col("leader") != F.col("key")) & near)
-    return (whole.select("key", "leader"), led.select("band", "list", "key", "leader"),
-            leaders.select("band", "list", F.col("leader").alias("key")))
+    leaders = members.groupBy("band", "list", slot.alias("slot")).agg(
+        F.max(F.struct("weight", "key", "n", "root", "odd")).alias("lead")).select(
+        "band", "list", F.col("lead.key").alias("leader"), F.col("lead.weight").alias("w"), F.col("lead.n").alias("m"), F.col("lead.root").alias("far"),
+        F.col("lead.odd").alias("far_odd"))
+    pairs = members.join(leaders, ["band", "list"]).where((F.col("far") != F.col("root")) & _near(threshold))
+    return pairs.select("key", "leader", "w"), leaders.select("band", "list", F.col("leader").alias("key"))
+
+
+def _whole(members: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of (small) lists across roots; the heavier class of a pair is its leader."""
+    other = members.select("band", "list", F.col("key").alias("leader"), F.col("weight").alias("w"), F.col("n").alias("m"),
+                           F.col("root").alias("far"), F.col("odd").alias("far_odd"))
+    pairs = members.join(other, ["band", "list"]).where(
+        ((F.col("w") > F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("leader") > F.col("key"))))
+        & (F.col("far") != F.col("root")) & _near(threshold))
+    return pairs.select("key", "leader", "w")
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """(key, root): where two rounds of pointer jumping lead from each linked class, by its heaviest leader.
+
+    Classes with one root are connected; connected ones may still have two."""
+    up = links.groupBy("key").agg(F.max(F.struct("w", "leader")).alias("up")).select("key", F.col("up.leader").alias("root"))
+    for _ in range(2):
+        on = up.select(F.col("key").alias("root"), F.col("root").alias("next"))
+        up = up.join(on, "root", "left").select("key", F.coalesce("next", "root").alias("root"))
+    return up
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, picks: int = 3,
                     small: int = 16) -> tuple[DataFrame, DataFrame]:
-    """(membership, links): doc_id, key, class_id of every row; verified links between classes (key, leader).
-
-    Texts with the same words share a key. A text without words (null, empty)
-    has no key and is never a duplicate: its class is its own doc_id. A text of
-    fewer than k words has one shingle of all its words. Rows that repeat a
-    doc_id with other words are told apart by their words, not by their id.
-    Other columns of `docs` are not read."""
+    """(membership, links): doc_id, tag, class_id, kept of every row; verified links between classes (key, leader).
+
+    class_id is the smallest doc_id of the class. Texts with the same words
+    share a class from the start. A text without words (null, empty) is never a
+    duplicate: its class is its own doc_id. A text of fewer than k words has
+    one shingle of all its words. `kept` marks the row that stands for its
+    class; rows that repeat both doc_id and text of that row are marked too.
+    Rows that repeat a doc_id with another text are told apart by `tag`, a hash
+    of the text. A null doc_id is smaller than any other. Other columns of
+    `docs` are not read."""
     signed = materialize(signatures(docs, bands, picks, k), "signed")
+    one = F.min(F.struct("doc_id", "tag"))
     classes = materialize(signed.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("lists").alias("lists")), "classes")
-    lists = classes.select("key", "n", F.posexplode("lists").alias("band", "list"))
-    shared = lists.groupBy("band", "list").agg(F.count("*").alias("_size")).where("_size > 1").select("band", "list")
-    members = materialize(lists.join(shared, ["band", "list"], "left_semi"), "members")
-    wanted = classes.select("doc_id", "key").join(members.select("key").distinct(), "key", "left_semi")
+        one.alias("rep"), F.first("n").alias("n"), F.first("lists").alias("lists"), F.first("odd").alias("odd")), "classes")
+    lists = classes.select("key", "n", "odd", F.posexplode("lists").alias("band", "list"))
+    shared = lists.groupBy("band", "list").agg(F.count("*").alias("size")).where("size > 1")
+    met = materialize(lists.join(shared, ["band", "list"]), "met")
+    weights = met.groupBy("key").agg(F.sum("size").alias("weight"))
+    members = materialize(met.drop("size").join(weights, "key").withColumn("root", F.col("key")), "members")
+    wanted = classes.join(weights, "key", "left_semi").select(
+        F.col("rep.doc_id").alias("w_id"), F.col("rep.tag").alias("w_tag"), "key")
     tokens = materialize(_tokens(docs, wanted), "tokens")
-    links, tried, slots = [], None, 1
+    pairs = _led(members, 1, threshold)[0]
+    links, tried, slots = None, None, 8
     while True:
-        whole, led, leaders = _pairs(members, slots, small, threshold)
-        led = materialize(led, "led")
-        fresh = whole.unionAll(led.select("key", "leader")).distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["key", "leader"], "left_anti")
-        fresh = materialize(fresh, "fresh")
+        fresh = pairs.distinct()  # a pair always has the same leader: the one with more weight
+        fresh = materialize(fresh.join(tried, ["key", "leader"], "left_anti") if tried is not None else fresh, "fresh")
         good = materialize(_verify(fresh, tokens, threshold, k), "good")
-        links.append(good)
         tried = fresh if tried is None else tried.unionAll(fresh)
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionAll(more)
-        met = led.join(every, ["key", "leader"], "left_semi").select("band", "list", "key").unionAll(leaders)
-        # classes of large lists that neither led nor matched a leader go on
-        large = members.join(members.groupBy("band", "list").agg(F.count("*").alias("size"))
-                             .where(F.col("size") > small), ["band", "list"], "left_semi")
-        members = materialize(large.join(met, ["band", "list", "key"], "left_anti"), "members")
+        links = good if links is None else links.unionAll(good)
+        members = members.drop("root").join(_roots(links), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        open_ = members.groupBy("band", "list").agg(F.min("root").alias("_a"), F.max("root").alias("_z"),
+                                                    F.count("*").alias("size")).where("_a != _z")
+        members = materialize(members.join(open_.select("band", "list", "size"), ["band", "list"]), "members")
         if members.limit(1).count() == 0:
             break
-        slots *= 8
-    roots = components(every, "key", "leader")
-    named = classes.select("key", "doc_id").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "doc_id", F.coalesce("root", "key").alias("root"))
-    names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    by_key = materialize(named.join(names, "root").select("key", "class_id"), "class-names")
-    member = signed.select("doc_id", "key").join(by_key, "key", "left").select(
-        "doc_id", "key", F.coalesce("class_id", "doc_id").alias("class_id"))
-    return member, every
+        large = members.where(F.col("size") > small).drop("size")
+        led, leaders = _led(large, slots, threshold)
+        pairs = _whole(members.where(F.col("size") <= small).drop("size"), threshold).unionAll(led)
+        # a leader has met its list; small lists are done
+        members = large.join(leaders, ["band", "list", "key"], "left_anti")
+        slots *= 64
+    roots = components(links, "key", "leader")
+    named = classes.select("key", "rep").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+        "key", "rep", F.coalesce("root", "key").alias("root"))
+    names = named.groupBy("root").agg(F.min("rep").alias("best"))
+    by_key = materialize(named.join(names, "root").select("key", "best"), "class-names")
+    own = F.struct("doc_id", "tag")
+    member = signed.select("doc_id", "tag", "key").join(by_key, "key", "left").select(
+        "doc_id", "tag", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"),
+        (F.col("best").isNull() | own.eqNullSafe(F.col("best"))).alias("kept"))
+    return member, links
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, class_id and kept (the row that stands for its class) of every row of `docs`."""
-    member, _ = near_duplicates(docs, threshold)
-    return member.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"),
-                                                          F.col("class_id").isNull()).alias("kept"))
+    """doc_id, class_id and kept (see `near_duplicates`) of every row of `docs`."""
+    return near_duplicates(docs, threshold)[0].select("doc_id", "class_id", "kept")
+
+
+def keep_representatives(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """One row of `docs` for each near-duplicate class; the columns stay.
+
+    The row that `near_duplicates` marks stays, once if it repeats. Texts
+    without words are no duplicates: they stay, once for each doc_id."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # no column can clash
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    stay = near_duplicates(docs, threshold)[0].where("kept").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
+    rows = docs.toDF(*names).withColumn("_own", F.xxhash64(text))
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tag"))
+    return rows.join(stay.distinct(), same, "left_semi").dropDuplicates([doc_id, "_own"]).drop("_own").toDF(*docs.columns)
