@@ -9,10 +9,11 @@ templates). `BANDS` bands of one minimum each collide with a chance of
 retrieve their template. A match is a window that holds at least `threshold`
 of the template's shingles (5 words; all words of a shorter template).
 
-A window can only match if it holds a shingle of the template. Every shingle
-holds one of the template's key words (a hitting set, the rarest-looking words
-first), so texts with none of the key words are passed over before they are cut
-into words, and so are windows with none; nothing that could match is lost.
+A window can only match if it holds `threshold` of the template's shingles, so
+it holds at least one of any set of them that is larger than the rest. Such a
+set is marked by a few key words (long ones, as they are rarer): texts with
+none of the key words are passed over before they are cut into words, and so
+are windows with none; nothing that could match is lost.
 """
 
 from __future__ import annotations
@@ -49,20 +50,21 @@ def plain_words(text: str) -> list[str]:
 
 
 def words_of(text: Column) -> Column:
-    """Runs of letters and digits, in lower case."""
-    spaced = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    """Runs of letters and digits of a text in lower case."""
+    spaced = F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
     return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
-def key_words(templates: dict[str, str]) -> list[str]:
-    """Words of which every shingle of every template holds one; long words first, as they are rarer."""
+def key_words(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words such that more than 1 - threshold of each template's shingles hold one; long words first."""
     out: set[str] = set()
     for text in templates.values():
         w = plain_words(text)
         k = min(K, len(w))
-        open_ = [set(w[i:i + k]) for i in range(len(w) - k + 1)]
-        while open_ := [s for s in open_ if not s & out]:
-            out.add(min(set().union(*open_), key=lambda x: (-len(x), -sum(x in s for s in open_), x)))
+        runs = [set(w[i:i + k]) for i in range(len(w) - k + 1)]
+        while sum(bool(r & out) for r in runs) <= (1 - threshold) * len(runs) + 1e-9:
+            free = [r for r in runs if not r & out]
+            out.add(min(set().union(*free), key=lambda x: (-len(x), -sum(x in r for r in free), x)))
     return sorted(out)
 
 
@@ -95,12 +97,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     templates = TEMPLATES if templates is None else templates
     templates = {name: t for name, t in templates.items() if plain_words(t)}
     known = template_table(docs.sparkSession, templates)
-    lower = F.lower("text")
-    may, keyed = F.lit(False), key_words(templates)
+    may, keyed = F.lit(False), key_words(templates, threshold)
     for word in keyed:
-        may = may | lower.contains(word)
-    # a generator of one element keeps the optimizer from repeating the cut for every word that is looked at
-    rows = docs.select("doc_id", "text").where(may).select("doc_id", F.explode(F.array(words_of(F.col("text")))).alias("words"))
+        may = may | F.col("lower").contains(word)
+    # generators of one element keep the optimizer from repeating an expression for every word that is looked for
+    rows = (docs.select("doc_id", F.explode(F.array(F.lower("text"))).alias("lower")).where(may)
+            .select("doc_id", F.explode(F.array(words_of(F.col("lower")))).alias("words")))
     # one entry for each template length: window length and step
     sizes = sorted({len(plain_words(t)) for t in templates.values()})
     if not sizes:
@@ -157,7 +159,7 @@ tg AS (SELECT license_id, size, k, list_distinct(list_transform(range(1, size -
          lambda i: array_to_string(words[i:i + k - 1], ' '))) AS need FROM tk),
 w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
          lambda x: x <> '') AS words
-      FROM documents WHERE regexp_matches(lower(text), '{"|".join(key_words(templates))}')),
+      FROM documents WHERE regexp_matches(lower(text), '{"|".join(key_words(templates, threshold))}')),
 win AS (SELECT doc_id, license_id, need, k, s AS start, words[s + 1:s + size + size // 4] AS v
         FROM w, tg, LATERAL (SELECT unnest(range(0, len(words) - size + 1, size // 4 + 1)) AS s)
         WHERE len(words) >= size),
