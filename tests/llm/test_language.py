@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from llm_data import awkward, frame, with_clashes
-from vantage.llm.op1_language import Counts, Model, fit, identify, keep_identified
+from vantage.llm.op1_language import Counts, Model, fit, identify, keep_identified, training_sample
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ung", "ver", "ich"], "cc": ["eau", "tion", "ent", "que"]}
 
@@ -90,3 +90,14 @@ def test_awkward_rows(spark, hard, none):
     assert identify(none).count() == 0
     unlabelled = identify(frame(spark, [(1, "some text", None)])).collect()
     assert [r.lang_pred for r in unlabelled] == ["und"]
+
+
+def test_copies_do_not_thin_the_sample(spark):
+    """One language is mostly copies of a single text; every different text is still learned from."""
+    rows = corpus(60)
+    rows += [(100 + i, "kalo mitu tulo", "dd") for i in range(3000)] + [(5000 + i, f"zza {i} zzo", "dd") for i in range(20)]
+    sample = training_sample(frame(spark, rows), "text", "lang", 40).collect()
+    assert {r._text for r in sample if r._label == "dd"} == {t for _, t, x in rows if x == "dd"}
+    assert len(sample) == len({(r._label, r._text) for r in sample})
+    many = [(i, f"text {i // 10}", "ee") for i in range(20_000)]
+    assert 330 < training_sample(frame(spark, many), "text", "lang", 400).count() < 470

@@ -64,12 +64,14 @@ def training_sample(docs: DataFrame, text: str, label: str, sample_docs: int) ->
     """About `sample_docs` different texts of each label (all, if there are fewer)."""
     known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).alias("_label"), F.col(text).alias("_text"))
-    sizes = known.groupBy("_label").count().limit(MAX_LANGUAGES + 1).collect()
+    h = F.xxhash64("_text")
+    # the share counts different texts: copies would only make it smaller
+    sizes = (known.select("_label", h.alias("_h")).distinct().groupBy("_label").count()
+             .limit(MAX_LANGUAGES + 1).collect())
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of {label}")
     pairs = [F.lit(v) for r in sizes for v in (r["_label"], min(1.0, sample_docs / r["count"]))]
     share = F.element_at(F.create_map(*pairs), F.col("_label")) if pairs else F.lit(0.0)
-    h = F.xxhash64("_text")
     unit = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
     return (known.where(unit < share).groupBy("_label", h.alias("_h")).agg(F.first("_text").alias("_text"))
             .select("_label", "_text"))
