@@ -130,3 +130,32 @@ def test_spans_of_awkward_rows(spark, hard, none):
     assert out.count() == len(awkward()) and remove_spans(none).count() == 0
     assert {r.n_removed for r in out.where("doc_id in (1, 2, 3, 8, 9)").collect()} == {0}
     assert out.where("doc_id = 5 and n_removed = n_bytes").count() == 1 and out.where("doc_id = 4 and n_removed = 0").count() == 1
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    """4,500 different texts without an id: among so many, about 40 pairs agree in 18 bits of a hash of the text."""
+    rnd = random.Random(8)
+
+    def sentence(letters, n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(6)) for _ in range(n)) + ". "
+
+    common, own = sentence("abcdefgh", 40), [sentence("klmnopqr", rnd.randint(3, 40)) for _ in range(4500)]
+    df = frame(spark, [(None, (common if i % 3 == 0 else "") + x) for i, x in enumerate(own)], 4)
+    size = len(common)
+    for out in (remove_repeats(df, with_text=True), remove_spans(df, run=1, piece=99, with_text=True)):
+        rows = out.collect()
+        cut = [r for r in rows if r.n_removed]
+        assert len(rows) == 4500 and len(cut) == 1499
+        assert all(r.n_spans == 1 and size <= r.n_removed <= size + 20 for r in cut)  # next letters may agree
+        assert sum(common in bytes(r.kept).decode() for r in rows) == 1
+
+
+def test_a_hot_row_is_one_row_in_the_joins(spark):
+    text = " ".join(f"w{i}" for i in range(200)) + "."
+    rows = [(None, text)] * 400 + [(3, text), (4, "another " + text)]
+    out = remove_repeats(frame(spark, rows, 6)).collect()
+    assert sorted(r.n_removed == 0 for r in out if r.doc_id is None) == [False] * 399 + [True]
+    assert all(r.n_removed >= len(text) for r in out if r.doc_id is not None)
+    spans = remove_spans(frame(spark, rows, 6)).collect()
+    assert [r.n_removed for r in spans if r.doc_id is None] == [0] * 400
+    assert all(r.n_removed == r.n_bytes for r in spans if r.doc_id == 3)

@@ -36,16 +36,21 @@ from vantage.llm.common import materialize, text_slices
 from vantage.llm.textops import U64, PrefixHash, mix64, raw_bytes, utf8
 
 NO_ID = -(1 << 63)               # stands for a null doc_id: it comes first
-TAG_BITS = 18                    # bits of the text's hash: tells apart texts that share a doc_id
 RANGE = (1 << 14) - 1            # low bits of `at` in rows that are settled ranges
 POS_BITS = 28
 FLUSH = 1_000_000                # regions that a task settles among themselves at a time
 np.seterr(over="ignore")         # hashes wrap on purpose
 
 
-def pack(tag, low, to_anchor, more):
-    """tag, first window's start, anchor's offset from it, further windows: in one long that sorts by (tag, start)."""
-    return (tag << 45) | (low << 14) | (to_anchor << 7) | more
+def identified(docs: DataFrame) -> DataFrame:
+    """doc (NO_ID for null), tag (64-bit hash of the text: tells apart texts that share a doc_id), text ('' for null)."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+                       F.xxhash64("text").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def pack(low, to_anchor, more):
+    """First window's start, anchor's offset from it, further windows: in one long that sorts by start."""
+    return (low << 14) | (to_anchor << 7) | more
 
 
 def regions(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
@@ -93,33 +98,34 @@ def _merge_ranges(doc, tag, start, end):
     return doc[at], tag[at], start[at], (reach - base)[np.append(at[1:], len(doc)) - 1]
 
 
-ROW = "gh long, rh long, doc long, at long"
+ROW = "gh long, rh long, doc long, tag long, at long"
 
 
-def _rows(gh, rh, doc, at):
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (gh, rh, doc, at)],
-                                      names=["gh", "rh", "doc", "at"])
+def _rows(gh, rh, doc, tag, at):
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (gh, rh, doc, tag, at)],
+                                      names=["gh", "rh", "doc", "tag", "at"])
 
 
 def _range_rows(doc, tag, start, end):
     """Settled ranges in the layout of region rows: rh holds the bytes covered, gh spreads them."""
-    return _rows(mix64(doc.astype(U64) * U64(31) + start.astype(U64)), end - start, doc, pack(tag, start, 0, RANGE))
+    return _rows(mix64(doc.astype(U64) * U64(31) + tag.astype(U64) + start.astype(U64)), end - start, doc, tag,
+                 pack(start, 0, RANGE))
 
 
 def _settle(found: list, length: int):
     """Of equal regions the earliest goes on; the others become settled ranges."""
-    gh, rh, doc, at = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((at, doc, rh, gh))
-    gh, rh, doc, at = gh[order], rh[order], doc[order], at[order]
+    gh, rh, doc, tag, at = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((at, tag, doc, rh, gh))
+    gh, rh, doc, tag, at = gh[order], rh[order], doc[order], tag[order], at[order]
     same = np.zeros(len(gh), bool)
     same[1:] = (gh[1:] == gh[:-1]) & (rh[1:] == rh[:-1])
     again = same.copy()  # the same region of a row that repeats: neither earlier nor later
-    again[1:] &= (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
-    yield _rows(gh[~same], rh[~same], doc[~same], at[~same])
+    again[1:] &= (doc[1:] == doc[:-1]) & (tag[1:] == tag[:-1]) & (at[1:] == at[:-1])
+    yield _rows(gh[~same], rh[~same], doc[~same], tag[~same], at[~same])
     later = same & ~again
-    doc, at = doc[later], at[later]
-    start = (at >> 14) & 0x7FFFFFFF
-    yield _range_rows(*_merge_ranges(doc, at >> 45, start, start + (at & 127) + length))
+    doc, tag, at = doc[later], tag[later], at[later]
+    start = at >> 14
+    yield _range_rows(*_merge_ranges(doc, tag, start, start + (at & 127) + length))
 
 
 def _region_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -129,8 +135,8 @@ def _region_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             data, offs = utf8(part.column("text"))
             ids, tags = part.column("doc").to_numpy(), part.column("tag").to_numpy()
             i, low, anchor, high, gh, rh = regions(data, offs, length, gram)
-            at = pack(tags[i], low - offs[i], anchor - low, high - low)
-            found.append((gh, rh, ids[i], at))
+            at = pack(low - offs[i], anchor - low, high - low)
+            found.append((gh, rh, ids[i], tags[i], at))
             held += len(gh)
             if held > FLUSH:
                 yield from _settle(found, length)
@@ -195,12 +201,13 @@ def suffix_sort(data: np.ndarray, h: PrefixHash, start: np.ndarray, bucket: np.n
     return order
 
 
-def repeated_windows(ctx: list[bytes], group: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int):
+def repeated_windows(ctx: list[bytes], group: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray,
+                     length: int):
     """Ranges (doc, tag, start, end) of the windows of the regions `ctx` that an earlier region of their group has too."""
     sizes = np.array([len(c) for c in ctx])
     data = np.frombuffer(b"".join(ctx), np.uint8)
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    low, to_anchor, wins = (at >> 14) & 0x7FFFFFFF, (at >> 7) & 127, (at & 127) + 1
+    low, to_anchor, wins = at >> 14, (at >> 7) & 127, (at & 127) + 1
     rep = np.repeat(np.arange(len(at)), wins)
     p = np.arange(len(rep)) - np.repeat(np.cumsum(wins) - wins, wins)
     bucket = (np.unique(group, return_inverse=True)[1][rep].astype(np.int64) << 7) | (to_anchor[rep] - p)
@@ -220,7 +227,6 @@ def repeated_windows(ctx: list[bytes], group: np.ndarray, at: np.ndarray, doc: n
                for q in np.array_split(hit, len(hit) // 65536 + 1)):
             break
     rep, p = rep[order], p[order]
-    tag = at >> 45
     rank = np.lexsort((tag, doc))
     fresh = np.ones(len(rank), np.int64)
     fresh[1:] = (doc[rank][1:] != doc[rank][:-1]) | (tag[rank][1:] != tag[rank][:-1])
@@ -238,8 +244,13 @@ def repeated_windows(ctx: list[bytes], group: np.ndarray, at: np.ndarray, doc: n
 
 # ---- the Spark plan ----------------------------------------------------------
 
+def _one_of_each(rows: DataFrame) -> DataFrame:
+    """doc, tag, text, copies: rows that repeat doc_id and text are one, so that no id or text is hot in a join."""
+    return rows.groupBy("doc", "tag").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+
+
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """gh, doc, at, many, ctx (the region's bytes) of the wanted regions (gh, doc, at, many)."""
+    """gh, doc, tag, at, many, ctx (the region's bytes) of the wanted regions (gh, doc, tag, at, many)."""
 
     def cut(batches):
         for part in text_slices(batches, "text", 2 << 20):
@@ -248,18 +259,17 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
             values = lists.flatten()
             at = values.field("at").to_numpy()
-            own = np.flatnonzero(at >> 45 == part.column("tag").to_numpy()[owner])  # not another text of this id
-            low = offs[owner[own]] + ((at[own] >> 14) & 0x7FFFFFFF)
-            high = low + (at[own] & 127) + length
+            low = offs[owner] + (at >> 14)
+            high = low + (at & 127) + length
             yield pa.RecordBatch.from_arrays(
-                [values.field("gh").take(pa.array(own)), part.column("doc").take(pa.array(owner[own])),
-                 pa.array(at[own]), values.field("many").take(pa.array(own)),
+                [values.field("gh"), part.column("doc").take(pa.array(owner)), part.column("tag").take(pa.array(owner)),
+                 pa.array(at), values.field("many"),
                  pa.array([raw[s:e] for s, e in zip(low.tolist(), high.tolist())], pa.binary())],
-                names=["gh", "doc", "at", "many", "ctx"])
+                names=["gh", "doc", "tag", "at", "many", "ctx"])
 
-    listed = wanted.groupBy("doc").agg(F.collect_list(F.struct("gh", "at", "many")).alias("wanted"))
-    return docs.join(listed, "doc").select("doc", "tag", "text", "wanted").mapInArrow(
-        cut, "gh long, doc long, at long, many boolean, ctx binary")
+    listed = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("gh", "at", "many")).alias("wanted"))
+    return _one_of_each(docs).join(listed, ["doc", "tag"]).select("doc", "tag", "text", "wanted").mapInArrow(
+        cut, "gh long, doc long, tag long, at long, many boolean, ctx binary")
 
 
 def _by_suffix_sort(ctx: DataFrame, length: int) -> DataFrame:
@@ -267,12 +277,12 @@ def _by_suffix_sort(ctx: DataFrame, length: int) -> DataFrame:
 
     def solve(batches):
         def done(rows):
-            g, d, a = (np.array(x, np.int64) for x in zip(*[r[:3] for r in rows]))
-            return _range_rows(*repeated_windows([r[3] for r in rows], g, a, d, length))
+            keys = (np.array(x, np.int64) for x in zip(*[r[:4] for r in rows]))
+            return _range_rows(*repeated_windows([r[4] for r in rows], *keys, length))
 
         rows: list = []
         for part in batches:
-            for r in zip(*(part.column(c).to_pylist() for c in ("gh", "doc", "at", "ctx"))):
+            for r in zip(*(part.column(c).to_pylist() for c in ("gh", "doc", "tag", "at", "ctx"))):
                 if len(rows) >= 20_000 and r[0] != rows[-1][0]:
                     yield done(rows)
                     rows = []
@@ -280,7 +290,8 @@ def _by_suffix_sort(ctx: DataFrame, length: int) -> DataFrame:
         if rows:
             yield done(rows)
 
-    return ctx.select("gh", "doc", "at", "ctx").repartition("gh").sortWithinPartitions("gh").mapInArrow(solve, ROW)
+    return (ctx.select("gh", "doc", "tag", "at", "ctx").repartition("gh").sortWithinPartitions("gh")
+            .mapInArrow(solve, ROW))
 
 
 def _by_window_rows(ctx: DataFrame, length: int) -> DataFrame:
@@ -288,64 +299,65 @@ def _by_window_rows(ctx: DataFrame, length: int) -> DataFrame:
 
     def explode(batches):
         for part in batches:
-            docs, at = part.column("doc").to_numpy(), part.column("at").to_numpy()
+            docs, tags, at = (part.column(c).to_numpy() for c in ("doc", "tag", "at"))
             data, offs = raw_bytes(part.column("ctx"))
             wins = (at & 127) + 1
             rep = np.repeat(np.arange(len(at)), wins)
             p = np.arange(len(rep)) - np.repeat(np.cumsum(wins) - wins, wins)
             s = offs[rep] + p
             one, two = PrefixHash(data, 5), PrefixHash(data, 6)
-            low = (at >> 14) & 0x7FFFFFFF
-            yield from _settle([(mix64(one.of(s, s + length)), mix64(two.of(s, s + length)), docs[rep],
-                                 pack((at >> 45)[rep], low[rep] + p, 0, 0))], length)
+            low = at >> 14
+            yield from _settle([(mix64(one.of(s, s + length)), mix64(two.of(s, s + length)), docs[rep], tags[rep],
+                                 pack(low[rep] + p, 0, 0))], length)
 
     rows = ctx.mapInArrow(explode, ROW)
-    by = Window.partitionBy("gh", "rh").orderBy("doc", "at")
+    by = Window.partitionBy("gh", "rh").orderBy("doc", "tag", "at")
     settled = F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE
     # strictly later than the first: a row that repeats is not
-    return (rows.withColumn("_first", F.first(F.struct("doc", "at")).over(by))
-            .where(settled | (F.col("_first") < F.struct("doc", "at"))).select("gh", "rh", "doc", "at"))
+    return (rows.withColumn("_first", F.first(F.struct("doc", "tag", "at")).over(by))
+            .where(settled | (F.col("_first") < F.struct("doc", "tag", "at"))).select("gh", "rh", "doc", "tag", "at"))
 
 
 def find_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 128) -> DataFrame:
-    """doc, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
+    """doc, tag, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
     rows = _region_rows(docs, length, gram)
-    by = Window.partitionBy("gh").orderBy("rh", "doc", "at")
+    by = Window.partitionBy("gh").orderBy("rh", "doc", "tag", "at")
     whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     settled = F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE
-    was = F.lag(F.struct("rh", "doc", "at")).over(by)
+    was = F.lag(F.struct("rh", "doc", "tag", "at")).over(by)
     kinds = (rows.withColumns({"_was": was, "_n": F.count("*").over(whole), "_least": F.first("rh").over(whole),
                                "_most": F.last("rh").over(whole)})
              .where(settled | (F.col("_n") > 1))
-             .where(settled | F.col("_was").isNull() | (F.col("_was") != F.struct("rh", "doc", "at")))
+             .where(settled | F.col("_was").isNull() | (F.col("_was") != F.struct("rh", "doc", "tag", "at")))
              .withColumn("later", settled | F.coalesce(F.col("_was.rh") == F.col("rh"), F.lit(False)))
              .where(F.col("later") | (F.col("_least") != F.col("_most")))
-             .select("gh", "rh", "doc", "at", "later", F.col("_n").alias("n")))
+             .select("gh", "rh", "doc", "tag", "at", "later", F.col("_n").alias("n")))
     kinds = materialize(kinds, "regions")
-    wanted = kinds.where("not later").select("gh", "doc", "at", (F.col("n") > hot).alias("many"))
+    wanted = kinds.where("not later").select("gh", "doc", "tag", "at", (F.col("n") > hot).alias("many"))
     ctx = materialize(_contexts(docs, wanted, length), "contexts")
-    found = (kinds.where("later").select("gh", "rh", "doc", "at")
+    found = (kinds.where("later").select("gh", "rh", "doc", "tag", "at")
              .unionAll(_by_suffix_sort(ctx.where("not many"), length))
              .unionAll(_by_window_rows(ctx.where("many"), length)))
     covered = F.when(F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE, F.col("rh")).otherwise(
         F.col("at").bitwiseAND(F.lit(127)) + length)
-    return found.select("doc", "at", covered.alias("span"))
+    return found.select("doc", "tag", "at", covered.alias("span"))
 
 
 def _cut(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
+    """What is left of every row of `rows`; `_nth` counts the rows that repeat doc_id and text."""
+
     def cut(batches):
         for part in text_slices(batches, "text", 4 << 20):
             data, offs = utf8(part.column("text"))
-            tags, lists = part.column("tag").to_numpy(), part.column("spans")
+            lists = part.column("spans")
             owner = np.repeat(np.arange(part.num_rows), pc.fill_null(lists.value_lengths(), 0).to_numpy(
                 zero_copy_only=False))
             values = lists.flatten()
             at = values.field("at").to_numpy()
-            own = np.flatnonzero(at >> 45 == tags[owner])
-            low = offs[owner[own]] + ((at[own] >> 14) & 0x7FFFFFFF)
+            low = offs[owner] + (at >> 14)
             edge = np.zeros(len(data) + 1, np.int64)
             np.add.at(edge, low, 1)
-            np.add.at(edge, low + values.field("span").to_numpy()[own], -1)
+            np.add.at(edge, low + values.field("span").to_numpy(), -1)
             gone = np.cumsum(edge[:-1]) > 0
             opens = gone.copy()
             opens[1:] &= ~gone[:-1]
@@ -353,17 +365,19 @@ def _cut(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
             opens[first] = gone[first]
             n_gone, n_open = (np.concatenate([[0], np.cumsum(x)])[offs] for x in (gone, opens))
             kept = [data[s:e][~gone[s:e]].tobytes() for s, e in zip(offs, offs[1:])]
-            columns = [part.column("doc"), part.column("tag"), pa.array(np.diff(offs)), pa.array(np.diff(n_gone)),
+            columns = [part.column("doc"), part.column("copies"), pa.array(np.diff(offs)), pa.array(np.diff(n_gone)),
                        pa.array(np.diff(n_open)), pa.array([hashlib.sha256(x).hexdigest() for x in kept])]
-            names = ["doc", "tag", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            names = ["doc", "copies", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if with_text:
                 columns, names = [*columns, pa.array(kept, pa.binary())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    listed = spans.groupBy("doc").agg(F.collect_list(F.struct("at", "span")).alias("spans"))
-    return rows.join(listed, "doc", "left").select("doc", "tag", "text", "spans").mapInArrow(
-        cut, "doc long, tag long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    # a set: each task that holds a copy of a row settles the same ranges
+    listed = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("at", "span")).alias("spans"))
+    cuts = _one_of_each(rows).join(listed, ["doc", "tag"], "left").select("doc", "copies", "text", "spans").mapInArrow(
+        cut, "doc long, copies long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
         + ", kept binary" * with_text)
+    return cuts.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 128,
@@ -373,20 +387,17 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int
     A null text is empty; a null doc_id comes before all others. Of rows that
     repeat doc_id and text the first keeps its bytes, and the others lose all
     (texts shorter than `length` lose nothing). Texts that share a doc_id are
-    ordered by a hash of the text. Texts are limited to 256 MB each. Other
+    told apart and ordered by a 64-bit hash of the text. Texts are limited to 256 MB each. Other
     columns are not read; an empty table gives an empty result."""
     if not gram <= length <= gram + 126:
         raise ValueError("length must be from gram to gram + 126")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.coalesce(F.xxhash64("text").bitwiseAND(F.lit((1 << TAG_BITS) - 1)), F.lit(0)).alias("tag"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+    rows = identified(docs)
     cut = _cut(rows, find_repeats(rows, length, gram, hot), with_text)
-    copies = cut.groupBy(*cut.columns).agg(F.count("*").alias("_copies"))
     again = (F.col("_nth") > 1) & (F.col("n_bytes") >= length)
     rest = {"n_removed": F.when(again, F.col("n_bytes")).otherwise(F.col("n_removed")),
             "n_spans": F.when(again, F.lit(1).cast("long")).otherwise(F.col("n_spans")),
             "kept_sha256": F.when(again, hashlib.sha256(b"").hexdigest()).otherwise(F.col("kept_sha256"))}
     if with_text:
         rest["kept"] = F.when(again, F.lit(b"")).otherwise(F.col("kept"))
-    out = copies.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).withColumns(rest)
+    out = cut.withColumns(rest)
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", *rest)

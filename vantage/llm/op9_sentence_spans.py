@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.common import text_slices
-from vantage.llm.op5_suffix_dedup import NO_ID, RANGE, TAG_BITS, _cut, _merge_ranges
+from vantage.llm.op5_suffix_dedup import NO_ID, RANGE, _cut, _merge_ranges, identified, pack
 from vantage.llm.textops import Words, mix64, run_hash
 
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n"]] = True
-ROW = "h1 long, h2 long, doc long, at long, span long"
+ROW = "h1 long, h2 long, doc long, tag long, at long, span long"
 FLUSH = 1_000_000
 
 
@@ -56,30 +56,31 @@ def sentence_runs(words: Words, run: int, min_words: int, piece: int):
             run_hash(words.hash, first[i], last[j], 1), run_hash(words.hash, first[i], last[j], 2))
 
 
-def _rows(h1, h2, doc, at, span):
+def _rows(h1, h2, doc, tag, at, span):
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (h1, h2, doc, at, span)],
-        names=["h1", "h2", "doc", "at", "span"])
+        [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (h1, h2, doc, tag, at, span)],
+        names=["h1", "h2", "doc", "tag", "at", "span"])
 
 
 def _settle(found: list):
     """Of equal runs the earliest goes on; the bytes of the others become settled ranges (`at` ends in RANGE)."""
-    h1, h2, doc, at, span = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((at, doc, h2, h1))
-    h1, h2, doc, at, span = h1[order], h2[order], doc[order], at[order], span[order]
+    h1, h2, doc, tag, at, span = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((at, tag, doc, h2, h1))
+    h1, h2, doc, tag, at, span = h1[order], h2[order], doc[order], tag[order], at[order], span[order]
     same = np.zeros(len(h1), bool)
     same[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-    yield _rows(h1[~same], h2[~same], doc[~same], at[~same], span[~same])
+    yield _rows(h1[~same], h2[~same], doc[~same], tag[~same], at[~same], span[~same])
     lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(h1))))
-    later = same & ((doc != doc[lead]) | (at != at[lead]))  # a row that repeats is not later than itself
-    start = (at[later] >> 14) & 0x7FFFFFFF
-    doc, tag, start, end = _merge_ranges(doc[later], at[later] >> 45, start, start + span[later])
-    yield _rows(mix64(doc.astype(np.uint64) * np.uint64(31) + start.astype(np.uint64)), start, doc,
-                (tag << 45) | (start << 14) | RANGE, end - start)
+    later = same & ((doc != doc[lead]) | (tag != tag[lead]) | (at != at[lead]))
+    # a row that repeats is not later than itself
+    start = at[later] >> 14
+    doc, tag, start, end = _merge_ranges(doc[later], tag[later], start, start + span[later])
+    yield _rows(mix64(doc.astype(np.uint64) * np.uint64(31) + tag.astype(np.uint64) + start.astype(np.uint64)), start,
+                doc, tag, pack(start, 0, RANGE), end - start)
 
 
 def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataFrame:
-    """doc, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
+    """doc, tag, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
 
     def find(batches):
         found, held = [], 0
@@ -87,7 +88,7 @@ def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataF
             words = Words(part.column("text"), in_place=True)
             ids, tags = part.column("doc").to_numpy(), part.column("tag").to_numpy()
             doc, start, end, h1, h2 = sentence_runs(words, run, min_words, piece)
-            found.append((h1, h2, ids[doc], (tags[doc] << 45) | (start << 14), end - start))
+            found.append((h1, h2, ids[doc], tags[doc], pack(start, 0, 0), end - start))
             held += len(doc)
             if held > FLUSH:
                 yield from _settle(found)
@@ -95,10 +96,10 @@ def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataF
         if found:
             yield from _settle(found)
 
-    by = Window.partitionBy("h1", "h2").orderBy("doc", "at")
+    by = Window.partitionBy("h1", "h2").orderBy("doc", "tag", "at")
     settled = F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE
-    return (rows.mapInArrow(find, ROW).withColumn("_first", F.first(F.struct("doc", "at")).over(by))
-            .where(settled | (F.col("_first") < F.struct("doc", "at"))).select("doc", "at", "span"))
+    return (rows.mapInArrow(find, ROW).withColumn("_first", F.first(F.struct("doc", "tag", "at")).over(by))
+            .where(settled | (F.col("_first") < F.struct("doc", "tag", "at"))).select("doc", "tag", "at", "span"))
 
 
 def remove_spans(docs: DataFrame, run: int = 3, min_words: int = 12, piece: int = 16,
@@ -108,11 +109,10 @@ def remove_spans(docs: DataFrame, run: int = 3, min_words: int = 12, piece: int
     A removed sentence goes with the white space and punctuation after it. A
     null text is empty; texts without words keep all. A null doc_id comes
     before all others. Rows that repeat doc_id and text are one document and
-    get the same result; texts that share a doc_id are ordered by a hash.
+    get the same result; texts that share a doc_id are told apart and ordered by
+    a 64-bit hash.
     Other columns are not read; an empty table gives an empty result."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.coalesce(F.xxhash64("text").bitwiseAND(F.lit((1 << TAG_BITS) - 1)), F.lit(0)).alias("tag"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+    rows = identified(docs)
     out = _cut(rows, find_repeats(rows, run, min_words, piece), with_text)
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                       "kept_sha256", *["kept"] * with_text)
