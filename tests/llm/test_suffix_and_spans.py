@@ -1,14 +1,17 @@
 import hashlib
 import random
 import re
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+import __spark_entry__ as E
 from llm_data import awkward, frame, with_clashes
 from vantage.llm.op5_suffix_dedup import remove_repeats, suffix_sort
 from vantage.llm.op9_sentence_spans import remove_spans
-from vantage.llm.textops import PrefixHash
+from vantage.llm.textops import PrefixHash, Words
 
 
 def digest(data):
@@ -159,3 +162,47 @@ def test_a_hot_row_is_one_row_in_the_joins(spark):
     spans = remove_spans(frame(spark, rows, 6)).collect()
     assert [r.n_removed for r in spans if r.doc_id is None] == [0] * 400
     assert all(r.n_removed == r.n_bytes for r in spans if r.doc_id == 3)
+
+
+def content_sentences(text, piece):
+    """Sentences by stops; those of more than `piece` words are cut at the least word of every 3/4 `piece` in a row."""
+    out, width = [], piece * 3 // 4
+    for s in sentences(text, 1 << 30):
+        cuts = {0}
+        if len(s) > piece:
+            h = [int(Words(pa.array([m.group()]), in_place=True).hash[0]) >> 28 for m in s]
+            cuts |= {min(range(i, i + width), key=h.__getitem__) for i in range(len(s) - width + 1)}
+        at = sorted(cuts) + [len(s)]
+        out += [s[a:b] for a, b in zip(at, at[1:])]
+    return out
+
+
+def test_content_cuts_equal_brute_force(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    monkeypatch.setattr(sys.modules[__name__], "sentences", lambda t, piece, plain=sentences: content_sentences(t, piece)
+                        if piece < 1 << 30 else plain(t, piece))
+    want = brute_spans(rows)
+    assert as_dict(E.queries()["op9_sentence_spans"](spark, "/root/testdata/sf0.001")) == want
+
+
+@pytest.mark.parametrize("n", [60, 500])
+def test_passages_without_stops_are_found_at_any_offset(spark, n):
+    rnd = random.Random(n)
+    passage = [f"p{rnd.randrange(3000)}" for _ in range(n)]
+    rows = [(i, " ".join([f"lead{i}x{k}" for k in range(i)] + passage + [f"tail{i}x{k}" for k in range(9)]))
+            for i in range(40)]
+    rows.append((90, "Short lead. " + " ".join(passage)))
+    out = remove_spans(frame(spark, rows), with_text=True, cuts="content").collect()
+    for r in out:
+        left = bytes(r.kept).decode().split()
+        if r.doc_id == 0:
+            assert r.n_removed == 0
+        else:
+            assert sum(w[0] == "p" for w in left) <= 2 * 12 and r.n_spans == 1
+            assert sum(w[0] == "l" for w in left) == (r.doc_id if r.doc_id < 90 else 1)
+
+
+def test_a_text_of_one_repeated_word(spark):
+    out = remove_spans(frame(spark, [(1, "la " * 300), (2, "x " + "la " * 300)]), cuts="content").collect()
+    assert all(r.n_removed > r.n_bytes - 120 for r in out)

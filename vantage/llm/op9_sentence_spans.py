@@ -4,8 +4,13 @@ Every run of `run` consecutive sentences is hashed (its words, without case
 and punctuation) and met globally; sentences covered by a run that occurred
 earlier are removed. Runs shorter than `min_words` words are extended by
 further sentences until they have as many, so that exclamations of a word or
-two do not count as passages; sentences of more than `piece` words are cut
-after every `piece` words, so that passages without full stops count too.
+two do not count as passages. Sentences of more than `piece` words are cut at
+content-defined words: at each word whose hash is the least of some group of
+3/4 `piece` words in a row (the leftmost, if equal) inside the sentence. Equal
+words are cut alike whatever stands before them, no piece is longer than the
+group, and so of 3 * `piece` equal words without a full stop all but a group at
+either end is found, at any offset. A passage that starts within a sentence of
+at most `piece` words is found from the next sentence on.
 Repeats are judged on the input, within and across documents, in order of
 doc_id and position.
 
@@ -22,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.common import text_slices
-from vantage.llm.op5_suffix_dedup import NO_ID, RANGE, _cut, _merge_ranges, identified, pack
-from vantage.llm.textops import Words, mix64, run_hash
+from vantage.llm.op5_suffix_dedup import NO_ID, POS_BITS, RANGE, _cut, _merge_ranges, identified, pack
+from vantage.llm.textops import U64, Words, mix64, run_hash
 
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n"]] = True
@@ -31,14 +36,42 @@ ROW = "h1 long, h2 long, doc long, tag long, at long, span long"
 FLUSH = 1_000_000
 
 
-def sentence_runs(words: Words, run: int, min_words: int, piece: int):
+def content_cuts(h: np.ndarray, opens: np.ndarray, piece: int) -> np.ndarray:
+    """Words (hashes h; sentences start at `opens`) at which sentences of more than `piece` words are cut."""
+    n, width = len(h), max(1, piece * 3 // 4)
+    cuts = np.zeros(n, bool)
+    if n <= piece:
+        return cuts
+    least = (h >> U64(POS_BITS) << U64(POS_BITS)) | np.arange(n, dtype=U64)  # ties: the leftmost
+    span = 1
+    while span * 2 <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < width:
+        least = np.minimum(least[:len(least) - (width - span)], least[width - span:])
+    sentence = np.cumsum(opens) - 1
+    long = np.bincount(sentence)[sentence] > piece
+    own = long[:len(least)] & (sentence[:len(least)] == sentence[width - 1:])
+    cuts[(least[own] & U64((1 << POS_BITS) - 1)).astype(np.int64)] = True
+    return cuts
+
+
+def grid_cuts(h: np.ndarray, opens: np.ndarray, piece: int) -> np.ndarray:
+    """Every `piece`-th word of each sentence: the former rule, which misses passages at other offsets."""
+    at = np.arange(len(h))
+    return (at - np.maximum.accumulate(np.where(opens, at, 0))) % piece == 0
+
+
+CUTS = {"content": content_cuts, "grid": grid_cuts}
+
+
+def sentence_runs(words: Words, run: int, min_words: int, piece: int, cuts: str):
     """(text index, first byte, end byte, hash, second hash) of every run of sentences."""
     n = len(words.start)
     ends = np.concatenate([[0], np.cumsum(ENDS[words.data])])
     opens = np.ones(n, bool)
     opens[1:] = (words.doc[1:] != words.doc[:-1]) | (ends[words.start[1:]] > ends[words.end[:-1]])
-    at = np.arange(n)
-    opens |= (at - np.maximum.accumulate(np.where(opens, at, 0))) % piece == 0
+    opens |= CUTS[cuts](words.hash, opens, piece)
     first = np.flatnonzero(opens)                       # first word of each sentence
     last = np.append(first[1:], n)                      # word after it
     doc = words.doc[first]
@@ -79,7 +112,7 @@ def _settle(found: list):
                 doc, tag, pack(start, 0, RANGE), end - start)
 
 
-def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataFrame:
+def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int, cuts: str) -> DataFrame:
     """doc, tag, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
 
     def find(batches):
@@ -87,7 +120,7 @@ def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataF
         for part in text_slices(batches, "text", 2 << 20):
             words = Words(part.column("text"), in_place=True)
             ids, tags = part.column("doc").to_numpy(), part.column("tag").to_numpy()
-            doc, start, end, h1, h2 = sentence_runs(words, run, min_words, piece)
+            doc, start, end, h1, h2 = sentence_runs(words, run, min_words, piece, cuts)
             found.append((h1, h2, ids[doc], tags[doc], pack(start, 0, 0), end - start))
             held += len(doc)
             if held > FLUSH:
@@ -103,9 +136,13 @@ def find_repeats(rows: DataFrame, run: int, min_words: int, piece: int) -> DataF
 
 
 def remove_spans(docs: DataFrame, run: int = 3, min_words: int = 12, piece: int = 16,
-                 with_text: bool = False) -> DataFrame:
+                 with_text: bool = False, cuts: str = "grid") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes) of every row of `docs` (doc_id, text).
 
+    Long sentences are cut by `cuts`: "content" (see above; the registered query
+    uses it) or "grid" (after every `piece` words of the sentence, which finds a
+    passage only where it starts at the same offset).
+
     A removed sentence goes with the white space and punctuation after it. A
     null text is empty; texts without words keep all. A null doc_id comes
     before all others. Rows that repeat doc_id and text are one document and
@@ -113,6 +150,6 @@ def remove_spans(docs: DataFrame, run: int = 3, min_words: int = 12, piece: int
     a 64-bit hash.
     Other columns are not read; an empty table gives an empty result."""
     rows = identified(docs)
-    out = _cut(rows, find_repeats(rows, run, min_words, piece), with_text)
+    out = _cut(rows, find_repeats(rows, run, min_words, piece, cuts), with_text)
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                       "kept_sha256", *["kept"] * with_text)

@@ -71,7 +71,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_spans(table(spark, sf_dir, "documents"), run=3, min_words=12, piece=16)
+    return remove_spans(table(spark, sf_dir, "documents"), run=3, min_words=12, piece=16, cuts="content")
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
