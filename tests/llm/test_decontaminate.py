@@ -83,3 +83,12 @@ def test_awkward_rows(spark, hard, none):
     assert remove_leaks(hard, bench(spark, [])).count() == hard.count()
     inside = frame(spark, [(1, "here is ONE, and more text that goes on"), (2, "none of it")])
     assert {(r.doc_id, r.item_id) for r in find_leaks(inside, items).collect()} == {(1, 3)}
+
+
+def test_texts_without_blanks_and_typography(spark):
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(300))
+    items = bench(spark, [(1, han[100:130]), (2, 'He said: "one may think" - of it - what one likes, or not')])
+    docs = [(1, han[:200]), (2, han[150:]), (3, han[:115] + "\uff0c" + han[115:200]),
+            (4, "Then he said: \u201cone\u00a0may think\u201d\u2014of it\u2014what one likes, or\u2009not\u2026")]
+    got = {(r.doc_id, r.item_id): r.similarity for r in find_leaks(frame(spark, docs), items).collect()}
+    assert got == {(1, 1): 1.0, (3, 1): 1.0, (4, 2): 1.0}

@@ -116,3 +116,17 @@ def test_awkward_rows(spark, hard, none):
     texts = [r.text for r in kept.collect()]
     assert len([t for t in texts if t and WORD.findall(t.lower())]) == len({t for _, t, *_ in awkward() if t and WORD.findall(t.lower())})
     assert classes(none).count() == 0 and keep_representatives(none).count() == 0
+
+
+HAN = "".join(chr(0x4E00 + 7 * i) for i in range(400))
+
+
+def test_texts_without_blanks_and_typography(spark):
+    """Near copies in scripts without blanks, and copies that differ only in their signs, are classes."""
+    thai = "".join(chr(0x0E01 + i * 5 % 46) + chr(0x0E34 + i % 4) for i in range(90))
+    plain = '"It is" - he said - a matter of, say, taste; and that - one may think - is all.'
+    fancy = "\u201cIt is\u201d \u2014 he said\u2014a matter of,\u00a0say, taste; and that \u2013 one may think \u2013 is all\u2026"
+    rows = [(0, HAN[:80]), (1, HAN[:30] + "\u4e01" + HAN[31:80]), (2, HAN[:40] + "\uff0c" + HAN[40:80] + "\u3002"),
+            (3, HAN[200:280]), (4, thai), (5, thai[:60] + "\u0e2e" + thai[62:]), (6, plain), (7, fancy)]
+    got = {r.doc_id: r.class_id for r in classes(frame(spark, rows)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6}

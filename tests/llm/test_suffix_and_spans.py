@@ -206,3 +206,24 @@ def test_passages_without_stops_are_found_at_any_offset(spark, n):
 def test_a_text_of_one_repeated_word(spark):
     out = remove_spans(frame(spark, [(1, "la " * 300), (2, "x " + "la " * 300)]), cuts="content").collect()
     assert all(r.n_removed > r.n_bytes - 120 for r in out)
+
+
+def test_spans_without_blanks_and_typography(spark):
+    han = ["".join(chr(0x4E00 + 40 * k + i) for i in range(10)) + "\u3002" for k in range(8)]
+    fancy = "\u201cOne two three\u201d \u2014 four five. Six\u00a0seven\u2026 Eight nine ten? Eleven\u2013twelve thirteen fourteen!"
+    plain = '"One two three" - four five. Six seven. Eight nine ten? Eleven-twelve thirteen fourteen!'
+    rows = [(1, "".join(han[:6])), (2, han[7] + "".join(han[1:5]) + han[6]), (3, plain), (4, fancy)]
+    by = {r.doc_id: r for r in remove_spans(frame(spark, rows), with_text=True, cuts="content").collect()}
+    assert bytes(by[2].kept).decode() == han[7] + han[6] and by[1].n_removed == by[3].n_removed == 0
+    assert by[4].n_removed == by[4].n_bytes
+
+
+def test_words_by_unicode_class():
+    texts = ["a\u4e2d\u6587b1", "\u0e01\u0e34\u0e02x", "\u0301e\u0301t\u00e9 \u2014\u201cno\u201d", "\ud55c\uad6d \U00020000\U0001f600z",
+             "\u0301\u0301q", "\u4e2d", "z"]
+    want = [["a", "\u4e2d", "\u6587", "b1"], ["\u0e01\u0e34", "\u0e02", "x"], ["\u0301e\u0301t\u00e9", "no"],
+            ["\ud55c\uad6d", "\U00020000", "z"], ["\u0301\u0301q"], ["\u4e2d"], ["z"]]
+    w = Words(pa.array(texts))
+    got = [[w.data[a:b].tobytes().decode() for a, b in zip(w.start[s:e], w.end[s:e])]
+           for s, e in zip(w.offsets, w.offsets[1:])]
+    assert got == want

@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from vantage.llm.common import text_slices
 from vantage.llm.op5_suffix_dedup import NO_ID, POS_BITS, RANGE, _cut, _merge_ranges, identified, pack
-from vantage.llm.textops import U64, Words, mix64, run_hash
+from vantage.llm.textops import U64, Words, mix64, run_hash, wide_characters
 
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n"]] = True
+WIDE_ENDS = [ord(c) for c in "\u3002\uff01\uff0e\uff1f\uff61\u2026\u061f\u06d4\u0964\u0965\u0589\u1362\u104b\u17d4"]
 ROW = "h1 long, h2 long, doc long, tag long, at long, span long"
 FLUSH = 1_000_000
 
@@ -68,7 +69,10 @@ CUTS = {"content": content_cuts, "grid": grid_cuts}
 def sentence_runs(words: Words, run: int, min_words: int, piece: int, cuts: str):
     """(text index, first byte, end byte, hash, second hash) of every run of sentences."""
     n = len(words.start)
-    ends = np.concatenate([[0], np.cumsum(ENDS[words.data])])
+    stop = ENDS[words.data]
+    lead, code, _ = wide_characters(words.data)
+    stop[lead[np.isin(code, WIDE_ENDS)]] = True
+    ends = np.concatenate([[0], np.cumsum(stop)])
     opens = np.ones(n, bool)
     opens[1:] = (words.doc[1:] != words.doc[:-1]) | (ends[words.start[1:]] > ends[words.end[:-1]])
     opens |= CUTS[cuts](words.hash, opens, piece)

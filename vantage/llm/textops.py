@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,10 +13,63 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _STEP = 0xD6E8FEB86659FD93
 
-# A byte belongs to a word if it is an ASCII letter or digit, or part of a longer UTF-8 sequence.
-WORD_BYTE = np.zeros(256, bool)
-for _lo, _hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
-    WORD_BYTE[_lo:_hi] = True
+# Characters by Unicode class: words are letters, numbers and marks; all others separate them. A letter of a script
+# that is written without blanks is a word of its own, with the marks after it.
+OTHER, WORD, MARK, LONE, UNKNOWN = range(5)
+NO_BLANKS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+             (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF),
+             (0x4E00, 0x9FFF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+             (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFD))
+KIND = np.full(0x110000, UNKNOWN, np.uint8)  # by code point, filled in as they turn up
+BYTE_KIND = np.zeros(256, np.uint8)          # of ASCII
+for _lo, _hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
+    BYTE_KIND[_lo:_hi] = WORD
+
+
+def wide_characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, code point, number of bytes) of the characters beyond ASCII in UTF-8 bytes."""
+    lead = np.flatnonzero(data >= 0xC0)
+    padded = np.append(data, np.zeros(3, np.uint8))
+    first, *rest = (padded[lead + j].astype(np.int32) for j in range(4))
+    two, three, four = (x & 0x3F for x in rest)
+    size = 2 + (first >= 0xE0) + (first >= 0xF0)
+    code = np.select([size == 2, size == 3],
+                     [(first & 0x1F) << 6 | two, (first & 0x0F) << 12 | two << 6 | three],
+                     (first & 0x07) << 18 | two << 12 | three << 6 | four)
+    return lead, np.minimum(code, 0x10FFFF), size
+
+
+def _kind(code: np.ndarray) -> np.ndarray:
+    kind = KIND[code]
+    if (kind == UNKNOWN).any():
+        for c in np.unique(code[kind == UNKNOWN]).tolist():
+            group = unicodedata.category(chr(c))
+            lone = (group[0] == "L" or group == "Nl" or c == 0x3007) and any(a <= c <= b for a, b in NO_BLANKS)
+            KIND[c] = LONE if lone else MARK if group[0] == "M" else WORD if group[0] in "LN" else OTHER
+        kind = KIND[code]
+    return kind
+
+
+def word_starts(data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte, whether it belongs to a word and whether a word starts there (texts start at `heads`)."""
+    byte = BYTE_KIND[data]
+    lead, code, size = wide_characters(data)
+    kind = _kind(code)
+    if len(lead):
+        kind[(kind == MARK) & np.isin(lead, heads)] = WORD  # no letter before it
+        for j in range(4):
+            own = size > j
+            at = lead[own] + j
+            byte[at[at < len(data)]] = kind[own][at < len(data)]
+    word = byte > 0
+    start = word.copy()
+    start[1:] &= ~word[:-1]
+    start[heads] = word[heads]
+    if (kind == LONE).any():
+        start[lead[kind == LONE]] = True
+        letter = byte[np.maximum.accumulate(np.where(byte != MARK, np.arange(len(byte)), 0))]  # what a mark goes with
+        start[1:] |= (byte[1:] == WORD) & ((data[1:] & 0xC0) != 0x80) & (letter[:-1] == LONE)
+    return word, start
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -102,15 +157,12 @@ class Words:
         if in_place:
             data = fold_case(data)
         self.data, self.text_offsets = data, offs
-        w = WORD_BYTE[data]
-        first = offs[:-1][offs[:-1] < offs[1:]]
-        prev = np.empty_like(w)
-        prev[1:] = w[:-1]
-        prev[first] = False
+        heads = offs[:-1][offs[:-1] < offs[1:]]
+        w, opens = word_starts(data, heads)
         nxt = np.empty_like(w)
-        nxt[:-1] = w[1:]
+        nxt[:-1] = w[1:] & ~opens[1:]
         nxt[offs[1:][offs[:-1] < offs[1:]] - 1] = False
-        self.start = np.flatnonzero(w & ~prev)
+        self.start = np.flatnonzero(opens)
         self.end = np.flatnonzero(w & ~nxt) + 1
         self.offsets = np.searchsorted(self.start, offs)
         self.doc = np.repeat(np.arange(len(offs) - 1), np.diff(self.offsets))
