@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from vantage.llm.common import table
 from vantage.llm.op1_language import identify
 from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
+from vantage.llm.op11_hard_negatives import mine
+from vantage.llm.op11_hard_negatives import oracle as negatives_oracle
+from vantage.llm.op12_periodic_runs import digests, periodic_runs, with_planted_period
+from vantage.llm.op13_byte_bpe import Vocabulary, round_trip
 from vantage.llm.op2_token_files import token_index
 from vantage.llm.op3_decontaminate import find_leaks
 from vantage.llm.op4_mixing import mix
@@ -78,6 +82,24 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", with_planted_period(F.col("text"), F.col("doc_id")).alias("text"))
+    return digests(periodic_runs(planted, ["doc_id"]))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it builds on this module
 
@@ -95,10 +117,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_order_minhash": op10_order_minhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_byte_bpe": op13_byte_bpe,
     "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing_oracle(MIX_DOMAIN_SQL, MIX_WEIGHTS, 0.5, 2, 11),
     "op8_licenses": license_oracle(),
+    "op11_hard_negatives": negatives_oracle(),
 }
