@@ -21,7 +21,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.llm.common import text_slices
@@ -29,8 +29,9 @@ from vantage.llm.perfect_hash import MinimalHash
 from vantage.llm.textops import utf8
 from vantage.llm.tokens import SPACE, UNKNOWN, ByteBpe
 
-KEEP_BYTES = 4 << 20    # bytes of rare pieces whose ids a worker keeps (about 80 MB); then it starts anew
-SLICE_IDS = 1 << 20     # ids decoded at a time (a longer list is a slice of its own)
+KEEP_BYTES = 2 << 20     # bytes of rare pieces whose ids a worker keeps (about 40 MB); then it starts anew
+SLICE_BYTES = 1 << 20    # bytes of text encoded at a time (a longer text is a slice of its own)
+SLICE_IDS = 1 << 18      # ids decoded at a time (likewise)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -104,6 +105,25 @@ def merge(ids: list[int], rank_of) -> list[int]:
     return out
 
 
+class Decoder:
+    """Bytes of ids, by the tokens of one vocabulary."""
+
+    def __init__(self, tokens: list[bytes], ids: list[int]):
+        size = np.array([len(t) for t in tokens], np.int64)
+        self.size = np.zeros(max(ids) + 1, np.int64)      # by id; ids without a token have no bytes
+        self.start = np.zeros_like(self.size)
+        self.size[ids], self.start[ids] = size, np.cumsum(size) - size
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids one after the other, offset of each id's bytes and the end)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("an id has no token in this vocabulary")
+        size = self.size[ids]
+        offs = np.concatenate([[0], np.cumsum(size)])
+        return self.bytes[np.repeat(self.start[ids] - offs[:-1], size) + np.arange(offs[-1])], offs
+
+
 class Bpe:
     """Both tiers for one vocabulary."""
 
@@ -114,12 +134,7 @@ class Bpe:
             raise ValueError(f"the vocabulary has no token for bytes {missing}")
         self.whole, self.cutter = MinimalHash(tokens), Cutter(pattern)
         self.pairs, self.byte = pair_ranks(self.ranks), [self.ranks[bytes([i])] for i in range(256)]
-        self.ids = np.array(ids, np.int64)
-        self.size = np.zeros(int(self.ids.max()) + 1, np.int64)      # by id; ids without a token have no bytes
-        self.size[self.ids] = [len(t) for t in tokens]
-        self.start = np.zeros_like(self.size)
-        self.start[self.ids] = np.cumsum([len(t) for t in tokens]) - [len(t) for t in tokens]
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.ids = np.array(ids, np.int32)
         self._forget()
 
     def _forget(self) -> None:
@@ -151,7 +166,7 @@ class Bpe:
             return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
         bounds = np.append(at, len(data))
         found = self.whole.find(data, at, np.diff(bounds))
-        ids, count = self.ids[found].astype(np.int32), np.ones(len(at), np.int64)
+        ids, count = self.ids[found], np.ones(len(at), np.int64)
         rest = np.flatnonzero(found < 0)
         if len(rest):
             every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at),
@@ -169,21 +184,13 @@ class Bpe:
         total = np.concatenate([[0], np.cumsum(count)])
         return ids, total[np.searchsorted(at, offs)]
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes of all ids one after the other, offset of each id's bytes and the end)."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
-            raise ValueError("an id has no token in this vocabulary")
-        size = self.size[ids]
-        offs = np.concatenate([[0], np.cumsum(size)])
-        return self.bytes[np.repeat(self.start[ids] - offs[:-1], size) + np.arange(offs[-1])], offs
-
 
-_LOADED: dict[str, Bpe] = {}
+_LOADED: dict[str, Bpe] = {}    # of the last vocabulary only
 
 
 class Vocabulary:
-    """What tasks get: tokens and ids, read once on the driver. A worker builds its
-    tables from them (for the last vocabulary only) when a task first needs them."""
+    """What tasks get: tokens and ids, read once on the driver. A worker builds the
+    tables for encoding when a task first needs them, and keeps them."""
 
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
@@ -196,6 +203,9 @@ class Vocabulary:
             _LOADED[self.key] = Bpe(self.tokens, self.ids, self.pattern)
         return _LOADED[self.key]
 
+    def decoder(self) -> Decoder:
+        return Decoder(self.tokens, self.ids)
+
 
 def _with(batch: pa.RecordBatch, names: list[str], out: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [values], names=[*names, out])
@@ -206,30 +216,39 @@ def _schema(df: DataFrame, names: list[str], out: str, kind: str) -> str:
     return ", ".join([f"`{n}` {types[n]}" for n in names] + [f"`{out}` {kind}"])
 
 
+def _lists(values: np.ndarray, offs: np.ndarray, binary: bool) -> pa.Array:
+    if binary:    # little-endian unsigned 32-bit integers, as in a token file
+        return _binary(values.astype("<i4"), 4 * offs)
+    return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _binary(data: np.ndarray, offs: np.ndarray) -> pa.Array:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(data)])
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = None, text: str = "text",
-           out: str = "ids") -> DataFrame:
-    """The columns `keep` (all but the text, if not given) of each row, and `out`: the ids of its whole text as array<int>.
+           out: str = "ids", binary: bool = False) -> DataFrame:
+    """The columns `keep` (all but the text, if not given) of each row, and `out`: the ids of its whole text, as
+    array<int> or, if `binary`, as the bytes of little-endian unsigned 32-bit integers.
 
     A null text has no ids, like an empty one. Rows stay as they are: repeated
     rows, equal texts and null keys each give a row of their own. A column that
     is named like `out` gives way to it. A text is held whole in one task, about
-    50 bytes for each of its bytes; a single piece (a run of letters, say) takes
-    about 100 bytes for each of its bytes while it is merged. An empty table
-    gives an empty one."""
+    100 bytes for each of its bytes; a single piece (a run of letters, say) takes
+    as much again while it is merged. An empty table gives an empty one."""
     names = [c for c in (keep if keep is not None else docs.columns) if c not in (text, out)]
 
     def run(batches):
         bpe = vocabulary.bpe()
-        for batch in text_slices(batches, text):
-            ids, offs = bpe.encode(batch.column(text))
-            yield _with(batch, names, out, pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32())))
+        for batch in text_slices(batches, text, SLICE_BYTES):
+            yield _with(batch, names, out, _lists(*bpe.encode(batch.column(text)), binary))
 
-    return docs.select(*names, text).mapInArrow(run, _schema(docs, names, out, "array<int>"))
+    return docs.select(*names, text).mapInArrow(run, _schema(docs, names, out, "binary" if binary else "array<int>"))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = None, ids: str = "ids",
            out: str = "decoded") -> DataFrame:
-    """The columns `keep` (all, if not given) of each row, and `out`: the bytes of its ids, as binary.
+    """The columns `keep` (all, if not given) of each row, and `out`: the bytes of its ids (array<int>), as binary.
 
     Null ids have no bytes; a null among the ids, or one without a token, is an
     error. Bytes need not be valid UTF-8, as ids may be cut anywhere."""
@@ -245,36 +264,34 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, keep: list[str] | None =
                 at = upto
 
     def run(batches):
-        bpe = vocabulary.bpe()
+        decoder = vocabulary.decoder()
         for batch in slices(batches):
             lists = batch.column(ids)
             flat = lists.flatten()
             if flat.null_count:
                 raise ValueError("a null among the ids")
             size = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-            data, offs = bpe.decode(flat.to_numpy(zero_copy_only=False))
-            own = offs[np.concatenate([[0], np.cumsum(size)])].astype(np.int32)
-            yield _with(batch, names, out, pa.BinaryArray.from_buffers(
-                pa.binary(), len(own) - 1, [None, pa.py_buffer(own), pa.py_buffer(data)]))
+            data, offs = decoder.decode(flat.to_numpy(zero_copy_only=False))
+            yield _with(batch, names, out, _binary(data, offs[np.concatenate([[0], np.cumsum(size)])]))
 
     return encoded.select(*dict.fromkeys([*names, ids])).mapInArrow(run, _schema(encoded, names, out, "binary"))
 
 
-def id_digest(ids: str = "ids") -> Column:
-    """Lowercase hex sha256 of ids as little-endian unsigned 32-bit integers."""
-    @F.arrow_udf("string")
-    def digest(lists: pa.Array) -> pa.Array:
-        size = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        ends = np.cumsum(size)
-        return pa.array([hashlib.sha256(flat[e - n:e]).hexdigest() for e, n in zip(ends.tolist(), size.tolist())], pa.string())
+def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id, ids (as bytes, see `encode`) and decoded of every document: its text
+    is encoded and its ids are decoded in the same task, by what `encode` and `decode` use."""
+    def run(batches):
+        bpe, decoder = vocabulary.bpe(), vocabulary.decoder()
+        for batch in text_slices(batches, "text", SLICE_BYTES):
+            ids, offs = bpe.encode(batch.column("text"))
+            data, own = decoder.decode(ids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _lists(ids, offs, True), _binary(data, own[offs])], names=["doc_id", "ids", "decoded"])
 
-    return digest(F.col(ids))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document: its text is encoded, then its ids are decoded."""
-    encoded = encode(docs, vocabulary, keep=["doc_id"])
-    both = decode(encoded, vocabulary, keep=["doc_id", "ids"])
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), id_digest().alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(coded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, and the sha256 of the ids (as bytes) and of the decoded bytes."""
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

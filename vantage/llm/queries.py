@@ -12,8 +12,10 @@ from vantage.llm.op1_language import identify
 from vantage.llm.op10_order_minhash import classes as near_duplicate_classes
 from vantage.llm.op11_hard_negatives import mine
 from vantage.llm.op11_hard_negatives import oracle as negatives_oracle
-from vantage.llm.op12_periodic_runs import digests, periodic_runs, with_planted_period
+from vantage.llm.op12_periodic_runs import digests as run_digests
+from vantage.llm.op12_periodic_runs import periodic_runs, with_planted_period
 from vantage.llm.op13_byte_bpe import Vocabulary, round_trip
+from vantage.llm.op13_byte_bpe import digests as id_digests
 from vantage.llm.op2_token_files import token_index
 from vantage.llm.op3_decontaminate import find_leaks
 from vantage.llm.op4_mixing import mix
@@ -90,14 +92,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     planted = docs.select("doc_id", with_planted_period(F.col("text"), F.col("doc_id")).alias("text"))
-    return digests(periodic_runs(planted, ["doc_id"]))
+    return run_digests(periodic_runs(planted, ["doc_id"]))
 
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return round_trip(table(spark, sf_dir, "documents"), vocabulary)
+    return id_digests(round_trip(table(spark, sf_dir, "documents"), vocabulary))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
