@@ -5,6 +5,8 @@ timeline clipping (M-20).
 Interval joins are rewritten as bounded fan-out + equi operators: an interval
 is exploded into the calendar buckets it covers (month-ends, months), so no
 nested-loop join is planned and a hot account is spread over its buckets.
+What looks at an account's contracts in order does so over its days, to which
+they are reduced before.
 """
 
 from __future__ import annotations
@@ -45,52 +47,86 @@ def contract_active(contracts: DataFrame, cfg: MetricConfig) -> DataFrame:
         (days_between(s, F.col("c.start_date")) + 1).alias("days_in_contract"))
 
 
-def _covered_days(usage_keys: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Distinct (account_id, date) keys that lie inside at least one contract."""
-    c = contracts.select(F.col("account_id").alias("c_account_id"), "start_date", "end_date")
-    return usage_keys.join(
-        c, (usage_keys.account_id == c.c_account_id)
-        & usage_keys.date.between(c.start_date, c.end_date), "left_semi")
+def covered_days(contracts: DataFrame) -> DataFrame:
+    """(account_id, month, days): bit d - 1 of `days` says that some contract covers day d of the month.
 
+    A contract becomes the months it covers, and months meet under a bitwise
+    OR with map-side combine: however many contracts an account has, it keeps
+    one row a month, spread over tasks by (account, month). An inverted
+    contract covers no day."""
+    start, end = F.col("start_date"), F.col("end_date")
+    month = F.explode(F.when(start <= end, F.sequence(F.trunc(start, "month"), F.trunc(end, "month"),
+                                                      F.expr("INTERVAL 1 MONTH"))))
+    first = F.dayofmonth(F.greatest(start, F.col("month")))
+    last = F.dayofmonth(F.least(end, F.last_day("month")))
+    days = F.expr("shiftleft(1L, last) - shiftleft(1L, first - 1)")
+    return (contracts.select("account_id", "start_date", "end_date", month.alias("month"))
+            .select("account_id", "month", first.alias("first"), last.alias("last"))
+            .select("account_id", "month", days.alias("days"))
+            .groupBy("account_id", "month").agg(F.bit_or("days").alias("days")))
 
-def usage_in_contract(usage: DataFrame, accounts: DataFrame, contracts: DataFrame) -> DataFrame:
+
+def covered_keys(keys: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The rows of `keys` (account_id, date, ...) whose date lies inside at least one contract of the account."""
+    bit = F.expr("(days & shiftleft(1L, dayofmonth(date) - 1)) != 0")
+    return (keys.withColumn("month", F.trunc("date", "month")).join(covered_days(contracts), ["account_id", "month"])
+            .where(bit).select(*keys.columns))
+
+
+def _days(usage: DataFrame) -> DataFrame:
+    """The distinct (account_id, date) keys of logs: what meets accounts and
+    contracts in their place. A hot account has one row a day at most."""
+    return usage.select("account_id", "date").distinct()
+
+
+def usage_in_contract(usage: DataFrame, accounts: DataFrame, contracts: DataFrame,
+                      days: DataFrame | None = None) -> DataFrame:
     """Usage rows of a known account whose date lies inside ANY of its
     contracts; one row per log row (no overlap fan-out, no DISTINCT over the
-    fact).  Coverage is decided on the distinct (account, date) keys, then
-    applied back with an equi semi join on (account_id, date)."""
-    keys = (usage.select("account_id", "date").distinct()
-            .join(accounts.select("account_id"), "account_id", "left_semi"))
-    covered = _covered_days(keys, contracts)
-    return (usage.join(covered, ["account_id", "date"], "left_semi")
+    fact).  Coverage is decided on the (account, date) keys (`days`, if they are
+    known already), then applied back with an equi semi join on both."""
+    keys = (_days(usage) if days is None else days.select("account_id", "date")).join(
+        accounts.select("account_id"), "account_id", "left_semi")
+    return (usage.join(covered_keys(keys, contracts), ["account_id", "date"], "left_semi")
             .select("log_id", "account_id", "date", "compute_credits_consumed"))
 
 
-def orphan_usage(usage: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Q-8: usage rows whose account_id is not an account (anti join)."""
-    return (usage.join(accounts.select("account_id"), "account_id", "left_anti")
+def orphan_usage(usage: DataFrame, accounts: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """Q-8: usage rows whose account_id is not an account (or is null).
+
+    The (account, date) keys meet the accounts; logs meet the keys that are
+    left on both columns, so no log is shuffled by its account alone."""
+    keys = (_days(usage) if days is None else days.select("account_id", "date")).join(
+        accounts.select("account_id"), "account_id", "left_anti").select(
+            F.col("account_id").alias("_account"), F.col("date").alias("_date"))
+    return (usage.join(keys, F.col("account_id").eqNullSafe(F.col("_account"))
+                       & F.col("date").eqNullSafe(F.col("_date")), "left_semi")
             .select("log_id", "account_id", "date", "compute_credits_consumed"))
 
 
-def out_of_window_usage(usage: DataFrame, accounts: DataFrame, contracts: DataFrame) -> DataFrame:
+def out_of_window_usage(usage: DataFrame, accounts: DataFrame, contracts: DataFrame,
+                        days: DataFrame | None = None) -> DataFrame:
     """Q-9: usage rows of a known account that has contracts, none of which
     covers the row's date.  (An account without any contract yields NULL
     coverage in the SQL test and is therefore not reported.)"""
-    keys = (usage.select("account_id", "date").distinct()
+    keys = ((_days(usage) if days is None else days.select("account_id", "date"))
             .join(accounts.select("account_id"), "account_id", "left_semi")
             .join(contracts.select("account_id"), "account_id", "left_semi"))
-    uncovered = keys.join(_covered_days(keys, contracts), ["account_id", "date"], "left_anti")
+    uncovered = keys.join(covered_keys(keys, contracts), ["account_id", "date"], "left_anti")
     return (usage.join(uncovered, ["account_id", "date"], "left_semi")
             .select("log_id", "account_id", "date").distinct())
 
 
-def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) -> DataFrame:
+def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True, only_inverted: bool = False) -> DataFrame:
     """Q-10 / J-16: pairs of contracts of one account whose closed intervals
     overlap (and have the same type).
 
     Bucketed interval join: the earlier-starting contract x is exploded into
     the months it covers, the other contract y is keyed by the month of its
-    start; pair (x, y) overlaps iff y.start lies in [x.start, x.end].  Only
-    candidates whose starts share a covered month are ever formed.
+    start; pair (x, y) overlaps iff y.start lies in [x.start, x.end] and y does
+    not end before x starts (which only an inverted y can).  Only candidates
+    whose starts share a covered month are ever formed, in tasks by account and
+    month. Rows of one contract_id are no pair.
     """
     keys = ["account_id"] + (["contract_type"] if same_type_only else [])
     cols = ["contract_id", "contract_type", "start_date", "end_date"]
@@ -98,12 +134,14 @@ def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) ->
                          F.explode(F.sequence(F.trunc("start_date", "month"),
                                               F.trunc(F.greatest("start_date", "end_date"), "month"),
                                               F.expr("INTERVAL 1 MONTH"))).alias("bucket"))
-    y = contracts.select("account_id", *[F.col(c).alias(f"y_{c}") for c in cols],
+    later = contracts.where(F.col("end_date") < F.col("start_date")) if only_inverted else contracts
+    y = later.select("account_id", *[F.col(c).alias(f"y_{c}") for c in cols],
                          F.trunc("start_date", "month").alias("bucket"))
     x = x.withColumnRenamed("x_contract_type", "contract_type") if same_type_only else x
     y = y.withColumnRenamed("y_contract_type", "contract_type") if same_type_only else y
     pairs = x.join(y, keys + ["bucket"]).where(
         F.col("y_start_date").between(F.col("x_start_date"), F.col("x_end_date"))
+        & (F.col("y_end_date") >= F.col("x_start_date")) & (F.col("x_contract_id") != F.col("y_contract_id"))
         & ((F.col("x_start_date") < F.col("y_start_date"))
            | ((F.col("x_start_date") == F.col("y_start_date"))
               & (F.col("x_contract_id") < F.col("y_contract_id")))))
@@ -125,22 +163,73 @@ def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) ->
         pick(F.col("y_end_date"), F.col("x_end_date")).alias("end_b"))
 
 
+def _sweep(contracts: DataFrame, keys: list[str]) -> DataFrame:
+    """n_pairs (one row): overlapping pairs within each group of `keys`, of contracts that aren't inverted.
+
+    Of n contracts, n (n - 1) / 2 pairs, those don't overlap of which one ends
+    before the other starts. Starts and ends are counted by day first (map-side
+    combine); the running count of ends then goes over the days of a group,
+    not over its contracts."""
+    sound = contracts.where(F.col("start_date") <= F.col("end_date"))
+    day = F.explode(F.array(F.struct(F.col("start_date").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("e")),
+                            F.struct(F.col("end_date").alias("day"), F.lit(0).alias("s"), F.lit(1).alias("e"))))
+    big = lambda c: F.sum(c).cast("decimal(38,0)")
+    days = (sound.select(*keys, day.alias("d")).groupBy(*keys, "d.day")
+            .agg(F.sum("d.s").alias("s"), F.sum("d.e").alias("e")))
+    earlier = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (days.withColumn("ended", F.coalesce(F.sum("e").over(earlier), F.lit(0)))
+              .groupBy(*keys).agg(big("s").alias("n"), big(F.col("s").cast("decimal(19,0)") * F.col("ended")).alias("apart")))
+    return groups.agg(F.coalesce(F.sum(F.expr("CAST(n * (n - 1) / 2 AS DECIMAL(38,0)) - apart")), F.lit(0)).cast("bigint")
+                      .alias("n_pairs"))
+
+
+def count_overlapping_contracts(contracts: DataFrame, same_type_only: bool = True) -> DataFrame:
+    """n_failing (one row): how many pairs `overlapping_contracts` lists, without listing them.
+
+    Sound contracts are counted by a sweep over days; pairs of rows with one
+    contract_id (a fault that the key checks report) come off again. Pairs whose
+    later contract is inverted are few and are listed."""
+    keys = ["account_id"] + (["contract_type"] if same_type_only else [])
+    rows = contracts.select("contract_id", *dict.fromkeys([*keys, "contract_type"]), "start_date", "end_date")
+    rows = rows.dropna(subset=["account_id", "contract_id", *keys])
+    twice = rows.join(rows.groupBy("contract_id").count().where("count > 1").select("contract_id"), "contract_id", "left_semi")
+    inverted = overlapping_contracts(rows, same_type_only, only_inverted=True).agg(F.count(F.lit(1)).alias("n_pairs"))
+    signed = (_sweep(rows, keys).unionByName(_sweep(twice, [*keys, "contract_id"]).select((-F.col("n_pairs")).alias("n_pairs")))
+              .unionByName(inverted))
+    return signed.agg(F.sum("n_pairs").cast("bigint").alias("n_failing"))
+
+
 def contract_timeline_clip(contracts: DataFrame) -> DataFrame:
     """M-20: make each account's contracts non-overlapping by ending every
-    contract the day before the next one (by start date) begins; a contract
-    that is left without a day (the next begins on the same date) goes."""
-    w = Window.partitionBy("account_id").orderBy("start_date", "contract_id")
-    nxt = F.lead("start_date").over(w)
-    return contracts.withColumn(
-        "end_date", F.when(nxt.isNotNull(), F.least(F.col("end_date"), F.date_sub(nxt, 1)))
-        .otherwise(F.col("end_date"))).where(F.col("end_date") >= F.col("start_date"))
+    contract the day before the next one (by start date, then contract_id)
+    begins; a contract that is left without a day (the next begins on the same
+    date) goes.
+
+    Of the contracts that start on one day only the last can keep a day, so the
+    account's days are reduced to it first (an aggregate with map-side combine,
+    by account and day); the look ahead then goes over days, not contracts."""
+    rest = [c for c in contracts.columns if c not in ("account_id", "start_date", "contract_id")]
+    last = (contracts.where(F.col("start_date").isNotNull()).groupBy("account_id", "start_date")
+            .agg(F.max(F.struct("contract_id", *rest)).alias("c")))
+    nxt = F.lead("start_date").over(Window.partitionBy("account_id").orderBy("start_date"))
+    kept = last.select("account_id", "start_date", "c.*", nxt.alias("_next")).withColumn(
+        "end_date", F.when(F.col("_next").isNotNull(), F.least(F.col("end_date"), F.date_sub("_next", 1)))
+        .otherwise(F.col("end_date")))
+    return kept.where(F.col("end_date") >= F.col("start_date")).select(*contracts.columns)
 
 
 def adjacent_overlap_accounts(contracts: DataFrame) -> DataFrame:
     """Q-20 (EC-4): accounts where some contract starts on or before the end
-    of the contract immediately preceding it by start date."""
-    w = Window.partitionBy("account_id").orderBy("start_date", "contract_id")
-    prev_end = F.lag("end_date").over(w)
-    return (contracts.select("account_id", (F.col("start_date") <= prev_end).alias("ov"))
-            .groupBy("account_id").agg(F.bool_or(F.coalesce("ov", F.lit(False))).alias("has_overlap"))
-            .where("has_overlap").select("account_id"))
+    of the contract immediately preceding it by start date (then contract_id).
+
+    Reduced to days like the clipping: within a day each contract but the last
+    precedes one that starts on the same day; from day to day only the last
+    contract of a day is looked back at."""
+    reaches = F.col("end_date") >= F.col("start_date")
+    days = (contracts.where(F.col("start_date").isNotNull()).groupBy("account_id", "start_date")
+            .agg(F.count_if(reaches).alias("reaching"), F.max(F.struct("contract_id", "end_date")).alias("c"))
+            .select("account_id", "start_date", "reaching", F.col("c.end_date").alias("end_date")))
+    before = F.lag("end_date").over(Window.partitionBy("account_id").orderBy("start_date"))
+    within = F.col("reaching") > F.coalesce(reaches, F.lit(False)).cast("int")
+    found = days.select("account_id", (within | F.coalesce(F.col("start_date") <= before, F.lit(False))).alias("ov"))
+    return found.groupBy("account_id").agg(F.bool_or("ov").alias("ov")).where("ov").select("account_id")

@@ -3,17 +3,17 @@
 Plan: raw logs are first reduced to per-(account, day) moments (row count,
 sum, sum of squares) with map-side partial aggregation, which removes any
 hot-account skew before the first shuffle and keeps the row-level semantics
-(mean / sd / count run over log rows, not days).  The moments are then
-equi-joined on account_id to the active contract per snapshot with the range
-`date BETWEEN start_date AND snapshot_date` as a residual; the fan-out per
-(account, day) row is bounded by the number of snapshots its contract covers.
-The aggregation after the join groups by keys that contain account_id, so it
-reuses the join's hash partitioning (no second exchange).
+(mean / sd / count run over log rows, not days).  Running totals of the moments
+by account and day then give every window as the difference of two look-ups:
+the days and the boundaries looked up (five at most for each snapshot of an
+account) meet in one sorted pass over the account's days.  No day row goes to
+the snapshots it counts for, and the aggregation of the look-ups groups by keys
+that contain account_id, so it reuses the pass's partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.config import MetricConfig
@@ -42,38 +42,60 @@ def sample_sd(n: Column, sx: Column, sxx: Column) -> Column:
     return F.when(n >= 2, F.sqrt(num.cast("double") / den.cast("double")))
 
 
+def running_totals(daily: DataFrame, probes: DataFrame) -> DataFrame:
+    """`probes` (account_id, date, tag, ...) with n, sx and sxx of all the account's days up to and including the
+    date; null before the account's first day."""
+    extra = [c for c in probes.columns if c not in ("account_id", "date")]
+    kinds = dict(probes.dtypes)
+    days = daily.select("account_id", "date", "n", "sx", "sxx", F.lit(0).alias("_probe"),
+                        *[F.lit(None).cast(kinds[c]).alias(c) for c in extra])
+    both = days.unionByName(probes.select("account_id", "date", F.lit(1).alias("_probe"), *extra), allowMissingColumns=True)
+    # days come before the probes of their date
+    upto = Window.partitionBy("account_id").orderBy("date", "_probe").rowsBetween(Window.unboundedPreceding, 0)
+    return both.select("account_id", "date", *extra, "_probe", *[F.sum(c).over(upto).alias(c) for c in ("n", "sx", "sxx")]) \
+        .where("_probe = 1").drop("_probe")
+
+
 def usage_stats(active: DataFrame, daily: DataFrame, cfg: MetricConfig,
                 carry: list[str] | None = None) -> DataFrame:
-    """Join per-day moments to the active contract and aggregate the windows.
-
-    `carry` = extra active columns to keep (grouped by, all functionally
-    dependent on the (snapshot_date, account_id) key)."""
-    a = active.alias("a")
-    u = daily.alias("u")
-    s = F.col("a.snapshot_date")
-    d = F.col("u.date")
-    j = a.join(u, (F.col("a.account_id") == F.col("u.account_id"))
-               & d.between(F.col("a.start_date"), s), "left")
-    in_last_month = d.between(prev_month_start(s), prev_month_end(s))
-    in_window = d.between(F.date_sub(s, cfg.cv_window_days), s)
-    since_start = d.between(F.col("a.start_date"), s)
+    """Window statistics of every active row from running totals by day.
+
+    All windows lie between the contract's start and the snapshot. With T(d) the
+    totals up to day d: contract to date = T(s) - T(start - 1), the trailing
+    window = T(s) - T(max(start, s - window) - 1), last month = T(its end) -
+    T(max(start, its first day) - 1), nothing if the contract starts later.
+
+    `carry` = extra active columns to keep (all functionally dependent on the
+    (snapshot_date, account_id) key)."""
+    s, start = F.col("snapshot_date"), F.col("start_date")
     keys = ["snapshot_date", "account_id", "start_date"]
     extra = [c for c in (carry or []) if c not in keys]
-    g = j.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys + extra]).agg(
-        F.sum(F.when(in_last_month, F.col("u.sx")).otherwise(0)).alias("credits_last_month"),
-        F.sum(F.when(in_window, F.col("u.n"))).alias("n90"),
-        F.sum(F.when(in_window, F.col("u.sx"))).alias("sx90"),
-        F.sum(F.when(in_window, F.col("u.sxx"))).alias("sxx90"),
-        F.sum(F.when(in_window, F.col("u.sx")).otherwise(0)).alias("credits_last_3mo"),
-        F.sum(F.when(since_start, F.col("u.sx")).otherwise(0)).alias("credits_ytd_contract"))
+    month_end = prev_month_end(s)
+    ends = {"now": s, "before": F.date_sub(start, 1), "window": F.date_sub(F.greatest(start, F.date_sub(s, cfg.cv_window_days)), 1),
+            "month": F.when(start <= month_end, month_end),
+            "month_before": F.when(start <= month_end, F.date_sub(F.greatest(start, prev_month_start(s)), 1))}
+    row = F.struct(*keys, *extra)
+    probes = active.select("account_id", row.alias("row"), F.explode(F.array(
+        *[F.struct(F.lit(k).alias("tag"), d.alias("date")) for k, d in ends.items()])).alias("p")).select(
+        "account_id", "row", "p.tag", "p.date")
+    got = running_totals(daily, probes)
+    at = lambda tag, c: F.max(F.when(F.col("tag") == tag, F.col(c)))
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    g = got.groupBy("account_id", F.col("row.snapshot_date").alias("snapshot_date")).agg(
+        F.any_value("row").alias("row"),
+        (zero(at("month", "sx")) - zero(at("month_before", "sx"))).alias("credits_last_month"),
+        (zero(at("now", "n")) - zero(at("window", "n"))).alias("n90"),
+        (zero(at("now", "sx")) - zero(at("window", "sx"))).alias("sx90"),
+        (zero(at("now", "sxx")) - zero(at("window", "sxx"))).alias("sxx90"),
+        (zero(at("now", "sx")) - zero(at("before", "sx"))).alias("credits_ytd_contract"))
     n90 = F.col("n90")
     return g.select(
-        *keys, *extra,
+        *[F.col(f"row.{c}").alias(c) for c in keys + extra],
         "credits_last_month",
         F.try_divide(F.col("sx90"), n90).alias("mean_90d"),
         sample_sd(n90, F.col("sx90"), F.col("sxx90")).alias("sd_90d"),
-        F.coalesce(n90, F.lit(0)).cast("bigint").alias("n_days_90d"),
-        "credits_last_3mo", "credits_ytd_contract")
+        n90.cast("bigint").alias("n_days_90d"),
+        F.col("sx90").alias("credits_last_3mo"), "credits_ytd_contract")
 
 
 def usage_until_last_snapshot(usage: DataFrame, cfg: MetricConfig) -> DataFrame:
