@@ -32,6 +32,17 @@ def load_units(severity: Column, age_days: Column) -> Column:
     return w * (AGE_CAP_DAYS + F.least(F.lit(AGE_CAP_DAYS), age_days))
 
 
+def ticket_days(tickets: DataFrame) -> DataFrame:
+    """(account_id, opened_date, severity) -> n_tickets: the reduction before any join on the account."""
+    return tickets.groupBy("account_id", "opened_date", "severity").agg(F.count(F.lit(1)).alias("n_tickets"))
+
+
+def ticket_days_of(frames: dict[str, DataFrame]) -> DataFrame:
+    """The frames' opened tickets by account and day: theirs if they have it (a stored table), else reduced."""
+    have = getattr(frames, "builders", frames)
+    return frames["ticket_days"] if "ticket_days" in have else ticket_days(frames["support_tickets"])
+
+
 def open_ticket_rows(tickets: DataFrame, cfg: MetricConfig) -> DataFrame:
     """(snapshot_date, account_id, severity, age_days) for every ticket open
     on a snapshot."""

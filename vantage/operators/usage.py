@@ -23,16 +23,23 @@ USAGE_STAT_COLUMNS = ["credits_last_month", "mean_90d", "sd_90d", "n_days_90d",
                       "credits_last_3mo", "credits_ytd_contract"]
 
 
-def daily_moments(usage: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """(account_id, date) -> n, sx, sxx over log rows; drops orphans when
-    `accounts` is given (semi join after the reduction, so on small data)."""
+def usage_days(usage: DataFrame) -> DataFrame:
+    """(account_id, date) -> n_logs (rows), n, sx, sxx (of the credits): the reduction before any join on the account."""
     x = F.col("compute_credits_consumed")
-    d = (usage.groupBy("account_id", "date")
-         .agg(F.count(x).alias("n"), F.sum(x).alias("sx"),
-              F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)")).alias("sxx")))
-    if accounts is not None:
-        d = d.join(accounts.select("account_id"), "account_id", "left_semi")
-    return d
+    return usage.groupBy("account_id", "date").agg(
+        F.count(F.lit(1)).alias("n_logs"), F.count(x).alias("n"), F.sum(x).alias("sx"),
+        F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)")).alias("sxx"))
+
+
+def days_of(frames: dict[str, DataFrame]) -> DataFrame:
+    """The frames' usage by account and day: theirs if they have it (a stored table), else reduced from the logs."""
+    have = getattr(frames, "builders", frames)
+    return frames["usage_days"] if "usage_days" in have else usage_days(frames["daily_usage_logs"])
+
+
+def known_days(days: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The days of known accounts."""
+    return days.join(accounts.select("account_id"), "account_id", "left_semi")
 
 
 def sample_sd(n: Column, sx: Column, sxx: Column) -> Column:
@@ -98,15 +105,16 @@ def usage_stats(active: DataFrame, daily: DataFrame, cfg: MetricConfig,
         F.col("sx90").alias("credits_last_3mo"), "credits_ytd_contract")
 
 
-def usage_until_last_snapshot(usage: DataFrame, cfg: MetricConfig) -> DataFrame:
-    """Logs after the last snapshot never enter a window; dropping them
-    before the reduction lets the date predicate prune scans / partitions."""
+def until_last_snapshot(days: DataFrame, cfg: MetricConfig) -> DataFrame:
+    """Days after the last snapshot never enter a window; the date predicate reaches the scan."""
     _, cal_hi = calendar_bounds(cfg)
-    return usage.where(F.col("date") <= cal_hi)
+    return days.where(F.col("date") <= cal_hi)
 
 
 def snapshot_usage(active: DataFrame, usage: DataFrame, accounts: DataFrame,
-                   cfg: MetricConfig) -> DataFrame:
-    """M-4 output grain: (snapshot_date, account_id, contract_start) + stats."""
-    stats = usage_stats(active, daily_moments(usage_until_last_snapshot(usage, cfg), accounts), cfg)
+                   cfg: MetricConfig, days: DataFrame | None = None) -> DataFrame:
+    """M-4 output grain: (snapshot_date, account_id, contract_start) + stats;
+    `days` is the usage by account and day, if it is there already."""
+    days = usage_days(usage) if days is None else days
+    stats = usage_stats(active, known_days(until_last_snapshot(days, cfg), accounts), cfg)
     return stats.withColumnRenamed("start_date", "contract_start")

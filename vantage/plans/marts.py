@@ -22,7 +22,7 @@ from vantage.operators.health import health_at, snapshot_health
 from vantage.operators.staging import (stg_account_health, stg_accounts, stg_contracts,
                                        stg_csm_reps)
 from vantage.operators.tickets import open_severity_counts_at, snapshot_tickets
-from vantage.operators.usage import daily_moments, usage_stats, usage_until_last_snapshot
+from vantage.operators.usage import days_of, known_days, sample_sd, until_last_snapshot, usage_stats
 
 ACCOUNT_MART_COLUMNS = [
     "snapshot_date", "account_id", "company_name", "industry", "account_segment", "rep_id",
@@ -38,7 +38,7 @@ class Stages:
     accounts: DataFrame
     reps: DataFrame
     contracts: DataFrame
-    usage: DataFrame
+    days: DataFrame      # usage by account and day
     tickets: DataFrame
     health: DataFrame
     active: DataFrame
@@ -50,7 +50,7 @@ def stages(frames: dict[str, DataFrame], cfg: MetricConfig) -> Stages:
         accounts=stg_accounts(frames["accounts"]),
         reps=stg_csm_reps(frames["csm_reps"]),
         contracts=con,
-        usage=frames["daily_usage_logs"],
+        days=days_of(frames),
         tickets=frames["support_tickets"],
         health=stg_account_health(frames["account_health"]),
         active=contract_active(con, cfg))
@@ -59,7 +59,7 @@ def stages(frames: dict[str, DataFrame], cfg: MetricConfig) -> Stages:
 def scored_active(st: Stages, cfg: MetricConfig) -> DataFrame:
     """Active contract rows with usage stats, ticket and health signals and
     all component scores (before the dimension joins)."""
-    daily = daily_moments(usage_until_last_snapshot(st.usage, cfg), st.accounts)
+    daily = known_days(until_last_snapshot(st.days, cfg), st.accounts)
     enriched = usage_stats(st.active, daily, cfg, carry=ACTIVE_COLUMNS + [
         "days_to_renewal", "days_in_contract"])
     tick = snapshot_tickets(st.tickets, st.active, cfg)
@@ -173,7 +173,7 @@ def point_in_time(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
               .withColumn("days_in_contract", days_between(s, F.col("start_date")) + 1))
     acc = frames["accounts"]
     # every window ends on the scoring date: later rows are never read
-    daily = daily_moments(frames["daily_usage_logs"].where(F.col("date") <= s), acc)
+    daily = known_days(days_of(frames).where(F.col("date") <= s), acc)
     a, u = active.alias("a"), daily.alias("u")
     d = F.col("u.date")
     j = a.join(u, (F.col("a.account_id") == F.col("u.account_id"))
@@ -188,7 +188,6 @@ def point_in_time(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
         F.sum(F.when(w90, F.col("u.sx"))).alias("sx90"),
         F.sum(F.when(w90, F.col("u.sxx"))).alias("sxx90"),
         F.sum(F.when(ytd, F.col("u.sx"))).alias("credits_ytd"))
-    from vantage.operators.usage import sample_sd
     n90 = F.col("n90")
     g = g.select("*", F.try_divide(F.col("sx90"), n90).alias("mean_90d"),
                  sample_sd(n90, F.col("sx90"), F.col("sxx90")).alias("sd_90d"))

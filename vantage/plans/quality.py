@@ -1,11 +1,14 @@
 """Data-quality operators (G-*, Q-*) returning results DataFrames.
 
-Generic checks are declared as data (table, test, column, arguments,
-severity); all count-type checks on one table share a single aggregation
-pass, uniqueness uses one grouped count per key, relationships an anti join.
-Singular assertions are "rows returned must be empty" frames whose row count
-is the failure count.  Every check reports one row; nothing is collected to
-the driver.
+Checks are declared as data (table, test, column, arguments, severity) and
+settled together by one ledger: every table is read once and puts down a row
+(check, key) for each failing value, each value of a unique key and each
+reference; parents put down the keys they have.  One aggregation by (check,
+key), with map-side combine, then tells failures, repeated keys and references
+without a parent, so no fact row meets a parent table and a hot key is one row
+for each task.  The few singular assertions that compare totals or intervals
+are frames whose row count is the failure count.  Every check reports one row;
+nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -19,9 +22,12 @@ from vantage.config import MetricConfig
 from vantage.functions.dates import lit_date
 from vantage.operators import contracts as con
 from vantage.operators import staging as stg
+from vantage.functions import scoring as S
+from vantage.operators.tickets import ticket_days_of
+from vantage.operators.usage import days_of
 from vantage.plans import marts
+from vantage.plans.registry import CFG, inputs, materialized_marts, query, stored_model, stored_results
 from vantage.sources.adapters import Inputs
-from vantage.plans.registry import CFG, inputs, materialized_marts, query
 
 
 @dataclass(frozen=True)
@@ -29,12 +35,14 @@ class Check:
     table: str
     test: str                 # unique | not_null | accepted_values | relationships | expression
     columns: tuple
-    args: tuple = ()          # accepted values | (parent table, parent column) | (sql expr,)
+    # accepted values | (parent table, parent column[, "nulls fail"]) | (SQL or column expression that holds,)
+    args: tuple = ()
     severity: str = "error"
+    name: str = ""            # of a singular assertion
 
     @property
     def check_id(self) -> str:
-        return f"{self.test}:{self.table}.{'+'.join(self.columns)}"
+        return self.name or f"{self.test}:{self.table}.{'+'.join(self.columns)}"
 
 
 # The declared generic tests of the source project.
@@ -150,57 +158,82 @@ GENERIC_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _result(df: DataFrame, c: Check) -> DataFrame:
-    return df.select(F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
-                     F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
-                     F.col("n_failing").cast("bigint").alias("n_failing"))
+#: Staging tables that hold every row and column of a raw table: both are read in one pass.
+SAME_ROWS = {"contracts": "stg_contracts", "daily_usage_logs": "stg_daily_usage_logs", "support_tickets": "stg_support_tickets"}
 
 
-def _count_expr(c: Check) -> F.Column:
+def _fails(c: Check) -> F.Column:
     col = F.col(c.columns[0])
     if c.test == "not_null":
-        return F.count_if(col.isNull())
+        return col.isNull()
     if c.test == "accepted_values":
-        return F.count_if(col.isNotNull() & ~col.isin(list(c.args)))
+        return col.isNotNull() & ~col.isin(list(c.args))
     if c.test == "expression":
-        return F.count_if(~F.coalesce(F.expr(c.args[0]), F.lit(True)))
+        holds = F.expr(c.args[0]) if isinstance(c.args[0], str) else c.args[0]
+        return ~F.coalesce(holds, F.lit(True))
     raise ValueError(c.test)
 
 
+def _key(columns: tuple) -> F.Column:
+    """The columns as one string; a NULL in a combination is a value like others."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.concat_ws("\u0001", *parts)
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """check_no, n_rows, n_repeated (keys put down more than once), n_missing (rows whose key no parent has), from
+    ledger rows (check_no, key, weight, parent)."""
+    keys = rows.groupBy("check_no", "key").agg(F.sum("weight").alias("n"), F.bool_or("parent").alias("known"))
+    return keys.groupBy("check_no").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_repeated"),
+                                        F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("n_missing"))
+
+
+def _ledger(tables: dict[str, DataFrame], checks) -> DataFrame:
+    """All checks' ledger rows, each table read once."""
+    passes: dict[str, list[list[F.Column]]] = {}
+    put = lambda table, no, key, weight, parent: passes.setdefault(table, []).append(
+        [no, key, F.lit(weight).cast("bigint"), F.lit(parent)])
+    for i, c in enumerate(checks):
+        table = SAME_ROWS.get(c.table, c.table)
+        if table not in tables or set(c.columns) - set(tables[table].columns):
+            table = c.table
+        if c.test == "unique":   # a NULL is no duplicate of another; a NULL in a combination is
+            some = F.col(c.columns[0]).isNotNull() if len(c.columns) == 1 else F.lit(True)
+            put(table, F.when(some, i), _key(c.columns), 1, False)
+        elif c.test == "relationships":
+            parent, column, *nulls_fail = c.args
+            col = F.col(c.columns[0])
+            some = F.lit(True) if nulls_fail else col.isNotNull()
+            put(table, F.when(some, i), col.cast(dict(tables[parent].dtypes)[column]).cast("string"), 1, False)
+            put(parent, F.when(F.col(column).isNotNull(), i), F.col(column).cast("string"), 0, True)
+        else:
+            put(table, F.when(_fails(c), i), F.lit(None).cast("string"), 1, False)
+    out = None
+    for table, entries in passes.items():
+        rows = tables[table].select(F.stack(F.lit(len(entries)), *[x for e in entries for x in e])
+                                    .alias("check_no", "key", "weight", "parent")).where("check_no IS NOT NULL")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def run_checks(tables: dict[str, DataFrame], checks) -> DataFrame:
+    """check_id, table_name, test, severity, n_failing of every check; one row for each, also without any ledger row."""
+    found = settle(_ledger(tables, checks))
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame([(i, c.check_id, c.table, c.test, c.severity) for i, c in enumerate(checks)],
+                                   "check_no int, check_id string, table_name string, test string, severity string")
+    n = F.when(F.col("test") == "unique", F.col("n_repeated")).when(
+        F.col("test") == "relationships", F.col("n_missing")).otherwise(F.col("n_rows"))
+    return listed.join(found, "check_no", "left").select(
+        "check_id", "table_name", "test", "severity", F.coalesce(n, F.lit(0)).cast("bigint").alias("n_failing"))
+
+
 def run_generic(tables: dict[str, DataFrame], checks=GENERIC_CHECKS) -> DataFrame:
     """One results row per check: check_id, table_name, test, severity,
     n_failing, status (PASS / WARN / FAIL)."""
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.test in ("not_null", "accepted_values", "expression"):
-            by_table.setdefault(c.table, []).append(c)
-        elif c.test == "unique":
-            rows = tables[c.table]
-            if len(c.columns) == 1:  # a NULL is no duplicate of another; a NULL in a combination is
-                rows = rows.where(F.col(c.columns[0]).isNotNull())
-            dup = (rows.groupBy(*c.columns).count().where("count > 1")
-                   .agg(F.count(F.lit(1)).alias("n_failing")))
-            parts.append(_result(dup, c))
-        elif c.test == "relationships":
-            parent_t, parent_c = c.args
-            child = tables[c.table].where(F.col(c.columns[0]).isNotNull())
-            parent = tables[parent_t].select(F.col(parent_c).alias(c.columns[0])).distinct()
-            miss = (child.join(parent, c.columns[0], "left_anti")
-                    .agg(F.count(F.lit(1)).alias("n_failing")))
-            parts.append(_result(miss, c))
-    for table, cs in by_table.items():
-        # one pass over the table for all of its count-type checks
-        row = tables[table].agg(*[_count_expr(c).alias(f"c{i}") for i, c in enumerate(cs)])
-        stack = ", ".join(f"'{c.check_id}', '{c.test}', '{c.severity}', c{i}" for i, c in enumerate(cs))
-        parts.append(row.select(F.expr(f"stack({len(cs)}, {stack})")
-                                .alias("check_id", "test", "severity", "n_failing"))
-                     .select("check_id", F.lit(table).alias("table_name"), "test", "severity",
-                             F.col("n_failing").cast("bigint").alias("n_failing")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return with_status(out)
+    return with_status(run_checks(tables, checks))
 
 
 def with_status(df: DataFrame) -> DataFrame:
@@ -209,8 +242,9 @@ def with_status(df: DataFrame) -> DataFrame:
 
 
 def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig,
-                 built: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Raw inputs, staging frames, intermediate models and both marts."""
+                 built: tuple[DataFrame, DataFrame] | None = None, model=None) -> dict[str, DataFrame]:
+    """Raw inputs, staging frames, intermediate models and both marts; `built` are written marts, `model` gives
+    written models by name."""
     from vantage.operators.health import snapshot_health
     from vantage.operators.calendar import snapshot_dates
     from vantage.operators.tickets import snapshot_tickets
@@ -226,76 +260,78 @@ def model_tables(frames: dict[str, DataFrame], cfg: MetricConfig,
         "stg_csm_reps": st.reps, "stg_accounts": st.accounts, "stg_contracts": st.contracts,
         "stg_daily_usage_logs": stg.stg_daily_usage_logs(frames["daily_usage_logs"]),
         "stg_support_tickets": stg.stg_support_tickets(frames["support_tickets"]),
-        "snapshot_dates": snapshot_dates(am.sparkSession, cfg),
-        "usage_windows": con.usage_in_contract(frames["daily_usage_logs"], frames["accounts"], frames["contracts"]),
-        "snapshot_usage": snapshot_usage(st.active, frames["daily_usage_logs"], frames["accounts"], cfg),
-        "stg_account_health": st.health, "contract_active": st.active,
-        "snapshot_tickets": snapshot_tickets(st.tickets, st.active, cfg),
-        "snapshot_health": snapshot_health(st.health, cfg),
-        "account_mart": am, "csm_mart": cm})
+        "usage_days": st.days, "snapshot_dates": snapshot_dates(am.sparkSession, cfg),
+        "stg_account_health": st.health, "account_mart": am, "csm_mart": cm})
+    models = {
+        "contract_active": lambda: st.active,
+        "usage_windows": lambda: con.usage_in_contract(frames["daily_usage_logs"], frames["accounts"], frames["contracts"], st.days),
+        "snapshot_usage": lambda: snapshot_usage(st.active, frames["daily_usage_logs"], frames["accounts"], cfg, st.days),
+        "snapshot_tickets": lambda: snapshot_tickets(st.tickets, st.active, cfg),
+        "snapshot_health": lambda: snapshot_health(st.health, cfg)}
+    t.update({name: model(name) if model else build() for name, build in models.items()})
     return t
 
 
-def _n(df: DataFrame, check_id: str, severity: str = "error") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_failing")).select(
-        F.lit(check_id).alias("check_id"), F.lit(severity).alias("severity"), "n_failing")
-
-
-def singular_checks(t: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
-    """Q-1..Q-13 and Q-31: each is a frame of violating rows; report counts."""
+def row_assertions(cfg: MetricConfig) -> tuple[Check, ...]:
+    """Singular assertions on single rows and references: Q-1, 2, 3, 5, 6, 7, 8, 11, 12, 13 and two of Q-31."""
+    avr, band, ramp = F.col("avr_score"), F.col("band"), F.col("is_ramp_period")
+    scores = " AND ".join(f"coalesce({x}_score BETWEEN 0 AND 1, true)" for x in "dcrtb")
+    by_score = S.band(avr, avr.isNull(), cfg)     # no score: Onboarding
+    waiting = band == "Onboarding"
+    within = lambda *cols: " AND ".join(f"coalesce({c} BETWEEN 0 AND 100, true)" for c in cols)
+    one = lambda name, table, column, holds: Check(table, "expression", (column,), (holds,), name=name)
+    return (
+        one("avr_score_range", "account_mart", "avr_score", f"{within('avr_score')} AND {scores}"),
+        one("band_matches_score", "account_mart", "band", (band == by_score) & (waiting == ramp)),
+        one("contract_start_before_end", "stg_contracts", "start_date", "start_date < end_date"),
+        one("csm_rollup_band_counts", "csm_mart", "n_accounts", "n_green + n_yellow + n_red = n_accounts"),
+        one("csm_technical_health_range", "csm_mart", "avg_technical_health",
+            within("avg_technical_health", "arr_weighted_technical_health")),
+        one("negative_usage", "daily_usage_logs", "compute_credits_consumed", "compute_credits_consumed >= 0"),
+        Check("daily_usage_logs", "relationships", ("account_id",), ("accounts", "account_id", "nulls fail"), "warn",
+              "orphaned_usage"),
+        one("ramp_accounts_have_null_avr", "account_mart", "avr_score", (ramp == avr.isNull()) & (ramp == waiting)),
+        one("snapshot_dates_are_month_ends", "snapshot_dates", "snapshot_date", "snapshot_date = last_day(snapshot_date)"),
+        one("ticket_closed_after_opened", "stg_support_tickets", "closed_date", "closed_date >= opened_date"),
+        one("csm_weighted_avr_range", "csm_mart", "arr_weighted_avr", within("arr_weighted_avr")),
+        Check("csm_mart", "relationships", ("csm_id",), ("stg_csm_reps", "csm_id", "nulls fail"), name="csm_exists"))
+
+
+def total_assertions(t: dict[str, DataFrame]) -> DataFrame:
+    """Singular assertions on totals and intervals (Q-4, Q-9, Q-10, one of Q-31): check_id, severity, n_failing."""
     am, cm = t["account_mart"], t["csm_mart"]
-    c = [F.col(f"{x}_score") for x in "dcrtb"]
-    comp_bad = F.lit(False)
-    for x in c:
-        comp_bad = comp_bad | (x < 0) | (x > 1)
-    avr = F.col("avr_score")
-    q1 = am.where((avr.isNotNull() & ((avr < 0) | (avr > 100))) | comp_bad)
-    band, ramp = F.col("band"), F.col("is_ramp_period")
-    green, yellow = cfg.band_green_cutoff, cfg.band_yellow_cutoff
-    q2 = am.where(((avr >= green) & (band != "Green")) | ((avr >= yellow) & (avr < green) & (band != "Yellow"))
-                  | (avr.isNotNull() & (avr < yellow) & (band != "Red"))
-                  | (avr.isNull() & (band != "Onboarding")) | (ramp & (band != "Onboarding"))
-                  | (~ramp & (band == "Onboarding")))
-    q3 = t["stg_contracts"].where(F.col("start_date") >= F.col("end_date"))
+    scored = am.where(~F.col("is_ramp_period"))
     csm_side = cm.groupBy("snapshot_date").agg(F.sum("n_accounts").alias("csm_total"))
-    acc_side = (am.where(~ramp).groupBy("snapshot_date")
-                .agg(F.countDistinct("account_id").alias("account_total")))
+    acc_side = scored.groupBy("snapshot_date").agg(F.countDistinct("account_id").alias("account_total"))
     q4 = csm_side.join(acc_side, "snapshot_date").where(F.col("csm_total") != F.col("account_total"))
-    q5 = cm.where(F.col("n_green") + F.col("n_yellow") + F.col("n_red") != F.col("n_accounts"))
-    ath, wth = F.col("avg_technical_health"), F.col("arr_weighted_technical_health")
-    q6 = cm.where((ath < 0) | (ath > 100) | (wth < 0) | (wth > 100))
-    usage = t["daily_usage_logs"]
-    q7 = usage.where(F.col("compute_credits_consumed") < 0)
-    q8 = con.orphan_usage(usage, t["accounts"])
-    q9 = con.out_of_window_usage(usage, t["accounts"], t["contracts"])
-    q10 = con.overlapping_contracts(t["stg_contracts"])
-    q11 = am.where((ramp & avr.isNotNull()) | (ramp & (band != "Onboarding"))
-                   | (~ramp & avr.isNull()) | (~ramp & (band == "Onboarding")))
-    from vantage.operators.calendar import snapshot_dates
-    snaps = snapshot_dates(am.sparkSession, cfg)
-    q12 = snaps.where(F.col("snapshot_date") != F.last_day("snapshot_date"))
-    tk = t["stg_support_tickets"]
-    q13 = tk.where(F.col("closed_date").isNotNull() & (F.col("closed_date") < F.col("opened_date")))
-    # Q-31: book_arr equals the ARR of the rep's scoreable accounts; weighted score in range
-    book = (am.where(~ramp).groupBy("snapshot_date", F.col("rep_id").alias("csm_id"))
-            .agg(F.sum("annual_commit_dollars").alias("arr")))
-    q31a = (cm.join(book, ["snapshot_date", "csm_id"], "left")
-            .where(F.col("book_arr") != F.coalesce(F.col("arr"), F.lit(0))))
-    wa = F.col("arr_weighted_avr")
-    q31b = cm.where(wa.isNotNull() & ((wa < 0) | (wa > 100)))
-    q31c = cm.join(t["stg_csm_reps"].select("csm_id"), "csm_id", "left_anti")
-    parts = [_n(q1, "avr_score_range"), _n(q2, "band_matches_score"),
-             _n(q3, "contract_start_before_end"), _n(q4, "csm_rollup_account_counts"),
-             _n(q5, "csm_rollup_band_counts"), _n(q6, "csm_technical_health_range"),
-             _n(q7, "negative_usage"), _n(q8, "orphaned_usage", "warn"),
-             _n(q9, "out_of_window_usage", "warn"), _n(q10, "overlapping_contracts_unexpected"),
-             _n(q11, "ramp_accounts_have_null_avr"), _n(q12, "snapshot_dates_are_month_ends"),
-             _n(q13, "ticket_closed_after_opened"), _n(q31a, "csm_book_arr_matches"),
-             _n(q31b, "csm_weighted_avr_range"), _n(q31c, "csm_exists")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return with_status(out)
+    book = scored.groupBy("snapshot_date", F.col("rep_id").alias("csm_id")).agg(F.sum("annual_commit_dollars").alias("arr"))
+    q31 = (cm.join(book, ["snapshot_date", "csm_id"], "left")
+           .where(F.col("book_arr") != F.coalesce(F.col("arr"), F.lit(0))))
+    q9 = con.out_of_window_usage(t["daily_usage_logs"], t["accounts"], t["contracts"], t.get("usage_days"))
+    count = lambda df: df.agg(F.count(F.lit(1)).alias("n_failing"))
+    parts = {"csm_rollup_account_counts": count(q4), "csm_book_arr_matches": count(q31), "out_of_window_usage": count(q9),
+             "overlapping_contracts_unexpected": con.count_overlapping_contracts(t["stg_contracts"])}
+    out = None
+    for name, n in parts.items():
+        row = n.select(F.lit(name).alias("check_id"), F.lit("warn" if name == "out_of_window_usage" else "error").alias("severity"),
+                       "n_failing")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def singular_checks(t: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
+    """Q-1..Q-13 and Q-31: check_id, severity, n_failing, status of the 16 singular assertions."""
+    rows = run_checks(t, row_assertions(cfg)).select("check_id", "severity", "n_failing")
+    return with_status(rows.unionByName(total_assertions(t)))
+
+
+def all_results(t: dict[str, DataFrame], cfg: MetricConfig, generic=GENERIC_CHECKS) -> DataFrame:
+    """Results of the generic checks and the singular assertions from one pass over the tables: suite, check_id,
+    table_name, test, severity, n_failing, status."""
+    both = run_checks(t, (*generic, *row_assertions(cfg)))
+    singular = [c.check_id for c in row_assertions(cfg)]
+    rows = both.withColumn("suite", F.when(F.col("check_id").isin(singular), "singular").otherwise("generic"))
+    return with_status(rows.unionByName(total_assertions(t).withColumn("suite", F.lit("singular")), allowMissingColumns=True))
 
 
 # Pre-load QA bounds of the source project.
@@ -309,35 +345,45 @@ FK_CHECKS = (("RI-1", "accounts", "rep_id", "csm_reps", "csm_id", 1.0),
              ("RI-5", "daily_usage_logs", "account_id", "accounts", "account_id", 0.9985))
 
 
+def _row_sources(frames: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str | None]]:
+    """Table -> (frame with its key columns, column that counts its rows): the facts are read as reduced."""
+    return {"accounts": (frames["accounts"], None), "contracts": (frames["contracts"], None),
+            "csm_reps": (frames["csm_reps"], None), "account_health": (frames["account_health"], None),
+            "support_tickets": (ticket_days_of(frames), "n_tickets"), "daily_usage_logs": (days_of(frames), "n_logs")}
+
+
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """G-8: row count per input table against [lo, hi] (S-10)."""
-    parts = []
+    sources, out = _row_sources(frames), None
     for name, (lo, hi) in ROW_COUNT_BOUNDS.items():
-        parts.append(frames[name].agg(F.count(F.lit(1)).alias("n_rows")).select(
+        df, weight = sources[name]
+        n = F.coalesce(F.sum(weight), F.lit(0)) if weight else F.count(F.lit(1))
+        row = df.agg(n.cast("bigint").alias("n_rows")).select(
             F.lit(f"COUNT-{name}").alias("check_id"), F.lit(name).alias("table_name"), "n_rows",
-            F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"))
+        out = row if out is None else out.unionByName(row)
     return out.withColumn("status", F.when(F.col("n_rows").between(F.col("lo"), F.col("hi")), "PASS")
                           .otherwise("FAIL"))
 
 
 def fk_fractions(frames: dict[str, DataFrame]) -> DataFrame:
-    """G-9 / Q-14: share of child rows whose key exists in the parent."""
-    parts = []
-    for cid, child, ccol, parent, pcol, min_frac in FK_CHECKS:
-        keys = frames[parent].select(F.col(pcol).alias("_k")).distinct().withColumn("_hit", F.lit(1))
-        j = frames[child].select(F.col(ccol).alias("_k")).join(keys, "_k", "left")
-        parts.append(j.agg(F.try_divide(F.count_if(F.col("_hit").isNotNull()), F.count(F.lit(1)))
-                           .alias("valid_frac"))
-                     .select(F.lit(cid).alias("check_id"), "valid_frac",
-                             F.lit(min_frac).alias("min_frac")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("valid_frac") >= F.col("min_frac"), "PASS")
-                          .otherwise("FAIL"))
+    """G-9 / Q-14: share of child rows whose key exists in the parent, from one
+    ledger of weighted keys: no child row meets its parent, a hot key is one row."""
+    sources, rows = _row_sources(frames), None
+    for i, (_, child, ccol, parent, pcol, _) in enumerate(FK_CHECKS):
+        df, weight = sources[child]
+        kind = dict(frames[parent].dtypes)[pcol]
+        one = df.select(F.lit(i).alias("check_no"), F.col(ccol).cast(kind).cast("string").alias("key"),
+                        (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("weight"), F.lit(False).alias("parent"))
+        have = frames[parent].where(F.col(pcol).isNotNull()).select(
+            F.lit(i).alias("check_no"), F.col(pcol).cast("string").alias("key"), F.lit(0).cast("bigint").alias("weight"),
+            F.lit(True).alias("parent"))
+        rows = one.unionByName(have) if rows is None else rows.unionByName(one).unionByName(have)
+    spark = frames["accounts"].sparkSession
+    listed = spark.createDataFrame([(i, c[0], c[5]) for i, c in enumerate(FK_CHECKS)], "check_no int, check_id string, min_frac double")
+    valid = F.try_divide(F.col("n_rows") - F.col("n_missing"), F.col("n_rows"))
+    return (listed.join(settle(rows), "check_no", "left").select("check_id", valid.alias("valid_frac"), "min_frac")
+            .withColumn("status", F.when(F.col("valid_frac") >= F.col("min_frac"), "PASS").otherwise("FAIL")))
 
 
 def segment_checks(frames: dict[str, DataFrame]) -> DataFrame:
@@ -365,10 +411,9 @@ COMMIT_RANGES = {"Enterprise": (200_000, 2_000_000), "Mid-Market": (25_000, 200_
 def distribution_checks(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
     """Q-24..Q-27: severity mix, New-contract commit ranges, colour domain,
     contract starts inside the run window."""
-    tk = frames["support_tickets"]
-    sev = F.col("severity")
-    per = tk.agg(*[F.try_divide(F.count_if(sev == k), F.count(F.lit(1))).alias(f"s{k}")
-                   for k in SEVERITY_TARGET])
+    sev, n = F.col("severity"), F.col("n_tickets")
+    per = ticket_days_of(frames).agg(*[
+        F.try_divide(F.sum(F.when(sev == k, n).otherwise(0)), F.sum(n)).alias(f"s{k}") for k in SEVERITY_TARGET])
     worst = F.greatest(*[F.abs(F.col(f"s{k}") - F.lit(v)) for k, v in SEVERITY_TARGET.items()])
     d1 = per.select(F.lit("DIST-1").alias("check_id"), worst.alias("actual"),
                     (worst <= 0.05).alias("ok"))
@@ -394,22 +439,16 @@ def distribution_checks(frames: dict[str, DataFrame], cfg: MetricConfig) -> Data
     return out.select("check_id", "actual", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"))
 
 
-def daily_usage(usage: DataFrame) -> DataFrame:
-    """Logs and credits by (account, day): the reduction before any join on the account."""
-    return usage.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n_logs"),
-                                                   F.sum("compute_credits_consumed").alias("credits"))
-
-
 def monthly_vs_allotment(frames: dict[str, DataFrame]) -> DataFrame:
     """(account, month, allotment) usage totals, counting a log once per
-    covering contract (as the source check does)."""
-    u = daily_usage(frames["daily_usage_logs"])
-    c = frames["contracts"].select(F.col("account_id").alias("c_acc"), "start_date", "end_date",
-                                   "included_monthly_compute_credits")
-    j = u.join(c, (u.account_id == c.c_acc) & u.date.between(c.start_date, c.end_date))
-    return (j.groupBy("account_id", F.trunc("date", "month").alias("ym"),
-                      "included_monthly_compute_credits")
-            .agg(F.sum("credits").alias("credits")))
+    covering contract (as the source check does). Days and contracts meet by
+    account and month."""
+    u = days_of(frames).withColumn("ym", F.trunc("date", "month"))
+    c = frames["contracts"].where(F.col("start_date") <= F.col("end_date")).select(
+        "account_id", "start_date", "end_date", "included_monthly_compute_credits",
+        F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("INTERVAL 1 MONTH"))).alias("ym"))
+    j = u.join(c, ["account_id", "ym"]).where(F.col("date").between(F.col("start_date"), F.col("end_date")))
+    return (j.groupBy("account_id", "ym", "included_monthly_compute_credits").agg(F.sum("sx").alias("credits")))
 
 
 # Thresholds of the edge-case cohorts, and how many of each the source's data set must hold.
@@ -420,7 +459,7 @@ EDGE_CASE_MINIMA = {"EC-1": 45, "EC-2": 90, "EC-3": 140, "EC-4": 25, "EC-5a": 15
 def usage_cohorts(frames: dict[str, DataFrame], rules: dict = COHORT_RULES) -> DataFrame:
     """Edge-case cohort labels per contracted account (EC-1..EC-4, EC-6)."""
     ctr = frames["contracts"]
-    usage = daily_usage(frames["daily_usage_logs"])
+    usage = days_of(frames).withColumnRenamed("sx", "credits")
     accts = ctr.select("account_id").distinct()
     first = (ctr.groupBy("account_id").agg(F.min(F.struct("start_date", "contract_id")).alias("f"))
              .select("account_id", F.col("f.start_date").alias("first_start")))
@@ -456,7 +495,7 @@ def edge_case_checks(frames: dict[str, DataFrame], minima: dict[str, int] = EDGE
     span from its first contract's start to its last contract's end (A-18)."""
     labels = {"EC-1": "is_spike_drop", "EC-2": "is_shelfware", "EC-3": "is_overage", "EC-4": "has_adjacent_overlap",
               "EC-6": "is_approaching_cap"}
-    days = daily_usage(frames["daily_usage_logs"])
+    days = days_of(frames)
     known = frames["accounts"].select("account_id")
     span = frames["contracts"].groupBy("account_id").agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
     logs = lambda df, name: df.agg(F.coalesce(F.sum("n_logs"), F.lit(0)).alias("actual")).select(
@@ -473,14 +512,14 @@ def edge_case_checks(frames: dict[str, DataFrame], minima: dict[str, int] = EDGE
                        F.when(F.col("actual") >= least, "PASS").otherwise("FAIL").alias("status"))
 
 
-def preload_summary(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
-    """Q-29: roll-up of all 26 checks before a load."""
+def preload_results(frames: dict[str, DataFrame], cfg: MetricConfig) -> DataFrame:
+    """check_id and status of all 26 checks before a load."""
     parts = [row_counts(frames), fk_fractions(frames), segment_checks(frames), edge_case_checks(frames),
              distribution_checks(frames, cfg)]
     out = parts[0].select("check_id", "status")
     for p in parts[1:]:
         out = out.unionByName(p.select("check_id", "status"))
-    return overall(out)
+    return out
 
 
 def reconcile_formulas(mart: DataFrame, single: DataFrame, snapshot) -> DataFrame:
@@ -494,14 +533,19 @@ def reconcile_formulas(mart: DataFrame, single: DataFrame, snapshot) -> DataFram
         F.count_if("g").alias("n_flag_v1"), F.count_if(F.col("f") & F.col("g")).alias("n_flag_both"))
 
 
-def metric_smoke(scored: DataFrame) -> DataFrame:
-    """Q-28: MET-1 >= 3 bands present, MET-2 >= 50 zero-D/C/B accounts Red,
-    MET-3 >= 50 expansion flags (on the single-date result)."""
+# Least figures of the metric's smoke checks.
+METRIC_MINIMA = {"MET-1": 3, "MET-2": 50, "MET-3": 50}
+
+
+def metric_smoke(scored: DataFrame, minima: dict[str, int] = METRIC_MINIMA) -> DataFrame:
+    """Q-28: MET-1 bands present, MET-2 zero-D/C/B accounts Red, MET-3
+    expansion flags (on the single-date result), against the minima."""
     zero = (F.col("d_score") == 0) & (F.col("c_score") == 0) & (F.col("b_score") == 0)
     a = scored.agg(F.countDistinct("band").alias("met1"),
                    F.count_if(zero & (F.col("band") == "Red")).alias("met2"),
                    F.count_if("expansion_flag").alias("met3"))
-    return a.select(F.expr("stack(3, 'MET-1', met1, 3L, 'MET-2', met2, 50L, 'MET-3', met3, 50L)")
+    rows = ", ".join(f"'{k}', met{k[-1]}, {v}L" for k, v in minima.items())
+    return a.select(F.expr(f"stack({len(minima)}, {rows})")
                     .alias("check_id", "actual", "threshold")).select(
         "check_id", F.col("actual").cast("bigint").alias("actual"),
         F.col("threshold").cast("bigint").alias("threshold"),
@@ -518,22 +562,28 @@ def overall(results: DataFrame) -> DataFrame:
 
 # ---- registered queries ----------------------------------------------------
 
+def _results(spark, root) -> DataFrame:
+    """The stored results of both suites for this state of the input."""
+    def build(path):
+        t = model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG),
+                         lambda name: stored_model(spark, root, name))
+        all_results(t, CFG).write.mode("overwrite").parquet(path)
+    return stored_results(spark, root, "dq", repr(GENERIC_CHECKS + row_assertions(CFG)), build)
+
+
 @query("dq_generic")
 def q_dq_generic(spark, root):
-    return run_generic(model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG)))
+    return _results(spark, root).where("suite = 'generic'").drop("suite")
 
 
 @query("dq_singular")
 def q_dq_singular(spark, root):
-    return singular_checks(model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG)), CFG)
+    return _results(spark, root).where("suite = 'singular'").select("check_id", "severity", "n_failing", "status")
 
 
 @query("dq_summary")
 def q_dq_summary(spark, root):
-    t = model_tables(inputs(spark, root), CFG, materialized_marts(spark, root, CFG))
-    g = run_generic(t).select("check_id", "status")
-    s = singular_checks(t, CFG).select("check_id", "status")
-    return overall(g.unionByName(s))
+    return overall(_results(spark, root))
 
 
 @query("dq_row_counts")
@@ -578,7 +628,9 @@ def q_dq_edge_cases(spark, root):
 
 @query("dq_preload")
 def q_dq_preload(spark, root):
-    return preload_summary(inputs(spark, root), CFG)
+    rules = repr((ROW_COUNT_BOUNDS, FK_CHECKS, SEVERITY_TARGET, COMMIT_RANGES, COHORT_RULES, EDGE_CASE_MINIMA))
+    return overall(stored_results(spark, root, "preload", rules, lambda path: preload_results(
+        inputs(spark, root), CFG).write.mode("overwrite").parquet(path)))
 
 
 @query("formula_reconciliation")

@@ -36,8 +36,9 @@ def query(name: str):
 
 
 def inputs(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> dict[str, DataFrame]:
-    """The six inputs, each built when it is asked for; health is the stored table."""
-    return load_inputs(spark, root, cfg, health=lambda: stored_health(spark, root, CFG))
+    """The six inputs, each built when it is asked for; health and the facts by account and day are stored tables."""
+    return load_inputs(spark, root, cfg, health=lambda: stored_health(spark, root, CFG),
+                       stored=lambda name: stored_model(spark, root, name))
 
 
 def account_mart_df(spark, root, cfg=CFG):
@@ -78,6 +79,34 @@ def stored_health(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> Da
                    lambda p: load_inputs(spark, root, cfg)["account_health"].write.mode("overwrite").parquet(p))
 
 
+def _models(spark: SparkSession, root: str, cfg: MetricConfig) -> dict[str, Callable[[], DataFrame]]:
+    """The tables between the inputs and the marts, each from those before it."""
+    raw, have = load_inputs(spark, root, cfg), inputs(spark, root, cfg)
+    model = lambda name: stored_model(spark, root, name, cfg)
+    return {
+        "usage_days": lambda: raw["usage_days"],
+        "ticket_days": lambda: raw["ticket_days"],
+        "contract_active": lambda: con.contract_active(stg.stg_contracts(have["contracts"]), cfg),
+        "usage_windows": lambda: con.usage_in_contract(have["daily_usage_logs"], have["accounts"], have["contracts"],
+                                                       have["usage_days"]),
+        "snapshot_usage": lambda: us.snapshot_usage(model("contract_active"), have["daily_usage_logs"], have["accounts"], cfg,
+                                                    have["usage_days"]),
+        "snapshot_tickets": lambda: tk.snapshot_tickets(have["support_tickets"], model("contract_active"), cfg),
+        "snapshot_health": lambda: hl.snapshot_health(stg.stg_account_health(have["account_health"]), cfg)}
+
+
+def stored_model(spark: SparkSession, root: str, name: str, cfg: MetricConfig = CFG) -> DataFrame:
+    """An intermediate model or a reduced fact as a written table, keyed like the marts."""
+    return _stored(spark, f"{store(spark, root, cfg)}/models/{name}",
+                   lambda p: _models(spark, root, cfg)[name]().write.mode("overwrite").parquet(p))
+
+
+def stored_results(spark: SparkSession, root: str, suite: str, rules: str, build) -> DataFrame:
+    """Check results as a written table (S-12), keyed like the marts and by the rules they hold for."""
+    key = hashlib.sha1(rules.encode()).hexdigest()[:12]
+    return _stored(spark, f"{store(spark, root)}/results/{suite}-{key}", build)
+
+
 def materialized_marts(spark: SparkSession, root: str, cfg: MetricConfig = CFG):
     """Both marts as written tables (as in the source project), each built once
     for each state of the input; the rep mart is built from the account mart."""
@@ -117,19 +146,19 @@ def q_contract_active(spark, root):
 @query("usage_in_contract")
 def q_usage_in_contract(spark, root):
     f = inputs(spark, root)
-    return con.usage_in_contract(f["daily_usage_logs"], f["accounts"], f["contracts"])
+    return con.usage_in_contract(f["daily_usage_logs"], f["accounts"], f["contracts"], days=f["usage_days"])
 
 
 @query("orphan_usage")
 def q_orphan_usage(spark, root):
     f = inputs(spark, root)
-    return con.orphan_usage(f["daily_usage_logs"], f["accounts"])
+    return con.orphan_usage(f["daily_usage_logs"], f["accounts"], days=f["usage_days"])
 
 
 @query("out_of_window_usage")
 def q_out_of_window_usage(spark, root):
     f = inputs(spark, root)
-    return con.out_of_window_usage(f["daily_usage_logs"], f["accounts"], f["contracts"])
+    return con.out_of_window_usage(f["daily_usage_logs"], f["accounts"], f["contracts"], days=f["usage_days"])
 
 
 @query("overlapping_contracts")
@@ -148,7 +177,7 @@ def q_contract_timeline_clip(spark, root):
 def q_snapshot_usage(spark, root):
     f = inputs(spark, root)
     active = con.contract_active(stg.stg_contracts(f["contracts"]), CFG)
-    return us.snapshot_usage(active, f["daily_usage_logs"], f["accounts"], CFG)
+    return us.snapshot_usage(active, f["daily_usage_logs"], f["accounts"], CFG, f["usage_days"])
 
 
 @query("snapshot_tickets")

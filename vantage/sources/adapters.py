@@ -125,10 +125,14 @@ class Inputs(dict):
 
 
 def load_inputs(spark: SparkSession, root: str, cfg: MetricConfig | None = None,
-                health: Callable[[], DataFrame] | None = None) -> Inputs:
-    """The six raw inputs (S-7 source declarations) derived from `root`; `health`
-    gives the health records from elsewhere (a stored table)."""
+                health: Callable[[], DataFrame] | None = None,
+                stored: Callable[[str], DataFrame] | None = None) -> Inputs:
+    """The six raw inputs (S-7 source declarations) derived from `root`, and the two
+    facts reduced to account and day. `health` gives the health records and
+    `stored` the reductions from elsewhere (stored tables)."""
     from vantage.operators.health import derive_health
+    from vantage.operators.tickets import ticket_days
+    from vantage.operators.usage import usage_days
 
     cfg = cfg or MetricConfig()
     builders = {table.__name__: lambda table=table: table(spark, root) for table in
@@ -136,4 +140,7 @@ def load_inputs(spark: SparkSession, root: str, cfg: MetricConfig | None = None,
     out = Inputs(builders)
     builders["account_health"] = health or (lambda: derive_health(
         out["contracts"], out["daily_usage_logs"], out["support_tickets"], cfg))
+    reductions = {"usage_days": lambda: usage_days(out["daily_usage_logs"]),
+                  "ticket_days": lambda: ticket_days(out["support_tickets"])}
+    builders |= {k: (lambda k=k: stored(k)) if stored else build for k, build in reductions.items()}
     return out
