@@ -101,3 +101,8 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 def month_label(c: Column, long: bool = False) -> Column:
     return F.date_format(c, "MMMM yyyy" if long else "MMM yyyy")
+
+
+def rep_label(rep_id: Column) -> Column:
+    """F-18: a rep's id without its prefix."""
+    return F.regexp_replace(rep_id.cast("string"), "^CSM-", "")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vantage.config import MetricConfig
 from vantage.operators import calendar as cal
@@ -49,7 +50,7 @@ def marts_df(spark, root, cfg=CFG):
     return marts.build_marts(inputs(spark, root, cfg), cfg)
 
 
-_READY: dict[str, str] = {}
+_READY: dict[str, StructType] = {}    # schemas of complete tables: reading them again needs no look at their files
 
 
 def store(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> str:
@@ -67,10 +68,11 @@ def store(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> str:
 def _stored(spark: SparkSession, path: str, build) -> DataFrame:
     """The table at `path`, written by `build` unless a complete one is there."""
     from vantage.sources.io import path_exists
-    if path not in _READY and not path_exists(spark, path + "/_SUCCESS"):
-        build(path)
-    _READY[path] = path
-    return spark.read.parquet(path)
+    if path not in _READY:
+        if not path_exists(spark, path + "/_SUCCESS"):
+            build(path)
+        _READY[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_READY[path]).parquet(path)
 
 
 def stored_health(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> DataFrame:
@@ -101,6 +103,11 @@ def stored_model(spark: SparkSession, root: str, name: str, cfg: MetricConfig =
                    lambda p: _models(spark, root, cfg)[name]().write.mode("overwrite").parquet(p))
 
 
+def stored_table(spark: SparkSession, root: str, name: str, build, cfg: MetricConfig = CFG) -> DataFrame:
+    """A table derived from the marts, written beside them."""
+    return _stored(spark, f"{store(spark, root, cfg)}/{name}", lambda p: build().write.mode("overwrite").parquet(p))
+
+
 def stored_results(spark: SparkSession, root: str, suite: str, rules: str, build) -> DataFrame:
     """Check results as a written table (S-12), keyed like the marts and by the rules they hold for."""
     key = hashlib.sha1(rules.encode()).hexdigest()[:12]

@@ -9,23 +9,24 @@ limit (it is the feature) and add the key as a tie-break.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.config import FilterSet, MetricConfig
 from vantage.functions import scoring as S
-from vantage.functions.dates import lit_date, prev_month_end, prev_month_start
-from vantage.functions.filters import account_filter, round_half_up, round_ratio
-from vantage.operators.calendar import rolling_window_12m, snapshot_dates
+from vantage.functions.dates import lit_date, month_label, prev_month_end, prev_month_start, rep_label
+from vantage.functions.filters import account_filter, filtered, having, round_half_up, round_ratio
+from vantage.operators.calendar import compared, rolling_window_12m, snapshot_dates, with_prior
 from vantage.plans import marts
-from vantage.plans.registry import CFG, inputs, materialized_marts, query
+from vantage.plans.registry import CFG, inputs, materialized_marts, query, stored_table
 
 # Fixed report parameters of the registered queries.
 REPORT_SNAPSHOT = CFG.scoring_date                 # selected snapshot
-PRIOR_SNAPSHOT = dt.date(2000, 12, 31)             # the snapshot before it
 QUARTER = (dt.date(2001, 1, 1), dt.date(2001, 3, 31))
 GAP_THRESHOLD = 10.0
+GAP_REPORTED = 0.5        # of the registered report: the driver tables' books are close to balanced
 GAP_BALANCED = 2.0
 EXPANSION_LIMIT = 100
 ACCOUNT_LIST_LIMIT = 500
@@ -44,12 +45,6 @@ def consumption_range(cfg: MetricConfig) -> tuple[dt.date, dt.date]:
     return cfg.snapshot_start.replace(day=1), cfg.snapshot_end
 
 
-def nano_avg(c: str) -> F.Column:
-    """AVG(score) * 100 from exact 1e-9 integer units."""
-    u = S.score_nano(F.col(c))
-    return F.try_divide(F.sum(u).cast("double"), F.count(u) * 1.0e7)
-
-
 def tenths_avg(c: str = "avr_score") -> F.Column:
     t = S.score_tenths(F.col(c))
     return F.try_divide(F.sum(t).cast("double"), F.count(t) * 10.0)
@@ -57,36 +52,59 @@ def tenths_avg(c: str = "avr_score") -> F.Column:
 
 # ---- library functions ---------------------------------------------------
 
-def kpis(mart: DataFrame, fs: FilterSet, snapshots: list) -> DataFrame:
-    """R-6 headline KPIs for each requested snapshot under the same filters."""
-    f = mart.where(account_filter(fs, with_snapshot=False)
-                   & F.col("snapshot_date").isin([lit_date(s) for s in snapshots]))
+KPI_KEYS = ["snapshot_date", "region", "account_segment", "rep_id", "is_ramp_period", "band"]
+KPI_SCORES = {"avg_d": "d_score", "avg_t": "t_score", "avg_c": "c_score", "avg_r": "r_score", "avg_b": "b_score"}
+
+
+def kpi_rollup(mart: DataFrame) -> DataFrame:
+    """Mergeable sums of the account mart (one row for each snapshot and account) by everything that the report filters
+    know but the account: counts, exact integer sums, and the counts the averages divide by."""
+    flag, arr = F.col("expansion_flag"), F.col("annual_commit_dollars")
+    tenths = S.score_tenths(F.col("avr_score"))
+    sums = [F.count("account_id").alias("n_accounts"), F.sum(arr).alias("book_arr"),
+            F.sum(tenths).alias("tenths"), F.count(tenths).alias("n_scored"), F.count_if(flag).alias("n_flags"),
+            F.sum(F.when(flag, arr).otherwise(0)).alias("flag_arr")]
+    for c in KPI_SCORES.values():
+        u = S.score_nano(F.col(c))
+        sums += [F.sum(u).alias(f"{c}_nano"), F.count(u).alias(f"{c}_n")]
+    return mart.groupBy(*KPI_KEYS).agg(*sums)
+
+
+def kpis(mart: DataFrame, fs: FilterSet, snapshots) -> DataFrame:
+    """R-6 headline KPIs for each requested snapshot (a list, or a frame with snapshot_date) under the same filters.
+
+    `mart` is the account mart or, where no accounts are chosen, its rollup."""
+    rows = filtered(mart, fs, with_snapshot=False)
     # a snapshot whose selection is empty still has its row: zeros, and averages of nothing
-    asked = mart.sparkSession.range(1).select(
-        F.explode(F.array(*[lit_date(s) for s in snapshots])).alias("snapshot_date"))
-    out = asked.join(f, "snapshot_date", "left").groupBy("snapshot_date").agg(
-        F.countDistinct("account_id").alias("n_accounts"),
-        F.coalesce(F.sum("annual_commit_dollars"), F.lit(0)).alias("book_arr"),
-        tenths_avg().alias("avg_avr"),
-        F.try_divide(F.count_if(F.col("band") == "Red"), F.count("account_id")).alias("pct_red"),
-        F.count_if("expansion_flag").alias("n_expansion_opps"),
-        F.sum(F.when(F.col("expansion_flag"), F.col("annual_commit_dollars")).otherwise(0))
-         .alias("expansion_pipeline_arr"),
-        nano_avg("d_score").alias("avg_d"), nano_avg("t_score").alias("avg_t"),
-        nano_avg("c_score").alias("avg_c"), nano_avg("r_score").alias("avg_r"),
-        nano_avg("b_score").alias("avg_b"))
+    if isinstance(snapshots, DataFrame):
+        asked = snapshots.select("snapshot_date")
+        rows = rows.join(asked, "snapshot_date", "left_semi")
+    else:
+        asked = mart.sparkSession.range(1).select(
+            F.explode(F.array(*[lit_date(s) for s in snapshots])).alias("snapshot_date"))
+        rows = rows.where(F.col("snapshot_date").isin([lit_date(s) for s in snapshots]))
+    rolled = rows if "n_flags" in rows.columns else kpi_rollup(rows)
+    n = F.coalesce(F.sum("n_accounts"), F.lit(0))
+    red = F.coalesce(F.sum(F.when(F.col("band") == "Red", F.col("n_accounts"))), F.lit(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = asked.join(rolled, "snapshot_date", "left").groupBy("snapshot_date").agg(
+        n.alias("n_accounts"), total("book_arr").alias("book_arr"),
+        F.try_divide(F.sum("tenths").cast("double"), F.sum("n_scored") * 10.0).alias("avg_avr"),
+        F.try_divide(red, n).alias("pct_red"), total("n_flags").alias("n_expansion_opps"),
+        total("flag_arr").alias("expansion_pipeline_arr"),
+        *[F.try_divide(F.sum(f"{c}_nano").cast("double"), F.sum(f"{c}_n") * 1.0e7).alias(k) for k, c in KPI_SCORES.items()])
     return out.withColumn("pct_red_band", S.pct_red_band(F.col("pct_red") * 100.0))
 
 
-def kpi_deltas(kp: DataFrame, current, prior) -> DataFrame:
-    """Current minus prior for the score KPIs (one row; NULL if either side
-    is missing)."""
-    cols = ["avg_avr", "pct_red", "avg_d", "avg_t", "avg_c", "avg_r", "avg_b"]
-    cur, pri = lit_date(current), lit_date(prior)
+def kpi_deltas(mart: DataFrame, fs: FilterSet, calendar: DataFrame) -> DataFrame:
+    """The score KPIs of the selected snapshot, of the one before it in the calendar, and their difference (one row;
+    null where either side is missing, as on the first snapshot)."""
+    pair = compared(calendar, fs.snapshot_date)
+    kp = kpis(mart, fs, pair).join(pair, "snapshot_date")
     aggs = []
-    for c in cols:
-        a = F.max(F.when(F.col("snapshot_date") == cur, F.col(c)))
-        b = F.max(F.when(F.col("snapshot_date") == pri, F.col(c)))
+    for c in ["avg_avr", "pct_red", *KPI_SCORES]:
+        a = F.max(F.when(F.col("is_current"), F.col(c)))
+        b = F.max(F.when(~F.col("is_current"), F.col(c)))
         aggs += [a.alias(f"{c}_current"), b.alias(f"{c}_prior"), (a - b).alias(f"{c}_delta")]
     return kp.agg(*aggs)
 
@@ -94,29 +112,34 @@ def kpi_deltas(kp: DataFrame, current, prior) -> DataFrame:
 def filtered_accounts(mart: DataFrame, fs: FilterSet) -> DataFrame:
     """Accounts matching the dimension filters on any snapshot, narrowed by
     the tenure toggles at the selected snapshot (J-14 semi joins)."""
-    base = mart.where(account_filter(fs, with_snapshot=False, with_tenure=False)).select("account_id")
+    base = filtered(mart, fs, with_snapshot=False, with_tenure=False).select("account_id")
     tenure = mart.where(account_filter(FilterSet(snapshot_date=fs.snapshot_date,
                                                  include_ramp=fs.include_ramp,
                                                  include_established=fs.include_established)))
     return base.join(tenure.select("account_id"), "account_id", "left_semi").distinct()
 
 
-def purchased_vs_consumed(mart: DataFrame, usage: DataFrame, fs: FilterSet,
+def trimmed(series: DataFrame, window: DataFrame) -> DataFrame:
+    """A monthly series within a window of snapshots, with the months' labels (F-20)."""
+    months = window.select(F.col("snapshot_date").alias("month_end"))
+    return series.join(months, "month_end", "left_semi").withColumn("month_label", month_label(F.col("month_end")))
+
+
+def purchased_vs_consumed(mart: DataFrame, days: DataFrame, fs: FilterSet,
                           cfg: MetricConfig) -> DataFrame:
-    """R-7: monthly allotment of the filtered accounts vs their raw usage."""
+    """R-7: monthly allotment of the filtered accounts vs their usage. The usage by account and day (`usage_days`) is
+    summed by account and month before it meets the accounts, so a hot account is one row a month."""
     fa = filtered_accounts(mart, fs)
     lo, hi = consumption_range(cfg)
-    purchased = (mart.join(fa, "account_id", "left_semi")
-                 .groupBy(F.col("snapshot_date").alias("month_end"))
-                 .agg(F.sum("included_monthly_compute_credits").alias("purchased_credits")))
-    consumed = (usage.where(F.col("date").between(lit_date(lo), lit_date(hi)))
-                .join(fa, "account_id", "left_semi")
-                .groupBy(F.last_day("date").alias("month_end"))
-                .agg(F.sum("compute_credits_consumed").alias("consumed_credits")))
-    j = purchased.join(consumed, "month_end", "full")
-    return (j.select("month_end",
-                     F.coalesce("purchased_credits", F.lit(0)).cast("bigint").alias("purchased_credits"),
-                     F.coalesce("consumed_credits", F.lit(0)).cast("bigint").alias("consumed_credits"))
+    purchased = (mart.groupBy("account_id", F.col("snapshot_date").alias("month_end"))
+                 .agg(F.sum("included_monthly_compute_credits").alias("credits")).withColumn("bought", F.lit(True)))
+    consumed = (days.where(F.col("date").between(lit_date(lo), lit_date(hi)))
+                .groupBy("account_id", F.last_day("date").alias("month_end"))
+                .agg(F.sum("sx").alias("credits")).withColumn("bought", F.lit(False)))
+    both = purchased.unionByName(consumed).join(fa, "account_id", "left_semi")
+    part = lambda bought, name: F.coalesce(
+        F.sum(F.when(F.col("bought") == bought, F.col("credits"))), F.lit(0)).cast("bigint").alias(name)
+    return (both.groupBy("month_end").agg(part(True, "purchased_credits"), part(False, "consumed_credits"))
             .where("purchased_credits > 0 OR consumed_credits > 0"))
 
 
@@ -127,15 +150,16 @@ def severity_label(c: F.Column) -> F.Column:
     return e
 
 
-def ticket_trend(mart: DataFrame, tickets: DataFrame, fs: FilterSet, cfg: MetricConfig) -> DataFrame:
-    """R-8: tickets opened per month x severity for the filtered accounts."""
+def ticket_trend(mart: DataFrame, opened: DataFrame, fs: FilterSet, cfg: MetricConfig) -> DataFrame:
+    """R-8: tickets opened per month x severity for the filtered accounts, from the tickets by account and day
+    (`ticket_days`), summed by account and month before they meet the accounts."""
     fa = filtered_accounts(mart, fs)
     lo, hi = consumption_range(cfg)
-    return (tickets.where(F.col("opened_date").between(lit_date(lo), lit_date(hi)))
-            .join(fa, "account_id", "left_semi")
-            .groupBy(F.last_day("opened_date").alias("month_end"),
-                     severity_label(F.col("severity")).alias("severity_label"))
-            .agg(F.count(F.lit(1)).alias("n_tickets")))
+    monthly = (opened.where(F.col("opened_date").between(lit_date(lo), lit_date(hi)))
+               .groupBy("account_id", F.last_day("opened_date").alias("month_end"),
+                        severity_label(F.col("severity")).alias("severity_label")).agg(F.sum("n_tickets").alias("n")))
+    return (monthly.join(fa, "account_id", "left_semi").groupBy("month_end", "severity_label")
+            .agg(F.sum("n").alias("n_tickets")))
 
 
 def ticket_totals(trend: DataFrame, window: DataFrame) -> DataFrame:
@@ -147,26 +171,30 @@ def ticket_totals(trend: DataFrame, window: DataFrame) -> DataFrame:
 
 
 def owners_of(mart: DataFrame, snapshot, account_ids) -> DataFrame:
-    return (mart.where((F.col("snapshot_date") == lit_date(snapshot))
-                      & F.col("account_id").isin(list(account_ids)))
-            .select(F.col("rep_id").alias("csm_id")).distinct())
+    """Reps who own one of the chosen accounts (a list or a frame of ids) on a snapshot."""
+    rows = having(mart.where(F.col("snapshot_date") == lit_date(snapshot)), "account_id", account_ids)
+    return rows.select(F.col("rep_id").alias("csm_id")).distinct()
+
+
+def chosen(ids) -> bool:
+    return isinstance(ids, DataFrame) or bool(ids)
 
 
 def csm_leaderboard(csm: DataFrame, fs: FilterSet, mart: DataFrame | None = None) -> DataFrame:
-    """R-10 leaderboard with the tie-inclusive leader marker (W-9)."""
+    """R-10 leaderboard with the tie-inclusive leader marker (W-9); with chosen accounts, of their owners' full books."""
     f = csm.where((F.col("snapshot_date") == lit_date(fs.snapshot_date)) & (F.col("n_accounts") > 0))
     if fs.regions:
-        f = f.where(F.col("region").isin(list(fs.regions)))
+        f = having(f, "region", fs.regions)
     if fs.csm_ids:
-        f = f.where(F.col("csm_id").isin(list(fs.csm_ids)))
-    if fs.account_ids and mart is not None:
+        f = having(f, "csm_id", fs.csm_ids)
+    if chosen(fs.account_ids) and mart is not None:
         f = f.join(owners_of(mart, fs.snapshot_date, fs.account_ids), "csm_id", "left_semi")
     avg1 = round_half_up(F.col("avg_avr"), 1)
-    out = f.select("csm_id", "csm_name", "region", "n_accounts", "book_arr",
+    out = f.select("csm_id", rep_label(F.col("csm_id")).alias("csm_label"), "csm_name", "region", "n_accounts", "book_arr",
                    avg1.alias("avg_avr"), "n_green", "n_yellow", "n_red",
                    round_half_up(F.col("pct_red") * 100.0, 1).alias("pct_red"),
                    "n_expansion_opps", "expansion_pipeline_arr")
-    top = F.max("avg_avr").over(Window.partitionBy(F.lit(1)))
+    top = out.agg(F.max("avg_avr")).scalar()    # one value, no window over all reps
     return out.withColumn("is_leader", F.coalesce(F.col("avg_avr") == top, F.lit(False))).orderBy(
         F.col("avg_avr").desc_nulls_last(), "csm_id")
 
@@ -174,7 +202,7 @@ def csm_leaderboard(csm: DataFrame, fs: FilterSet, mart: DataFrame | None = None
 def book_gap(mart: DataFrame, fs: FilterSet) -> DataFrame:
     """R-11: average vs ARR-weighted score of the filtered book.  NULL scores
     drop out of the numerator but their ARR stays in the denominator."""
-    f = mart.where(account_filter(fs))
+    f = filtered(mart, fs)
     t = S.score_tenths(F.col("avr_score"))
     arr = F.col("annual_commit_dollars")
     g = f.agg(F.count(F.lit(1)).alias("n_accounts"), F.sum(arr).alias("total_arr"),
@@ -198,12 +226,11 @@ def csm_gap_details(csm: DataFrame, fs: FilterSet, min_abs_gap: float = GAP_THRE
     f = csm.where((F.col("snapshot_date") == lit_date(fs.snapshot_date)) & (F.col("n_accounts") > 0)
                   & F.col("arr_weighted_avr").isNotNull())
     if fs.regions:
-        f = f.where(F.col("region").isin(list(fs.regions)))
+        f = having(f, "region", fs.regions)
     if fs.csm_ids:
-        f = f.where(F.col("csm_id").isin(list(fs.csm_ids)))
-    if mart is not None and (fs.account_ids or fs.segments):
-        own = mart.where(account_filter(FilterSet(snapshot_date=fs.snapshot_date, segments=fs.segments,
-                                                  account_ids=fs.account_ids)))
+        f = having(f, "csm_id", fs.csm_ids)
+    if mart is not None and (chosen(fs.account_ids) or fs.segments):
+        own = filtered(mart, FilterSet(snapshot_date=fs.snapshot_date, segments=fs.segments, account_ids=fs.account_ids))
         f = f.join(own.select(F.col("rep_id").alias("csm_id")).distinct(), "csm_id", "left_semi")
     gap = round_half_up(F.col("arr_weighted_avr") - F.col("avg_avr"), 1)
     return (f.select("csm_id", "csm_name", "region", "n_accounts", "book_arr",
@@ -221,7 +248,7 @@ def int_score(c: F.Column) -> F.Column:
 
 def expansion_opps(mart: DataFrame, fs: FilterSet, limit: int = EXPANSION_LIMIT) -> DataFrame:
     """R-13: flagged accounts, largest ARR first (top-k)."""
-    return (mart.where(account_filter(fs) & F.col("expansion_flag"))
+    return (filtered(mart, fs).where("expansion_flag")
             .select("account_id", "company_name", F.col("rep_id").alias("csm_id"), "region",
                     F.col("account_segment").alias("segment"), "annual_commit_dollars",
                     "days_to_renewal", int_score(F.col("avr_score")).alias("avr_score"), "band")
@@ -231,7 +258,7 @@ def expansion_opps(mart: DataFrame, fs: FilterSet, limit: int = EXPANSION_LIMIT)
 def account_list(mart: DataFrame, fs: FilterSet, limit: int = ACCOUNT_LIST_LIMIT) -> DataFrame:
     """R-14: filtered accounts with x100 integer component scores (top-k)."""
     comps = [int_score(F.col(f"{c}_score") * 100.0).alias(f"{c}_score") for c in "dcbrt"]
-    return (mart.where(account_filter(fs))
+    return (filtered(mart, fs)
             .select("account_id", "company_name", F.col("rep_id").alias("csm_id"), "region",
                     F.col("account_segment").alias("segment"), "annual_commit_dollars",
                     "days_in_contract", "days_to_renewal",
@@ -241,7 +268,7 @@ def account_list(mart: DataFrame, fs: FilterSet, limit: int = ACCOUNT_LIST_LIMIT
 
 def renewal_window(mart: DataFrame, fs: FilterSet, cfg: MetricConfig) -> DataFrame:
     """R-15: active accounts and those within the renewal window."""
-    f = mart.where(account_filter(fs))
+    f = filtered(mart, fs)
     n = F.count(F.lit(1))
     rw = F.count_if(F.col("days_to_renewal") <= cfg.expansion_days_to_renewal)
     return f.agg(n.alias("n_active"), rw.alias("n_renewal_window"),
@@ -264,21 +291,24 @@ def account_detail(mart: DataFrame, snapshot, account_id=None) -> DataFrame:
     return f.withColumn("csm_id", F.col("rep_id")).select(*DETAIL_COLUMNS)
 
 
-def account_active_ranges(mart: DataFrame) -> DataFrame:
-    """R-5: first / last snapshot per account (min() for a deterministic name)."""
-    return mart.groupBy("account_id").agg(F.min("company_name").alias("company_name"),
+def account_active_ranges(mart: DataFrame, account_ids=None) -> DataFrame:
+    """R-5: first / last snapshot per account (min() for a deterministic name); of chosen accounts (a list or a frame
+    of ids) where they are given."""
+    rows = mart if account_ids is None else having(mart, "account_id", account_ids)
+    return rows.groupBy("account_id").agg(F.min("company_name").alias("company_name"),
                                           F.min("snapshot_date").alias("first_snapshot"),
                                           F.max("snapshot_date").alias("last_snapshot"))
 
 
 def account_labels(mart: DataFrame) -> DataFrame:
-    """R-4 / F-19: picker label; "name (id)" only for names used by several ids."""
+    """R-4 / F-19: picker label; "name (id)" only for names used by several ids. Names are counted with map-side
+    combine; only the shared ones are looked up again, so a hot name is no group of one task."""
     d = mart.select("account_id", "company_name").distinct()
-    cnt = F.count(F.lit(1)).over(Window.partitionBy("company_name"))
-    return d.select("account_id", "company_name",
-                    F.when(cnt > 1, F.concat(F.col("company_name"), F.lit(" ("),
-                                             F.col("account_id").cast("string"), F.lit(")")))
-                     .otherwise(F.col("company_name")).alias("display_label"))
+    shared = d.groupBy("company_name").count().where("count > 1").select("company_name", F.lit(True).alias("_shared"))
+    return d.join(shared, "company_name", "left").select(
+        "account_id", "company_name",
+        F.when(F.col("_shared"), F.concat(F.col("company_name"), F.lit(" ("), F.col("account_id").cast("string"), F.lit(")")))
+         .otherwise(F.col("company_name")).alias("display_label"))
 
 
 def filter_options(mart: DataFrame, csm: DataFrame) -> DataFrame:
@@ -298,10 +328,10 @@ def csm_options(csm: DataFrame, regions: tuple = ()) -> DataFrame:
 
 
 def filter_diagnosis(mart: DataFrame, fs: FilterSet) -> DataFrame:
-    """R-17: for every account, why it is or is not in the filtered view on
-    the selected snapshot (active range vs other filters)."""
-    ranges = account_active_ranges(mart)
-    match = (mart.where(account_filter(fs)).select("account_id").distinct()
+    """R-17: for every account, or every chosen one, why it is or is not in the
+    filtered view on the selected snapshot (active range vs other filters)."""
+    ranges = account_active_ranges(mart, fs.account_ids if chosen(fs.account_ids) else None)
+    match = (filtered(mart, fs).select("account_id").distinct()
              .withColumn("matches", F.lit(True)))
     s = lit_date(fs.snapshot_date)
     in_range = (F.col("first_snapshot") <= s) & (F.col("last_snapshot") >= s)
@@ -355,12 +385,12 @@ def danger_zone(f: dict[str, DataFrame], as_of, limit: int = EXAMPLE_LIMIT) -> D
             .limit(limit))
 
 
-def weekly_usage(usage: DataFrame, accounts: DataFrame) -> DataFrame:
-    """R-20: Monday-based weekly active accounts and credits (known accounts)."""
-    return (usage.join(accounts.select("account_id"), "account_id", "left_semi")
-            .groupBy(F.trunc("date", "week").alias("week_start"))
-            .agg(F.countDistinct("account_id").alias("active_accounts"),
-                 F.sum("compute_credits_consumed").alias("total_credits_consumed")))
+def weekly_usage(days: DataFrame, accounts: DataFrame) -> DataFrame:
+    """R-20: Monday-based weekly active accounts and credits (known accounts),
+    from the usage by account and day, which is reduced to weeks before it meets the accounts."""
+    weekly = days.groupBy("account_id", F.trunc("date", "week").alias("week_start")).agg(F.sum("sx").alias("credits"))
+    return (weekly.join(accounts.select("account_id"), "account_id", "left_semi").groupBy("week_start")
+            .agg(F.count(F.lit(1)).alias("active_accounts"), F.sum("credits").alias("total_credits_consumed")))
 
 
 def band_distribution(scored: DataFrame) -> DataFrame:
@@ -440,44 +470,69 @@ def _v1(spark, root):
     return marts.point_in_time(inputs(spark, root, cfg), cfg)
 
 
+def _rollup(spark, root):
+    """The account mart's rollup as a written table beside it."""
+    am = materialized_marts(spark, root, CFG)[0]
+    return stored_table(spark, root, "kpi_rollup", lambda: kpi_rollup(am))
+
+
+def _calendar(spark, root):
+    """The snapshots that the mart has."""
+    return _rollup(spark, root).select("snapshot_date").distinct()
+
+
+def _window(spark, root):
+    return rolling_window_12m(_calendar(spark, root), REPORT_SNAPSHOT)
+
+
 @query("kpis")
 def q_kpis(spark, root):
-    _, am, _ = _marts(spark, root)
-    return kpis(am, default_filter(), [REPORT_SNAPSHOT, PRIOR_SNAPSHOT])
+    return kpis(_rollup(spark, root), default_filter(), compared(_calendar(spark, root), REPORT_SNAPSHOT))
 
 
 @query("kpis_filtered")
 def q_kpis_filtered(spark, root):
-    _, am, _ = _marts(spark, root)
     fs = FilterSet(snapshot_date=REPORT_SNAPSHOT, regions=("ASIA", "EUROPE", "AMERICA"),
                    segments=("Enterprise",), include_ramp=True, include_established=True)
-    return kpis(am, fs, [REPORT_SNAPSHOT])
+    return kpis(_rollup(spark, root), fs, [REPORT_SNAPSHOT])
 
 
 @query("kpi_deltas")
 def q_kpi_deltas(spark, root):
-    _, am, _ = _marts(spark, root)
-    return kpi_deltas(kpis(am, default_filter(), [REPORT_SNAPSHOT, PRIOR_SNAPSHOT]),
-                      REPORT_SNAPSHOT, PRIOR_SNAPSHOT)
+    return kpi_deltas(_rollup(spark, root), default_filter(), _calendar(spark, root))
+
+
+@query("prior_snapshots")
+def q_prior_snapshots(spark, root):
+    return with_prior(_calendar(spark, root))
 
 
 @query("purchased_vs_consumed")
 def q_pvc(spark, root):
     f, am, _ = _marts(spark, root)
-    return purchased_vs_consumed(am, f["daily_usage_logs"], default_filter(), CFG)
+    return purchased_vs_consumed(am, f["usage_days"], default_filter(), CFG)
+
+
+@query("purchased_vs_consumed_12m")
+def q_pvc_12m(spark, root):
+    return trimmed(q_pvc(spark, root), _window(spark, root))
 
 
 @query("ticket_trend")
 def q_ticket_trend(spark, root):
     f, am, _ = _marts(spark, root)
-    return ticket_trend(am, f["support_tickets"], default_filter(), CFG)
+    return ticket_trend(am, f["ticket_days"], default_filter(), CFG)
+
+
+@query("ticket_trend_12m")
+def q_ticket_trend_12m(spark, root):
+    return trimmed(q_ticket_trend(spark, root), _window(spark, root))
 
 
 @query("ticket_totals")
 def q_ticket_totals(spark, root):
-    f, am, _ = _marts(spark, root)
     win = rolling_window_12m(snapshot_dates(spark, CFG), REPORT_SNAPSHOT)
-    return ticket_totals(ticket_trend(am, f["support_tickets"], default_filter(), CFG), win)
+    return ticket_totals(q_ticket_trend(spark, root), win)
 
 
 @query("rolling_window_12m")
@@ -498,11 +553,27 @@ def q_book_gap(spark, root):
     return book_gap(am, default_filter())
 
 
+def _expanding(am) -> FilterSet:
+    """The report filters with chosen accounts, as a table: those flagged for expansion on the snapshot."""
+    ids = am.where((F.col("snapshot_date") == lit_date(REPORT_SNAPSHOT)) & F.col("expansion_flag")).select("account_id")
+    return replace(default_filter(), account_ids=ids)
+
+
+@query("csm_leaderboard_owners")
+def q_leaderboard_owners(spark, root):
+    _, am, cm = _marts(spark, root)
+    return csm_leaderboard(cm, _expanding(am), am)
+
+
 @query("csm_gap_details")
 def q_csm_gap(spark, root):
+    return csm_gap_details(_marts(spark, root)[2], default_filter(), GAP_REPORTED)
+
+
+@query("csm_gap_details_owners")
+def q_csm_gap_owners(spark, root):
     _, am, cm = _marts(spark, root)
-    fs = FilterSet(snapshot_date=REPORT_SNAPSHOT, csm_ids=tuple(range(1, 21)), segments=("Mid-Market",))
-    return csm_gap_details(cm, fs, 0.5, am)
+    return csm_gap_details(cm, replace(_expanding(am), segments=("Mid-Market",)), GAP_REPORTED, am)
 
 
 @query("expansion_opps")
@@ -535,6 +606,12 @@ def q_active_ranges(spark, root):
     return account_active_ranges(am)
 
 
+@query("account_active_ranges_chosen")
+def q_active_ranges_chosen(spark, root):
+    _, am, _ = _marts(spark, root)
+    return account_active_ranges(am, _expanding(am).account_ids)
+
+
 @query("account_labels")
 def q_account_labels(spark, root):
     _, am, _ = _marts(spark, root)
@@ -559,6 +636,13 @@ def q_filter_diagnosis(spark, root):
     return filter_diagnosis(am, default_filter())
 
 
+@query("filter_diagnosis_chosen")
+def q_filter_diagnosis_chosen(spark, root):
+    _, am, _ = _marts(spark, root)
+    early = replace(_expanding(am), snapshot_date=CFG.snapshot_start.replace(month=6, day=30))
+    return filter_diagnosis(am, early)
+
+
 @query("bought_vs_consumed")
 def q_bought_vs_consumed(spark, root):
     return bought_vs_consumed(inputs(spark, root), CFG.as_of)
@@ -572,12 +656,12 @@ def q_danger_zone(spark, root):
 @query("weekly_usage")
 def q_weekly_usage(spark, root):
     f = inputs(spark, root)
-    return weekly_usage(f["daily_usage_logs"], f["accounts"])
+    return weekly_usage(f["usage_days"], f["accounts"])
 
 
 @query("avr_point_in_time_v1")
 def q_v1(spark, root):
-    return _v1(spark, root)
+    return _v1(spark, root).orderBy("avr_score", "account_id")    # K-1: the lowest score first
 
 
 @query("band_distribution")
