@@ -47,9 +47,14 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 def write_raw_facts(df: DataFrame, path: str, date_col: str) -> None:
     """S-4 for the two large facts: partition by month (not by day, which
     would create hundreds of tiny directories)."""
-    months = df.withColumn("month", F.trunc(date_col, "month"))
-    months.repartition("month", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite") \
-        .partitionBy("month").parquet(path)
+    write_months(df, path, date_col)
+
+
+def write_months(df: DataFrame, path: str, date_col: str, only_given: bool = False) -> None:
+    """A table by day, partitioned by month; with `only_given` only the months that have rows are replaced."""
+    rows = df.withColumn("month", F.trunc(date_col, "month"))
+    (rows.repartition("month", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if only_given else "static").partitionBy("month").parquet(path))
 
 
 def write_mart(df: DataFrame, path: str, only_given: bool = True) -> None:
