@@ -116,3 +116,20 @@ def test_native_plan(spark):
 def test_small_trees(n):
     x = np.random.default_rng(1).normal(size=(n, 4))
     assert Tree(np.hstack([x, np.zeros((n, 1))])).root is not None
+
+
+def test_ties_between_different_vectors_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(12)
+    for low in (0, -1):    # few distinct scores: ties at nearly every last place
+        rows = [(int(i), rng.integers(low, 2, 12).astype(float).tolist()) for i in rng.permutation(900)]
+        rows = [r for r in rows if any(r[1])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        for shard_size in (16_384, 200):
+            assert found(nearest(df, F.col("vec_id") % 20 == 0, k=20, shard_size=shard_size)) == brute(rows, 20)
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rows = [(i, [float(i % 3), 1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    odd = df.select("*", *[F.lit("x").alias(c) for c in ("v", "q", "dim", "shard", "block", "rank", "query_id", "score")])
+    assert found(nearest(odd, F.col("vec_id") % 20 == 0, k=5)) == brute(rows, 5)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 LEAF = 256         # vectors below which a node is scanned
 QUERY_BLOCK = 4096
+PART = 512         # queries that a leaf is scanned for at a time
 
 
 class Tree:
@@ -46,11 +47,18 @@ class Tree:
 
 
 class Search:
-    """The k best of a tree for many queries at once; counts the inner products it takes."""
+    """The k best of a tree for many queries at once, ties to the smaller id; counts the inner products it takes.
 
-    def __init__(self, tree: Tree, vectors: np.ndarray, queries: np.ndarray, top: float, k: int, factor: float):
+    A leaf's scores are first taken by a matrix product, whose rounding differs
+    from pair to pair; whatever may be among the best is scored again by
+    `exact`, so equal vectors of components tie wherever they lie."""
+
+    def __init__(self, tree: Tree, vectors: np.ndarray, queries: np.ndarray, top: float, k: int, factor: float,
+                 ids: np.ndarray | None = None):
         self.tree, self.vectors, self.queries, self.k, self.factor = tree, vectors, queries, k, factor
+        self.ids = np.arange(len(vectors)) if ids is None else ids
         self.square = np.einsum("ij,ij->i", queries, queries) + top * top
+        self.slack = 1e-11 * self.square     # of a score, for rounding
         self.score = np.full((len(queries), k), -np.inf)
         self.index = np.full((len(queries), k), -1)
         self.lifted = np.hstack([queries, np.zeros((len(queries), 1))])
@@ -61,19 +69,15 @@ class Search:
     def _reach(self, q: np.ndarray) -> np.ndarray:
         """Distances within which better points may lie, divided by the factor."""
         worst = self.score[q].min(1)
-        return np.sqrt(np.maximum(self.square[q] - 2 * worst, 0)) / self.factor + 1e-9
+        return np.sqrt(np.maximum(self.square[q] - 2 * worst + self.slack[q], 0)) / self.factor + 1e-7 * np.sqrt(self.square[q])
 
     def _visit(self, node, q: np.ndarray) -> None:
         if not len(q):
             return
         if isinstance(node, np.ndarray):
             self.taken += len(q) * len(node)
-            s = self.queries[q] @ self.vectors[node].T
-            gains = (s > self.score[q].min(1)[:, None]).any(1)
-            q, s = q[gains], np.hstack([self.score[q[gains]], s[gains]])
-            i = np.hstack([self.index[q], np.broadcast_to(node, (len(q), len(node)))])
-            best = np.argpartition(-s, self.k - 1, axis=1)[:, :self.k]
-            self.score[q], self.index[q] = np.take_along_axis(s, best, 1), np.take_along_axis(i, best, 1)
+            for part in np.array_split(q, -(-len(q) // PART)):
+                self._scan(node, part)
             return
         pivot, middle, inner, outer = node
         self.taken += len(q)
@@ -87,6 +91,30 @@ class Search:
         self._visit(inner, right[d[~near] - middle <= self._reach(right)])
 
 
+    def _scan(self, node: np.ndarray, q: np.ndarray) -> None:
+        s = self.queries[q] @ self.vectors[node].T
+        least = self.score[q].min(1)
+        if len(node) > self.k:
+            least = np.maximum(least, np.partition(s, len(node) - self.k, axis=1)[:, len(node) - self.k])
+        row, col = np.nonzero(s >= (least - self.slack[q])[:, None])
+        if not len(row):
+            return
+        some, row = np.unique(row, return_inverse=True)
+        q, point = q[some], node[col]
+        row = np.concatenate([np.repeat(np.arange(len(q)), self.k), row])
+        score = np.concatenate([self.score[q].ravel(), exact(self.vectors[point], self.queries[q[row[len(q) * self.k:]]])])
+        point = np.concatenate([self.index[q].ravel(), point])
+        by = np.lexsort((self.ids[point], -score, row))
+        first = np.searchsorted(row[by], np.arange(len(q)))
+        keep = by[first[:, None] + np.arange(self.k)]     # every row has k at least
+        self.score[q], self.index[q] = score[keep], point[keep]
+
+
+def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row, each by the same summation."""
+    return (a * b).sum(1)
+
+
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -101,11 +129,11 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     square = np.einsum("ij,ij->i", distinct, distinct)
     tree = Tree(np.hstack([distinct, np.sqrt(np.maximum(top * top - square, 0))[:, None]]))
     # one more, as the query itself may be among them; equal vectors are one point with several ids
-    found = Search(tree, distinct, queries, top, min(k + 1, len(distinct)), factor).index
+    found = Search(tree, distinct, queries, top, min(k + 1, len(distinct)), factor, ids[by[first[:-1]]]).index
     out_q, out_i, out_s = [], [], []
     for r, q in enumerate(query_ids.tolist()):
         point = found[r][found[r] >= 0]
-        score = (distinct[point] * queries[r]).sum(1)
+        score = exact(distinct[point], queries[r])
         own = [ids[by[first[p]:min(first[p + 1], first[p] + k + 1)]] for p in point]
         i, s = np.concatenate(own), np.repeat(score, [len(x) for x in own])
         keep = i != q
