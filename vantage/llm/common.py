@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from vantage.session import ensure_checkpoint_dir
@@ -32,10 +35,43 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_TABLES: list[dict] = []        # what modules keep between the tasks of a worker
+_STAGE: list[int | None] = [None]
+
+
+def kept() -> dict:
+    """A table that a module keeps between the tasks of a stage. Workers are
+    reused by later stages: there it starts empty."""
+    _TABLES.append({})
+    return _TABLES[-1]
+
+
+def give_back() -> None:
+    """Freed memory of this worker goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def begin_task() -> None:
+    """Drop what a reused worker has kept from tasks of another stage."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if stage != _STAGE[0]:
+        _STAGE[0] = stage
+        for t in _TABLES:
+            t.clear()
+        give_back()
+
+
 def text_slices(batches, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into row slices of at most `max_bytes` of text (a longer
     single text is a slice of its own), so that the arrays that numpy makes from
-    a slice stay small whatever the batch size is."""
+    a slice stay small whatever the batch size is. What a task has freed by its
+    end goes back to the system."""
+    begin_task()
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
@@ -46,3 +82,4 @@ def text_slices(batches, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.R
             total += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()

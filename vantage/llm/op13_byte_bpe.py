@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import text_slices
+from vantage.llm.common import begin_task, kept, text_slices
 from vantage.llm.perfect_hash import MinimalHash
 from vantage.llm.textops import utf8
 from vantage.llm.tokens import SPACE, UNKNOWN, ByteBpe
@@ -185,7 +185,7 @@ class Bpe:
         return ids, total[np.searchsorted(at, offs)]
 
 
-_LOADED: dict[str, Bpe] = {}    # of the last vocabulary only
+_LOADED: dict[str, Bpe] = kept()    # of the last vocabulary only
 
 
 class Vocabulary:
@@ -239,6 +239,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = Non
     names = [c for c in (keep if keep is not None else docs.columns) if c not in (text, out)]
 
     def run(batches):
+        begin_task()
         bpe = vocabulary.bpe()
         for batch in text_slices(batches, text, SLICE_BYTES):
             yield _with(batch, names, out, _lists(*bpe.encode(batch.column(text)), binary))
@@ -281,6 +282,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, ids (as bytes, see `encode`) and decoded of every document: its text
     is encoded and its ids are decoded in the same task, by what `encode` and `decode` use."""
     def run(batches):
+        begin_task()
         bpe, decoder = vocabulary.bpe(), vocabulary.decoder()
         for batch in text_slices(batches, "text", SLICE_BYTES):
             ids, offs = bpe.encode(batch.column("text"))

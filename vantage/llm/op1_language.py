@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import text_slices
+from vantage.llm.common import begin_task, kept, text_slices
 from vantage.llm.textops import utf8
 
 UNDETERMINED = "und"
@@ -153,7 +153,7 @@ class Model:
         return out
 
 
-_MODELS: dict[str, Model] = {}
+_MODELS: dict[str, Model] = kept()
 
 
 def predict(docs: DataFrame, counts: Counts, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -167,6 +167,7 @@ def predict(docs: DataFrame, counts: Counts, text: str = "text", keep: tuple[str
     kept = [f for f in frame.schema if f.name != "_text"]
 
     def score(batches):
+        begin_task()
         counts = shared.value
         if counts.languages and counts.uid not in _MODELS:  # once for each Python worker
             _MODELS.clear()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm import range_coder
-from vantage.llm.common import scratch, text_slices
+from vantage.llm.common import begin_task, scratch, text_slices
 from vantage.llm.tokens import tokenizer
 
 FORMAT = "vantage-ids-1"
@@ -111,8 +111,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
         held, waiting, number, before = [], 0, 0, 0
         docs_, sizes_, ids_, n = [], [], [], 0
         part = 0
+        begin_task()
         bpe = tokenizer(source)
-        for piece in text_slices(batches, "text", 8 << 20):
+        for piece in text_slices(batches, "text", 2 << 20):
             part = piece.column("part")[0].as_py()
             ids, sizes = bpe.encode(piece.column("text"))
             ends = np.cumsum(sizes)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import text_slices
+from vantage.llm.common import kept, text_slices
 from vantage.llm.textops import U64, Words, mix64, shingles
 
 K = 5                     # words of a shingle
@@ -141,7 +141,7 @@ def search_text(index: Index, h: np.ndarray, hit: np.ndarray, radius: int, thres
     return best
 
 
-_INDEX: dict[str, Index] = {}
+_INDEX: dict[str, Index] = kept()
 
 
 def _index(items: Items) -> Index:

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from vantage.llm.common import kept
+
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -85,7 +87,7 @@ def byte_values(seed: int) -> np.ndarray:
         return mix64(np.arange(1, 257, dtype=U64) * U64(_STEP) + U64(seed)) | U64(1)
 
 
-_POW: dict[int, np.ndarray] = {}
+_POW: dict[int, np.ndarray] = kept()
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
@@ -93,7 +95,7 @@ def powers(n: int, base: int = _BASE) -> np.ndarray:
     have = _POW.get(base)
     if have is None or len(have) <= n:
         with np.errstate(over="ignore"):
-            seq = np.full(max(n, 1 << 22) + 1, U64(base))
+            seq = np.full(max(n, 1 << 18) + 1, U64(base))
             seq[0] = 1
             have = _POW[base] = np.cumprod(seq, dtype=U64)
     return have

@@ -15,12 +15,13 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from vantage.llm.common import kept
 from vantage.llm.textops import utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
-KEEP_PIECES = 1_000_000    # pieces a worker keeps; then it starts anew
+KEEP_PIECES = 400_000    # pieces a worker keeps; then it starts anew
 SHORT = [b"s", b"t", b"m", b"d"]          # endings that an apostrophe takes along
 LONG = [b"re", b"ve", b"ll"]
 
@@ -131,7 +132,7 @@ class ByteBpe:
             self.ids = np.concatenate([self.ids, np.zeros(ids, np.uint32)])
 
 
-_LOADED: dict[str, ByteBpe] = {}
+_LOADED: dict[str, ByteBpe] = kept()
 
 
 def tokenizer(path: str) -> ByteBpe:
