@@ -158,8 +158,9 @@ GENERIC_CHECKS: tuple[Check, ...] = (
 )
 
 
-#: Staging tables that hold every row and column of a raw table: both are read in one pass.
-SAME_ROWS = {"contracts": "stg_contracts", "daily_usage_logs": "stg_daily_usage_logs", "support_tickets": "stg_support_tickets"}
+#: Staging tables that hold every row of a raw table: checks on columns that both have are settled in one pass.
+SAME_ROWS = {"accounts": "stg_accounts", "contracts": "stg_contracts", "daily_usage_logs": "stg_daily_usage_logs",
+             "support_tickets": "stg_support_tickets", "account_health": "stg_account_health"}
 
 
 def _fails(c: Check) -> F.Column:
