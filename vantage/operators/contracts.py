@@ -130,11 +130,14 @@ def overlapping_contracts(contracts: DataFrame, same_type_only: bool = True, onl
     """
     keys = ["account_id"] + (["contract_type"] if same_type_only else [])
     cols = ["contract_id", "contract_type", "start_date", "end_date"]
+    later = contracts
+    if only_inverted:   # y is inverted; x is looked for in its accounts only
+        later = contracts.where(F.col("end_date") < F.col("start_date"))
+        contracts = contracts.join(later.select("account_id").distinct(), "account_id", "left_semi")
     x = contracts.select("account_id", *[F.col(c).alias(f"x_{c}") for c in cols],
                          F.explode(F.sequence(F.trunc("start_date", "month"),
                                               F.trunc(F.greatest("start_date", "end_date"), "month"),
                                               F.expr("INTERVAL 1 MONTH"))).alias("bucket"))
-    later = contracts.where(F.col("end_date") < F.col("start_date")) if only_inverted else contracts
     y = later.select("account_id", *[F.col(c).alias(f"y_{c}") for c in cols],
                          F.trunc("start_date", "month").alias("bucket"))
     x = x.withColumnRenamed("x_contract_type", "contract_type") if same_type_only else x

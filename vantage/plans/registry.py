@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,15 +54,25 @@ def marts_df(spark, root, cfg=CFG):
 _READY: dict[str, StructType] = {}    # schemas of complete tables: reading them again needs no look at their files
 
 
+def _code() -> str:
+    """A digest of the library's own modules: tables made by other code are not read."""
+    top = Path(__file__).resolve().parent.parent
+    files = [f for d in ("", "functions", "operators", "plans", "sources") for f in sorted((top / d).glob("*.py"))]
+    return hashlib.sha1(b"".join(f.read_bytes() for f in files)).hexdigest()
+
+
+_CODE = _code()
+
+
 def store(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> str:
     """Folder of the tables derived from `root`: below the session's shared
-    checkpoint folder, named by the configuration and by name, size and time of
-    every input file (as its own store reports them), so a changed input never
-    meets old tables. Files that can't be listed are an error."""
+    checkpoint folder, named by the library's code, the configuration and name,
+    size and time of every input file (as its own store reports them), so a
+    changed input never meets old tables. Files that can't be listed are an error."""
     from vantage.session import ensure_checkpoint_dir
     from vantage.sources.io import file_state
     state = [file_state(spark, f"{root}/{t}.parquet") for t in DRIVER_TABLES]
-    key = hashlib.sha1(repr((state, cfg)).encode()).hexdigest()[:16]
+    key = hashlib.sha1(repr((state, cfg, _CODE)).encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vantage-marts/{key}"
 
 
