@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
-from llm_data import awkward, frame, with_clashes
+from llm_data import awkward, frame, with_clashes, words
 from vantage.llm.op5_suffix_dedup import remove_repeats, suffix_sort
 from vantage.llm.op9_sentence_spans import remove_spans
 from vantage.llm.textops import PrefixHash, Words
@@ -52,6 +52,17 @@ def test_given_documents_equal_brute_force(spark):
     assert as_dict(remove_repeats(df)) == brute_bytes(rows, 100)
 
 
+def test_a_gram_of_thousands_of_regions(spark):
+    """One passage behind different words in 2,500 texts: parts of 300 regions give what one part gives."""
+    rnd = random.Random(12)
+    passage = " ".join(words(rnd, 30))
+    rows = [(i, "".join(rnd.choice("ab") for _ in range(rnd.randint(60, 90))) + passage[:rnd.randint(140, len(passage))]
+             + "".join(rnd.choice("yz") for _ in range(60))) for i in range(2500)]
+    want = brute_bytes(rows, 100)
+    for hot in (300, 8192):
+        assert as_dict(remove_repeats(frame(spark, rows, 6), length=100, hot=hot)) == want
+
+
 def test_suffix_order():
     rnd = np.random.default_rng(2)
     data = rnd.integers(97, 99, 4000).astype(np.uint8)

@@ -15,9 +15,11 @@ suffixes are sorted in buckets that are found first:
    for each window) are sorted within (gram, offset) buckets by a mergesort
    whose comparisons find the common extension of two suffixes by binary
    search over prefix polynomial hashes; neighbours that share `length` bytes
-   are verified byte by byte, and all but the earliest are removed.
-   Buckets of more than `hot` regions send one row for each window instead,
-   keyed by two independent 64-bit hashes, and meet in an ordinary shuffle.
+   are verified byte by byte, and all but the earliest are removed. Every
+   group of regions goes this way: it is dealt by hash over parts of about
+   `hot` regions, so that no task sorts a hot group whole, and the first window
+   of each kind in a part then meets those of the group's other parts by its
+   bytes (a group of one part has no others).
 
 A region is named by two independent 64-bit hashes (its gram's and its own).
 """
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.common import materialize, text_slices
-from vantage.llm.textops import U64, PrefixHash, mix64, raw_bytes, utf8
+from vantage.llm.textops import U64, PrefixHash, mix64, utf8
 
 NO_ID = -(1 << 63)               # stands for a null doc_id: it comes first
 RANGE = (1 << 14) - 1            # low bits of `at` in rows that are settled ranges
@@ -202,8 +204,9 @@ def suffix_sort(data: np.ndarray, h: PrefixHash, start: np.ndarray, bucket: np.n
 
 
 def repeated_windows(ctx: list[bytes], group: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray,
-                     length: int):
-    """Ranges (doc, tag, start, end) of the windows of the regions `ctx` that an earlier region of their group has too."""
+                     length: int, parted: np.ndarray | None = None):
+    """Ranges (doc, tag, start, end) of the windows of the regions `ctx` that an earlier region of their group has too,
+    and (region, start in its text, bytes) of the first window of each kind in the regions that are `parted`."""
     sizes = np.array([len(c) for c in ctx])
     data = np.frombuffer(b"".join(ctx), np.uint8)
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -213,7 +216,9 @@ def repeated_windows(ctx: list[bytes], group: np.ndarray, doc: np.ndarray, tag:
     bucket = (np.unique(group, return_inverse=True)[1][rep].astype(np.int64) << 7) | (to_anchor[rep] - p)
     by = np.argsort(bucket, kind="stable")
     counts = np.bincount(np.unique(bucket, return_inverse=True)[1])
-    by = by[np.repeat(counts, counts) > 1]  # a window alone in its bucket has no equal
+    alone = np.repeat(counts, counts) == 1  # a window alone in its bucket has no equal here
+    single, by = by[alone], by[~alone]
+    single = (rep[single], p[single])
     rep, p, bucket = rep[by], p[by], bucket[by]
     start = first[rep] + p
     for seed in range(3, 99):  # another seed if two different windows ever share a hash
@@ -239,7 +244,13 @@ def repeated_windows(ctx: list[bytes], group: np.ndarray, doc: np.ndarray, tag:
         least = np.repeat(np.minimum.reduceat(key, opens), np.diff(np.append(opens, len(key))))
         later = key > least
     r, q = rep[later], low[rep[later]] + p[later]
-    return _merge_ranges(doc[r], tag[r], q, q + length)
+    found = _merge_ranges(doc[r], tag[r], q, q + length)
+    if parted is None or not parted.any():
+        return found, (np.zeros(0, np.int64), np.zeros(0, np.int64), [])
+    r, q = np.concatenate([rep[~later], single[0]]), np.concatenate([p[~later], single[1]])
+    r, q = r[parted[r]], q[parted[r]]
+    raw = data.tobytes()
+    return found, (r, low[r] + q, [raw[x:x + length] for x in (first[r] + q).tolist()])
 
 
 # ---- the Spark plan ----------------------------------------------------------
@@ -250,7 +261,7 @@ def _one_of_each(rows: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """gh, doc, tag, at, many, ctx (the region's bytes) of the wanted regions (gh, doc, tag, at, many)."""
+    """gh, doc, tag, at, parts, ctx (the region's bytes) of the wanted regions (gh, doc, tag, at, parts)."""
 
     def cut(batches):
         for part in text_slices(batches, "text", 2 << 20):
@@ -263,62 +274,53 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             high = low + (at & 127) + length
             yield pa.RecordBatch.from_arrays(
                 [values.field("gh"), part.column("doc").take(pa.array(owner)), part.column("tag").take(pa.array(owner)),
-                 pa.array(at), values.field("many"),
+                 pa.array(at), values.field("parts"),
                  pa.array([raw[s:e] for s, e in zip(low.tolist(), high.tolist())], pa.binary())],
-                names=["gh", "doc", "tag", "at", "many", "ctx"])
+                names=["gh", "doc", "tag", "at", "parts", "ctx"])
 
-    listed = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("gh", "at", "many")).alias("wanted"))
+    listed = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("gh", "at", "parts")).alias("wanted"))
     return _one_of_each(docs).join(listed, ["doc", "tag"]).select("doc", "tag", "text", "wanted").mapInArrow(
-        cut, "gh long, doc long, tag long, at long, many boolean, ctx binary")
+        cut, "gh long, doc long, tag long, at long, parts long, ctx binary")
 
 
 def _by_suffix_sort(ctx: DataFrame, length: int) -> DataFrame:
-    """Settled ranges of the regions that share an anchor gram; the partitions hold whole groups in order."""
+    """Settled ranges of the regions that share an anchor gram, and with their bytes (`win`) the first windows of each
+    kind of groups that have several parts. The partitions hold whole parts of groups in order."""
 
     def solve(batches):
         def done(rows):
-            keys = (np.array(x, np.int64) for x in zip(*[r[:4] for r in rows]))
-            return _range_rows(*repeated_windows([r[4] for r in rows], *keys, length))
+            group, part, parts, doc, tag, at = (np.array(x, np.int64) for x in zip(*[r[:6] for r in rows]))
+            new = np.ones(len(rows), np.int64)
+            new[1:] = (group[1:] != group[:-1]) | (part[1:] != part[:-1])
+            found, (r, at_byte, raw) = repeated_windows([r[6] for r in rows], np.cumsum(new), doc, tag, at, length,
+                                                        parts > 1)
+            for out, win in ((_range_rows(*found), None),
+                             (_rows(group[r], np.zeros(len(r), np.int64), doc[r], tag[r], pack(at_byte, 0, 0)), raw)):
+                win = pa.nulls(out.num_rows, pa.binary()) if win is None else pa.array(win, pa.binary())
+                yield pa.RecordBatch.from_arrays([*out.columns, win], names=[*out.schema.names, "win"])
 
         rows: list = []
-        for part in batches:
-            for r in zip(*(part.column(c).to_pylist() for c in ("gh", "doc", "tag", "at", "ctx"))):
-                if len(rows) >= 20_000 and r[0] != rows[-1][0]:
-                    yield done(rows)
+        for batch in batches:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("gh", "part", "parts", "doc", "tag", "at", "ctx"))):
+                if len(rows) >= 8_192 and r[:2] != rows[-1][:2]:
+                    yield from done(rows)
                     rows = []
                 rows.append(r)
         if rows:
-            yield done(rows)
-
-    return (ctx.select("gh", "doc", "tag", "at", "ctx").repartition("gh").sortWithinPartitions("gh")
-            .mapInArrow(solve, ROW))
-
-
-def _by_window_rows(ctx: DataFrame, length: int) -> DataFrame:
-    """Settled ranges of regions of hot anchor grams: one row for each window, settled in tasks before the shuffle."""
-
-    def explode(batches):
-        for part in batches:
-            docs, tags, at = (part.column(c).to_numpy() for c in ("doc", "tag", "at"))
-            data, offs = raw_bytes(part.column("ctx"))
-            wins = (at & 127) + 1
-            rep = np.repeat(np.arange(len(at)), wins)
-            p = np.arange(len(rep)) - np.repeat(np.cumsum(wins) - wins, wins)
-            s = offs[rep] + p
-            one, two = PrefixHash(data, 5), PrefixHash(data, 6)
-            low = at >> 14
-            yield from _settle([(mix64(one.of(s, s + length)), mix64(two.of(s, s + length)), docs[rep], tags[rep],
-                                 pack(low[rep] + p, 0, 0))], length)
-
-    rows = ctx.mapInArrow(explode, ROW)
-    by = Window.partitionBy("gh", "rh").orderBy("doc", "tag", "at")
-    settled = F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE
-    # strictly later than the first: a row that repeats is not
-    return (rows.withColumn("_first", F.first(F.struct("doc", "tag", "at")).over(by))
-            .where(settled | (F.col("_first") < F.struct("doc", "tag", "at"))).select("gh", "rh", "doc", "tag", "at"))
+            yield from done(rows)
+
+    dealt = ctx.withColumn("part", F.pmod(F.xxhash64("doc", "tag", "at"), F.col("parts")))
+    return (dealt.select("gh", "part", "parts", "doc", "tag", "at", "ctx").repartition("gh", "part")
+            .sortWithinPartitions("gh", "part").mapInArrow(solve, ROW + ", win binary"))
+
+
+def _between_parts(firsts: DataFrame) -> DataFrame:
+    """Windows that an earlier part's first window equals, byte by byte; a kind has one row for each part at most."""
+    by = Window.partitionBy("gh", "win").orderBy("doc", "tag", "at")
+    return firsts.withColumn("_nth", F.row_number().over(by)).where("_nth > 1").select("gh", "rh", "doc", "tag", "at")
 
 
-def find_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 128) -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 8_192) -> DataFrame:
     """doc, tag, at, span: ranges of bytes to remove (they may overlap) of rows (doc, tag, text)."""
     rows = _region_rows(docs, length, gram)
     by = Window.partitionBy("gh").orderBy("rh", "doc", "tag", "at")
@@ -331,13 +333,14 @@ def find_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int =
              .where(settled | F.col("_was").isNull() | (F.col("_was") != F.struct("rh", "doc", "tag", "at")))
              .withColumn("later", settled | F.coalesce(F.col("_was.rh") == F.col("rh"), F.lit(False)))
              .where(F.col("later") | (F.col("_least") != F.col("_most")))
-             .select("gh", "rh", "doc", "tag", "at", "later", F.col("_n").alias("n")))
+             .select("gh", "rh", "doc", "tag", "at", "later", F.ceil(F.col("_n") / hot).alias("parts")))
     kinds = materialize(kinds, "regions")
-    wanted = kinds.where("not later").select("gh", "doc", "tag", "at", (F.col("n") > hot).alias("many"))
+    wanted = kinds.where("not later").select("gh", "doc", "tag", "at", "parts")
     ctx = materialize(_contexts(docs, wanted, length), "contexts")
+    sorted_ = materialize(_by_suffix_sort(ctx, length), "sorted")
     found = (kinds.where("later").select("gh", "rh", "doc", "tag", "at")
-             .unionAll(_by_suffix_sort(ctx.where("not many"), length))
-             .unionAll(_by_window_rows(ctx.where("many"), length)))
+             .unionAll(sorted_.where("win is null").select("gh", "rh", "doc", "tag", "at"))
+             .unionAll(_between_parts(sorted_.where("win is not null"))))
     covered = F.when(F.col("at").bitwiseAND(F.lit(RANGE)) == RANGE, F.col("rh")).otherwise(
         F.col("at").bitwiseAND(F.lit(127)) + length)
     return found.select("doc", "tag", "at", covered.alias("span"))
@@ -380,7 +383,7 @@ def _cut(rows: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     return cuts.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 128,
+def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int = 8_192,
                    with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes) of every row of `docs` (doc_id, text).
 
