@@ -90,6 +90,25 @@ def test_every_template_is_found_whole_and_in_part(spark):
             assert (10 * i + 2, name) in got
 
 
+def test_shared_templates_and_notices_equal_the_sql(spark, tmp_path):
+    """Whole, cut and mixed notices between other words, by the SQL that knows no key words."""
+    texts, rows = [plain_words(t) for t in TEMPLATES.values()], []
+    rnd = np.random.default_rng(3)
+    for i in range(150):
+        out = []
+        for j in rnd.integers(0, len(texts), 3):
+            t = texts[j]
+            low = int(rnd.integers(0, max(1, len(t) // 6)))
+            out += ["filler"] * int(rnd.integers(0, 40)) + t[low:len(t) - int(rnd.integers(0, max(1, len(t) // 8)))]
+        rows.append((i // 2, " ".join(out)))
+    frame(spark, rows).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    got = scan(spark.read.parquet(str(tmp_path / "documents")))
+    want = con.sql(E.oracle_sql()["op8_licenses"]).project(", ".join(got.columns)).fetchall()
+    assert len(want) > 200 and sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_key_words_leave_no_room_for_a_match_without_them():
     for threshold in (0.5, 0.8, 1.0):
         keys = set(key_words(TEMPLATES, threshold))

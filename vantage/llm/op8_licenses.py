@@ -23,25 +23,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vantage.llm.license_texts import TEMPLATES
+
 K = 5
 BANDS = 24
-BROADCAST_TEMPLATES = 5_000
-
-# The wording of common license notices.
-TEMPLATES = {
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "mit": "Released under the MIT License.",
-    "all-rights-reserved": "All rights reserved.",
-    "mit-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                      "associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are "
-                          "permitted provided that the following conditions are met",
-    "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                  "General Public License as published by the Free Software Foundation",
-    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-}
+BROADCAST_BYTES = 32 << 20  # of banded templates
 
 
 def plain_words(text: str) -> list[str]:
@@ -131,7 +117,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     keys = banded(known, "need")
     share = F.size(F.array_intersect("need", "held")) / F.size("need")
     # an argument of checked size goes to every executor; a larger one meets the windows in a shuffle
-    keys = F.broadcast(keys) if len(templates) <= BROADCAST_TEMPLATES else keys.hint("merge")
+    held_bytes = sum(BANDS * (8 * len(plain_words(t)) + len(name) + 64) for name, t in templates.items())
+    keys = F.broadcast(keys) if held_bytes <= BROADCAST_BYTES else keys.hint("merge")
     met = hashed.join(keys, ["size", "band", "least"]).select("doc_id", "license_id", "start", share.alias("share"))
     return (met.where(F.col("share") >= threshold).groupBy("doc_id", "license_id")
             .agg(F.max(F.struct("share", -F.col("start"))).alias("best"), F.count_distinct("start").alias("n_windows"))
@@ -149,7 +136,8 @@ def _runs(words: Column, sizes: list[int]) -> Column:
 
 
 def oracle(templates: dict[str, str] | None = None, threshold: float = 0.8) -> str:
-    """DuckDB SQL of `scan`: every window against every template of its length, without bands."""
+    """DuckDB SQL of `scan` over all texts: every shingle of a text that a template has, and the windows that hold it.
+    It knows neither key words nor bands."""
     templates = TEMPLATES if templates is None else templates
     rows = ", ".join(f"('{name}', {plain_words(t)})" for name, t in templates.items())
     return f"""
@@ -157,14 +145,18 @@ WITH t(license_id, words) AS (VALUES {rows}),
 tk AS (SELECT license_id, len(words) AS size, least(len(words), {K}) AS k, words FROM t),
 tg AS (SELECT license_id, size, k, list_distinct(list_transform(range(1, size - k + 2),
          lambda i: array_to_string(words[i:i + k - 1], ' '))) AS need FROM tk),
-w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
-         lambda x: x <> '') AS words
-      FROM documents WHERE regexp_matches(lower(text), '{"|".join(key_words(templates, threshold))}')),
-win AS (SELECT doc_id, license_id, need, k, s AS start, words[s + 1:s + size + size // 4] AS v
-        FROM w, tg, LATERAL (SELECT unnest(range(0, len(words) - size + 1, size // 4 + 1)) AS s)
-        WHERE len(words) >= size),
-held AS (SELECT doc_id, license_id, start, len(list_intersect(need, list_transform(range(1, len(v) - k + 2),
-           lambda i: array_to_string(v[i:i + k - 1], ' ')))) / len(need) AS share FROM win),
+ts AS (SELECT license_id, size, k, size + size // 4 AS width, size // 4 + 1 AS step, len(need) AS needed,
+              unnest(need) AS shingle FROM tg),
+w AS (SELECT doc_id, row_number() OVER () AS r, list_filter(string_split(
+         regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS words FROM documents),
+runs AS (SELECT doc_id, r, words, len(words) AS n, k, unnest(range(0, len(words) - k + 1)) AS p
+       FROM w, (SELECT DISTINCT k FROM tk) WHERE len(words) >= k),
+hit AS (SELECT doc_id, r, n, p, k, license_id, size, width, step, needed, shingle
+        FROM (SELECT doc_id, r, n, p, k, array_to_string(words[p + 1:p + k], ' ') AS shingle FROM runs)
+        JOIN ts USING (k, shingle) WHERE n >= size),
+win AS (SELECT doc_id, r, license_id, needed, shingle, unnest(range(
+          greatest(0, CAST(ceil((p + k - width) / step) AS BIGINT)) * step, least(p, n - size) + 1, step)) AS start FROM hit),
+held AS (SELECT doc_id, r, license_id, start, count(DISTINCT shingle) / any_value(needed) AS share FROM win GROUP BY ALL),
 ok AS (SELECT * FROM held WHERE share >= {threshold})
 SELECT doc_id, license_id, max(share) AS containment,
        CAST(arg_min(start, (-share, start)) AS INTEGER) AS start_word, count(DISTINCT start) AS n_windows
