@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from llm_data import awkward, frame, with_clashes, words
+from vantage.llm import op4_mixing
 from vantage.llm.op4_mixing import leaf_budgets, mix
 
 
@@ -65,6 +66,16 @@ def test_query_equals_its_sql(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want.project(", ".join(got.columns)).fetchall())
 
 
+def test_leaves_too_many_to_broadcast(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(words(rnd, rnd.randint(0, 30))), rnd.choice(["en", "de"]), f"s{max(0, rnd.randint(-9, 4))}")
+            for i in range(400)]
+    take = lambda: sorted((r.doc_id, r._epoch) for r in mix(frame(spark, rows), F.col("lang"), {}, 0.7, 2).collect())
+    few = take()
+    monkeypatch.setattr(op4_mixing, "BROADCAST_BYTES", -1)
+    assert few and take() == few
+
+
 def test_awkward_rows(spark, hard, none):
     for share, epochs in ((0.5, 2), (1.0, 1), (2.5, 3), (0.0, 1)):
         out = mix(with_clashes(hard), F.col("source"), {}, share, epochs)

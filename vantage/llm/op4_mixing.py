@@ -12,14 +12,22 @@ Only sums meet in windows over the tree. A leaf's cut is found by bucket: the
 leaf's keys (md5 of seed, epoch and doc_id) fall into 4,096 buckets, whose sums
 show the bucket in which the budget ends, so that the rows of a hot leaf are
 never sorted in one task. Documents are taken by comparing their key with it.
+The budgets, one row for each leaf, are written once; they are broadcast to the
+documents if their bytes are few, and otherwise meet them by leaf and salt.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vantage.llm.common import materialize
+
 LEVELS = ["domain", "lang", "source"]
+BROADCAST_BYTES = 16 << 20   # of the leaves' names and budgets
+SALTS = 64                   # parts of a leaf where its budget is not broadcast
 
 
 def weight(column: Column, weights: dict[str, int], default: int = 1) -> Column:
@@ -62,8 +70,8 @@ def leaf_budgets(leaves: DataFrame, budget_share: float, max_epochs: int, weight
     n = leaves.withColumn("cap", F.col("tokens") * max_epochs)
     for depth in (2, 1):
         n = n.withColumn(f"cap{depth}", F.sum("cap").over(Window.partitionBy(*LEVELS[:depth])))
-    given = F.floor(F.sum("tokens").over(Window.partitionBy()) * F.lit(budget_share)).cast("long")
-    n = n.withColumn("given", given)
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0  # one number
+    n = n.withColumn("given", F.lit(math.floor(float(total) * budget_share)).cast("long"))
     for depth, level in enumerate(LEVELS, 1):
         cap = f"cap{depth}" if depth < len(LEVELS) else "cap"
         nodes = n.select(*LEVELS[:depth], F.col(cap).alias("cap"), "given").distinct().withColumn(
@@ -73,6 +81,15 @@ def leaf_budgets(leaves: DataFrame, budget_share: float, max_epochs: int, weight
     return n.select(*LEVELS, "tokens", F.col("given").alias("budget"))
 
 
+def with_leaf(rows: DataFrame, leaves: DataFrame, few: bool) -> DataFrame:
+    """Inner join of rows with one row for each leaf; a leaf may hold most of the rows."""
+    if few:
+        return rows.join(F.broadcast(leaves), LEVELS)
+    parts = leaves.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))  # the same if a task runs again
+    return salted.join(parts.hint("merge"), [*LEVELS, "_salt"]).drop("_salt")
+
+
 def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], budget_share: float = 0.5,
         max_epochs: int = 2, seed: int = 11) -> DataFrame:
     """The chosen rows of `docs` with its columns, and _domain, _epoch, _tokens; a row of several epochs comes once for each.
@@ -86,12 +103,14 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], bud
     blank = F.lit("")
     rows = docs.withColumn("_domain", F.coalesce(domain, blank)).toDF(*names, "domain").withColumns(
         {"lang": F.coalesce(lang, blank), "source": F.coalesce(source, blank), "_tokens": token_count(text)})
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("_tokens").alias("tokens"))
-    plan = leaf_budgets(leaves, budget_share, max_epochs, weights).where("tokens > 0").select(
-        *LEVELS, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest"))
+    slim = materialize(rows.select(*LEVELS, "_tokens", doc_id.alias(names[docs.columns.index("doc_id")])), "mixing-rows")
+    leaves = materialize(slim.groupBy(*LEVELS).agg(F.sum("_tokens").alias("tokens")), "mixing-leaves")
+    plan = materialize(leaf_budgets(leaves, budget_share, max_epochs, weights).where("tokens > 0").select(
+        *LEVELS, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest")), "mixing-plan")
+    held = plan.agg(F.sum(sum(F.octet_length(c) for c in LEVELS) + F.lit(64 + 32))).first()[0] or 0
+    few = held <= BROADCAST_BYTES
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole"), F.coalesce(doc_id.cast("string"), blank)))
-    keyed = (rows.select(*LEVELS, "_tokens", doc_id.alias(names[docs.columns.index("doc_id")]))
-             .join(plan.where("rest > 0"), LEVELS).withColumn("key", key))
+    keyed = with_leaf(slim, plan.where("rest > 0"), few).withColumn("key", key)
     sums = keyed.groupBy(*LEVELS, "rest", "key").agg(F.sum("_tokens").alias("n")).withColumn(
         "bucket", F.substring("key", 1, 3))
     ends = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,8 +122,8 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], bud
     cut = (sums.join(edge, [*LEVELS, "bucket"])
            .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
            .where("before < rest").groupBy(*LEVELS).agg(F.max("key").alias("cut")))
-    take = plan.join(cut, LEVELS, "left")
-    chosen = (rows.join(take, LEVELS).withColumn("copies", F.col("whole") + F.when(key <= F.col("cut"), 1).otherwise(0))
+    take = materialize(plan.join(cut, LEVELS, "left"), "mixing-cuts")
+    chosen = (with_leaf(rows, take, few).withColumn("copies", F.col("whole") + F.when(key <= F.col("cut"), 1).otherwise(0))
               .where("copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int")))))
     out = chosen.select(*names, "domain", "_epoch", "_tokens")
     return out.toDF(*docs.columns, "_domain", "_epoch", "_tokens")
