@@ -17,7 +17,7 @@ suffixes are sorted in buckets that are found first:
    search over prefix polynomial hashes; neighbours that share `length` bytes
    are verified byte by byte, and all but the earliest are removed. Every
    group of regions goes this way: it is dealt by hash over parts of about
-   `hot` regions, so that no task sorts a hot group whole, and the first window
+   `hot` different regions, so that no task sorts a hot group whole, and the first window
    of each kind in a part then meets those of the group's other parts by its
    bytes (a group of one part has no others).
 
@@ -333,7 +333,8 @@ def find_repeats(docs: DataFrame, length: int = 100, gram: int = 32, hot: int =
              .where(settled | F.col("_was").isNull() | (F.col("_was") != F.struct("rh", "doc", "tag", "at")))
              .withColumn("later", settled | F.coalesce(F.col("_was.rh") == F.col("rh"), F.lit(False)))
              .where(F.col("later") | (F.col("_least") != F.col("_most")))
-             .select("gh", "rh", "doc", "tag", "at", "later", F.ceil(F.col("_n") / hot).alias("parts")))
+             .withColumn("_kinds", F.count(F.when(~F.col("later"), 1)).over(Window.partitionBy("gh")))
+             .select("gh", "rh", "doc", "tag", "at", "later", F.ceil(F.col("_kinds") / hot).alias("parts")))
     kinds = materialize(kinds, "regions")
     wanted = kinds.where("not later").select("gh", "doc", "tag", "at", "parts")
     ctx = materialize(_contexts(docs, wanted, length), "contexts")
