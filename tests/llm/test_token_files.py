@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from llm_data import awkward, frame, with_clashes, words
 from vantage.llm import range_coder
@@ -39,18 +40,30 @@ def test_ids_that_do_not_fit_are_refused():
 
 def test_pieces_equal_the_library(rnd=random.Random(5)):
     bpe = ByteBpe(default_tokenizer())
-    alphabet = list("aab  \n\t'''stmrevld019.,!é中  ²Ⅷ😀\r") + ["'s", "'ll", " '", "'re", "<|endoftext|>"]
+    alphabet = list("aab  \n\t'''stmrevld019.,!é中  ²Ⅷ😀\r") + ["'s", "'ll", " '", "'re", "<|endoftext|>", "<|endoftext", "|>"]
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(4000)] + ["", None, " ", "\n", "a" * 5000]
     ids, sizes = bpe.encode(pa.array(texts, pa.string()))
     got = np.split(ids, np.cumsum(sizes)[:-1])
-    for t, g, e in zip(texts, got, bpe.library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)):
+    plain = Tokenizer.from_file(default_tokenizer())
+    for t, g, e in zip(texts, got, plain.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)):
         assert g.tolist() == e.ids, t
 
 
+def test_special_strings_are_their_token():
+    bpe, plain = ByteBpe(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+    one = "<|endoftext|>"
+    texts = [one, one + one, "a " + one + " b", "<|endof", "text|>" + one, "it'" + one + "s", " " + one + "  x", one[:-1], ">",
+             "é" + one + "é", None, "", one + "\n\n" + one[1:]]
+    ids, sizes = bpe.encode(pa.array(texts, pa.string()))
+    got = [g.tolist() for g in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got[0] == [50256] and 50256 not in got[3] + got[7]
+
+
 def test_index_equals_plain_encoding(spark, tmp_path):
     rnd = random.Random(2)
-    rows = [(i * 7 % 101, " ".join(words(rnd, rnd.randint(0, 300)))) for i in range(101)]
-    bpe = ByteBpe(default_tokenizer()).library
+    rows = [(i * 7 % 101, " ".join(words(rnd, rnd.randint(0, 300))) + "<|endoftext|>" * (i % 3)) for i in range(101)]
+    bpe = Tokenizer.from_file(default_tokenizer())
     path = str(tmp_path / "files")
     write_token_files(frame(spark, rows), path, block_ids=64)
     got = index(spark.read.schema(SCHEMA).parquet(path), with_ids=True).orderBy("doc_id").collect()

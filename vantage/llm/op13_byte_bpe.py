@@ -52,6 +52,7 @@ class Cutter(ByteBpe):
         self.probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(pairs)},
                                        special_tokens={})
         self.classes = np.full(0x110000, UNKNOWN, np.uint8)
+        self.special = None
 
     def _classify(self, codes: np.ndarray) -> None:
         for c in codes.tolist():

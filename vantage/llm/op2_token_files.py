@@ -101,7 +101,8 @@ def unpack_segments(rows: list[dict]) -> list[np.ndarray]:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = None, block_ids: int = 2048) -> None:
     """Write the ids of every row of `docs` (doc_id, text) to `path`.
 
-    A null text is empty; every document ends with id 0, so an empty one has a
+    A special token's string in a text is that token, as the library takes it by
+    default. A null text is empty; every document ends with id 0, so an empty one has a
     single id. Null doc_ids come first; rows that share a doc_id follow each
     other in order of a hash of the text. Other columns are not read; an empty
     table gives no segment."""

@@ -5,12 +5,14 @@ blank, numbers, signs, white space) and then encodes each piece alone. Texts
 are cut here with numpy by the same rule; the classes of characters (letter,
 number, space, other) are asked from the tokenizer's own pre-tokenizer, one
 character at a time as they turn up. Distinct pieces are encoded once by the
-library and kept.
+library and kept. A special token's string in a text is that token, as the
+library takes it by default: it is a piece of its own and cuts the text there.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +33,34 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = self._special_strings()
         self.classes = np.full(0x110000, UNKNOWN, np.uint8)
         self._forget()
 
+    def _special_strings(self) -> re.Pattern | None:
+        added = self.library.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("special tokens that take blanks along, need word ends or are normalized are not supported")
+        words = sorted((t.content.encode("utf-8") for t in added), key=lambda w: (-len(w), w))
+        return re.compile(b"|".join(map(re.escape, words))) if words else None
+
+    def _special_bounds(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte positions at which special strings start and end; none reaches over two texts."""
+        starts, ends, raw, at = [], [], memoryview(data), 0
+        while self.special and (m := self.special.search(raw, at)):
+            limit = offs[np.searchsorted(offs, m.start(), "right")]
+            if m.end() <= limit:
+                starts.append(m.start())
+                ends.append(m.end())
+                at = m.end()
+            elif m := self.special.search(raw, m.start(), int(limit)):  # a shorter one may end inside this text
+                starts.append(m.start())
+                ends.append(m.end())
+                at = m.end()
+            else:
+                at = int(limit)
+        return np.array(starts, np.int64), np.array(ends, np.int64)
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
@@ -60,6 +86,8 @@ class ByteBpe:
             kind = self.classes[code]
         head = np.zeros(len(code) + 1, bool)  # first character of a text
         head[np.searchsorted(lead, offs)] = True
+        began, ended = (np.searchsorted(lead, x) for x in self._special_bounds(data, offs))
+        head[began] = head[ended] = True     # what stands before and after a special string is cut on its own
         last = head[1:].copy()
         last[-1] = True
         head = head[:-1]
@@ -89,6 +117,8 @@ class ByteBpe:
                 start[own + 1] = False
                 nxt = own + n
                 start[nxt[nxt < len(code)]] = True
+        for a, b in zip(began.tolist(), ended.tolist()):
+            start[a + 1:b] = False
         return lead[start]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
