@@ -71,7 +71,7 @@ def store(spark: SparkSession, root: str, cfg: MetricConfig = CFG) -> str:
     changed input never meets old tables. Files that can't be listed are an error."""
     from vantage.session import ensure_checkpoint_dir
     from vantage.sources.io import file_state
-    state = [file_state(spark, f"{root}/{t}.parquet") for t in DRIVER_TABLES]
+    state = file_state(spark, [f"{root}/{t}.parquet" for t in DRIVER_TABLES])
     key = hashlib.sha1(repr((state, cfg, _CODE)).encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vantage-marts/{key}"
 

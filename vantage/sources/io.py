@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vantage.sources.csv_records import read_csv_records
 from vantage.sources.schemas import SCHEMAS
 
 TABLES = tuple(SCHEMAS)
 
 
-def read_csv_typed(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, table: str, multi_line: bool = True, escape: str = "\\") -> DataFrame:
     """One header row, explicit types, fail fast on malformed rows (no inference).
 
     The header's names must be the schema's in its order, else loading fails:
-    columns are never taken by position alone. Quoted line breaks need
-    `multi_line`, which reads each file in one task; without it large files are
-    split."""
-    return (spark.read.schema(SCHEMAS[table]).option("header", True).option("multiLine", multi_line)
+    columns are never taken by position alone. Large files are split either way;
+    quoted line breaks need `multi_line`, which looks at the quotes of each line
+    first. `escape` is what stands before a quote in a field (Spark writes a
+    backslash, most others a second quote)."""
+    if multi_line:
+        return read_csv_records(spark, path, SCHEMAS[table], escape=escape)
+    return (spark.read.schema(SCHEMAS[table]).option("header", True).option("escape", escape)
             .option("enforceSchema", False)
             .option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").csv(path))
 
@@ -72,14 +76,16 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(name, bytes, modification time) of every file below `path`, on whatever store it is."""
-    fs, p = _file_system(spark, path)
-    files, out = fs.listFiles(p, True), []
-    while files.hasNext():
-        f = files.next()
-        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return sorted(out)
+def file_state(spark: SparkSession, paths: list[str]) -> tuple[int, int, int]:
+    """Digest of name, bytes and modification time of every file below `paths`, on whatever store they are.
+
+    Spark lists them (many folders by tasks) and one aggregate returns files, bytes and a
+    sum of 64-bit hashes; no file is opened. A path that isn't there is an error."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+             .select("path", "length", "modificationTime"))
+    row = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+                    F.coalesce(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")), F.lit(0)).alias("digest"))
+    return tuple(int(x) for x in row.first())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
