@@ -1,7 +1,7 @@
 """Token-ID output: ids of whole texts, in ascending doc_id order, coded by an adaptive context-mixing range coder.
 
 Documents are range-partitioned by doc_id; each partition is a part of the
-output. A part holds segments of whole documents (about `SEGMENT_IDS` ids), a
+output. A part holds segments of whole documents (at least `SEGMENT_IDS` ids, but for the last), a
 segment holds blocks of `block_ids` ids, and each block is coded from a reset
 state (`range_coder`) with its number of coded words and the crc32 of its ids.
 Any segment can be read alone, and a damaged block is found by its checksum.
@@ -37,8 +37,8 @@ from vantage.llm.tokens import tokenizer
 
 FORMAT = "vantage-ids-1"
 END_ID = 0
-SEGMENT_IDS = 1 << 20
-CODE_IDS = 1 << 22        # ids that a task codes or decodes in one go
+SEGMENT_IDS = 1_000_000
+CODE_IDS = 2_000_000      # ids that a task codes or decodes in one go: two segments fill the coder's lanes once
 SCHEMA = ("format string, part int, segment int, first_id long, doc_ids array<long>, doc_sizes array<long>, "
           "block_ids int, block_words array<int>, block_crcs array<long>, payload binary")
 

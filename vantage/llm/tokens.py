@@ -23,7 +23,7 @@ from vantage.llm.textops import utf8
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
-KEEP_PIECES = 400_000    # pieces a worker keeps; then it starts anew
+KEEP_PIECES = 300_000    # pieces a worker keeps; then it starts anew
 SHORT = [b"s", b"t", b"m", b"d"]          # endings that an apostrophe takes along
 LONG = [b"re", b"ve", b"ll"]
 
