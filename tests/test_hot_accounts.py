@@ -165,3 +165,12 @@ def test_running_totals_of_a_probe_before_the_first_day(spark):
     got = {r.tag: (r.n, r.sx) for r in running_totals(days, probes).collect()}
     assert got == {"x": (None, None), "y": (2, 11), "z": (2, 11), "w": (None, None)}
     assert days.where(F.col("n_logs") == 1).first().n == 0
+
+def test_exploded_contracts_are_never_broadcast(spark):
+    """Their size is estimated without the explosion: at 0.1 GB a side of 2 GB was broadcast."""
+    from vantage.plans.quality import monthly_vs_allotment
+    df = spark.createDataFrame(contracts(50, 9), SCHEMA)
+    usage = spark.createDataFrame([("a", 1, day(3), 5)], "log_id string, account_id long, date date, compute_credits_consumed long")
+    for out in (overlapping_contracts(df), monthly_vs_allotment({"contracts": df, "daily_usage_logs": usage})):
+        out.collect()
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
