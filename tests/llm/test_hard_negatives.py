@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vantage.llm.op11_hard_negatives import Packed, best, mine
+from vantage.llm.op11_hard_negatives import Packed, _best_within, _ordered, best, mine
 
 def anchor():
     return F.col("vec_id") % 50 == 0
@@ -88,3 +88,29 @@ def test_rows_that_take_no_part(spark):
                                            (100, [0.0, 0.0], 4), (101, v, 4)])
     assert got(mine(df.limit(0), anchor())) == []
     assert got(mine(df.where("vec_id = 1"), anchor())) == []
+
+
+def test_products_that_a_double_holds_are_one_matrix_product():
+    rng = np.random.default_rng(12)
+    c, a = rng.integers(-256, 257, (4_000, 64)), rng.integers(-256, 257, (60, 64))
+    packed = Packed(c, int(a.min()), int(a.max()))
+    assert packed.words.dtype == np.float64 and packed.fields == 2
+    assert (packed.scores(a) == a @ c.T).all()
+    edge = Packed(np.array([[1 << 12] * 3, [-(1 << 12)] * 3] * 5), -(1 << 12), 1 << 12)    # fields of 28 bits: 64-bit words
+    assert edge.words.dtype == np.uint64 and edge.small
+    assert edge.scores(np.array([[1 << 12] * 3]))[0, :2].tolist() == [3 << 24, -(3 << 24)]
+
+
+def test_bands_from_ordered_keys():
+    rng = np.random.default_rng(13)
+    for n in (1, 7, 300):
+        s, ok = rng.integers(-20, 21, (9, n)), rng.random((9, n)) < 0.6
+        ok[3] = False
+        keys, shut = _ordered(s, ok)
+        least = np.array([-(1 << 62), -5, 3, 0, 21, 5, -100])
+        most = np.array([1 << 62, 5, 3, 20, 1 << 61, -5, -50])
+        for i in range(9):
+            band, column, score = _best_within(keys[i], shut[i], n, least, most, 3)
+            want = [(b, j, s[i, j]) for b in range(len(least)) for j in sorted(
+                (j for j in range(n) if ok[i, j] and least[b] <= s[i, j] <= most[b]), key=lambda j: (-s[i, j], j))[:3]]
+            assert list(zip(band.tolist(), column.tolist(), score.tolist())) == want

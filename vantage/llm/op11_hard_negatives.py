@@ -6,8 +6,10 @@ of several candidates lies in separate fields of one wide integer. The anchor's
 component, biased too, is multiplied once with that integer; the sum over all
 components holds each candidate's biased inner product in its own field, as a
 field is wide enough for the largest sum. Taking the biases off again gives the
-exact scores. Fields of up to 32 bits are packed in 64-bit words; for larger
-components the same is done with Python's unbounded integers.
+exact scores. Fields of up to 26 bits are packed in the 53 bits that a double
+holds exactly, so that the products and sums of a tile are one matrix product;
+fields of up to 32 bits are packed in 64-bit words; for larger components the
+same is done with Python's unbounded integers.
 
 Anchors meet candidates in blocks: a task holds one shard of candidates and one
 block of anchors. A first pass finds each anchor's positives, a second one the
@@ -25,7 +27,8 @@ from vantage.llm.common import materialize
 
 ANCHOR_BLOCK = 8_192
 SHARD = 16_384          # candidates of a shard, about
-TILE = 1 << 22          # scores that a task holds at a time
+TILE = 1 << 20          # scores that a task holds at a time
+DOUBLE_BITS = 53        # whole numbers below 2^53 are exact in a double
 WIDE_FIELDS = 16        # candidates in one unbounded integer
 
 
@@ -42,7 +45,8 @@ class Packed:
         extent = self.dim * max(abs(int(candidates.min())), abs(int(candidates.max())), 1) * max(
             abs(anchor_low), abs(anchor_high), 1)
         self.small = 2 * self.bits <= 64 and 4 * extent < 1 << 62
-        self.fields = 64 // self.bits if self.small else WIDE_FIELDS
+        self.double = self.small and 2 * self.bits <= DOUBLE_BITS   # every sum of products is a whole number below 2^53
+        self.fields = (DOUBLE_BITS if self.double else 64) // self.bits if self.small else WIDE_FIELDS
         self.kind = np.uint64 if self.small else object
         rows = -(-self.n // self.fields)
         lifted = np.zeros((rows * self.fields, self.dim), self.kind)
@@ -51,6 +55,8 @@ class Packed:
         self.words = np.zeros((rows, self.dim), self.kind)
         for f in range(self.fields):
             self.words += lifted[f::self.fields] << self._number(f * self.bits)
+        if self.double:
+            self.words = self.words.astype(np.float64)
         self.sums = exact.sum(1)
 
     def _number(self, x: int):
@@ -60,9 +66,12 @@ class Packed:
         """Inner products [anchor, candidate]."""
         exact = anchors.astype(np.int64 if self.small else object)
         lifted = (exact + self.anchor_bias).astype(self.kind)
-        total = np.zeros((len(anchors), len(self.words)), self.kind)
-        for d in range(self.dim):    # one product for each component and word
-            total += lifted[:, d, None] * self.words[:, d]
+        if self.double:
+            total = (lifted.astype(np.float64) @ self.words.T).astype(np.uint64)
+        else:
+            total = np.zeros((len(anchors), len(self.words)), self.kind)
+            for d in range(self.dim):    # one product for each component and word
+                total += lifted[:, d, None] * self.words[:, d]
         field = self._number((1 << self.bits) - 1)
         out = np.empty((len(anchors), len(self.words) * self.fields), np.int64 if self.small else object)
         for f in range(self.fields):
@@ -89,6 +98,29 @@ def best(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, n
     return row, column[row, place]
 
 
+def _ordered(scores: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(keys, number of columns that aren't allowed) of each row, the keys ascending, those not allowed first: one key
+    for each column, higher for a higher score and, among equals, further left. None if they don't fit 64 bits."""
+    n = scores.shape[1]
+    if scores.dtype == object or 1 << 62 < (int(np.abs(scores).max(initial=0)) + 1) * 2 * n:
+        return None
+    keys = np.where(allowed, scores * n + (n - 1 - np.arange(n)), np.iinfo(np.int64).min)
+    keys.sort(axis=1)
+    return keys, n - allowed.sum(1)
+
+
+def _best_within(keys: np.ndarray, shut: int, n: int, least: np.ndarray, most: np.ndarray, k: int):
+    """(band, column, score) of the k highest scores of a row's keys within each band least..most."""
+    # a score lies in least..most if its key lies in least * n .. (most + 1) * n - 1; bands beyond all scores are cut to them
+    low, high = (keys[shut] // n, keys[-1] // n) if shut < n else (0, -1)
+    first = np.maximum(np.searchsorted(keys, np.clip(least, low, high + 1) * n), shut)
+    past = np.searchsorted(keys, (np.clip(most, low - 1, high) + 1) * n)
+    place = past[:, None] - 1 - np.arange(k)
+    band, at = np.nonzero(place >= first[:, None])
+    key = keys[place[band, at]]
+    return band, n - 1 - key % n, key // n
+
+
 def _matrix(column, exact) -> np.ndarray:
     flat = column.combine_chunks().flatten()
     values = [int(x) for x in flat.to_pylist()] if exact else flat.to_numpy(zero_copy_only=False)
@@ -169,15 +201,20 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, sca
         offs = np.cumsum(count) - count
         ids_of, score_of = (pairs.flatten().field(k).to_numpy() for k in ("positive_id", "positive_score"))
         packed, out = Packed(c, int(a.min()), int(a.max())), []
+        # the bands in whole scores: ceil(low p / 100) .. floor(high p / 100)
+        least, most = -(-low * score_of // 100), high * score_of // 100
         for t in _tiles(a, len(ids)):
             s, apart = packed.scores(a[t]), labels != own_labels[t, None]
-            for j in range(int(count[t].max())):
-                has = np.flatnonzero(count[t] > j)
-                p = offs[t][has] + j
-                # the band in whole scores: ceil(low p / 100) .. floor(high p / 100)
-                least, most = -(-low * score_of[p] // 100), high * score_of[p] // 100
-                r, k = best(s[has], apart[has] & (s[has] >= least[:, None]) & (s[has] <= most[:, None]), negatives)
-                out.append((own[t][has[r]], ids_of[p[r]], ids[k], score_of[p[r]], s[has[r], k].astype(np.int64)))
+            ordered = _ordered(s, apart)
+            for i in range(len(s)):      # an anchor's scores are put in order once, for all its bands
+                p = offs[t][i] + np.arange(count[t][i])
+                if ordered:
+                    band, k, score = _best_within(ordered[0][i], ordered[1][i], len(ids), least[p], most[p], negatives)
+                else:
+                    row = s[i][None].repeat(len(p), 0)
+                    band, k = best(row, apart[i] & (row >= least[p, None]) & (row <= most[p, None]), negatives)
+                    score = s[i][k].astype(np.int64)
+                out.append((np.full(len(band), own[t][i]), ids_of[p[band]], ids[k], score_of[p[band]], score))
         names = ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score")
         return dict(zip(names, map(np.concatenate, zip(*out))))
 
