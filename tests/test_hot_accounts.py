@@ -174,3 +174,27 @@ def test_exploded_contracts_are_never_broadcast(spark):
     for out in (overlapping_contracts(df), monthly_vs_allotment({"contracts": df, "daily_usage_logs": usage})):
         out.collect()
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_before_any_window_stay_out_and_change_nothing(spark):
+    """Only the days from the earliest start of a contract that reaches the calendar meet accounts."""
+    from test_edge_cases import CFG, D, frames
+    from vantage.operators.contracts import contract_active
+    from vantage.operators.staging import stg_contracts
+    from vantage.operators.usage import days_in_reach, snapshot_usage, usage_days
+    contracts = [(1, 1, D(2000, 6, 1), D(2001, 5, 31), 100000, 1000, "New"), (2, 2, D(2001, 1, 1), D(2001, 12, 31), 50000, 500, "New"),
+                 (3, 1, D(1990, 1, 1), D(1990, 12, 31), 1, 1, "New"), (4, 1, D(2003, 1, 1), D(2003, 12, 31), 1, 1, "New")]
+    usage = [("a", 1, D(1990, 7, 1), 7), ("b", 1, D(2000, 5, 31), 3), ("c", 1, D(2000, 6, 1), 4), ("d", 1, D(2001, 1, 5), None),
+             ("e", 2, D(2000, 6, 2), 9), ("f", 2, D(2001, 2, 1), 5), ("g", 2, None, 5)]
+    f = frames(spark, contracts, usage=usage)
+    days = usage_days(f["daily_usage_logs"])
+    assert {r.date for r in days_in_reach(days, f["contracts"], CFG).collect()} == {
+        D(2000, 6, 1), D(2001, 1, 5), D(2000, 6, 2), D(2001, 2, 1)}
+    active = contract_active(stg_contracts(f["contracts"]), CFG)
+    rows = [sorted(map(repr, snapshot_usage(active, f["daily_usage_logs"], f["accounts"], CFG, days, c).collect()))
+            for c in (None, f["contracts"])]
+    assert rows[0] == rows[1] != []
+    assert days_in_reach(days, f["contracts"].limit(0), CFG).count() == 0
+    for row in ((5, 1, None, D(2001, 5, 31), 1, 1, "New"), (5, 1, D(1985, 1, 1), None, 1, 1, "New")):    # any day may be theirs
+        more = f["contracts"].unionByName(spark.createDataFrame([row], f["contracts"].schema))
+        assert days_in_reach(days, more, CFG).count() == days.where("date IS NOT NULL").count()
