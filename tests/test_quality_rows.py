@@ -144,3 +144,44 @@ def test_fk_fractions_weigh_hot_keys(spark, tables):
     assert got["RI-5"] == (0.8, "FAIL") and got["RI-2"] == (1.0, "PASS") and len(got) == len(FK_CHECKS)
     f["contracts"] = f["contracts"].limit(0)
     assert {r.check_id: (r.valid_frac, r.status) for r in fk_fractions(f).collect()}["RI-2"] == (None, "FAIL")
+
+
+def test_unique_keys_are_counted_by_hash_and_compared_as_they_are(spark, monkeypatch):
+    from vantage.plans import quality
+    rows = [("a",), ("b",), ("b",), ("c",), ("c",), ("c",), (None,), (None,), ("d",)]
+    t = {"t": spark.createDataFrame(rows, "k string"),
+         "u": spark.createDataFrame([(1, None), (1, None), (None, 1), (2, 3)], "p int, q int")}
+    own = [Check("t", "unique", ("k",)), Check("u", "unique", ("p", "q")), Check("t", "not_null", ("k",))]
+    assert quality._ledger(t, own[:2]) is None      # no unique key goes through the ledger of strings
+    got = lambda: [r.n_failing for r in sorted(run_checks(t, own).collect(), key=lambda r: [c.check_id for c in own].index(r.check_id))]
+    assert got() == [2, 1, 2]
+    monkeypatch.setattr(quality, "FEW_HASHES", 0)   # too many repeated hashes to send around: all keys as they are
+    assert got() == [2, 1, 2]
+    # one hash for all keys: what is repeated is still told by the keys
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: quality.F.lit(7).cast("bigint"))
+    assert got() == [2, 1, 2]
+    monkeypatch.setattr(quality, "FEW_HASHES", 100)
+    assert got() == [2, 1, 2]
+
+
+def test_a_rule_of_raw_and_staging_rows_is_settled_once(tables):
+    from vantage.plans.quality import _distinct_checks
+    own, numbers = _distinct_checks(tables, GENERIC_CHECKS)
+    ids = [c.check_id for c in GENERIC_CHECKS]
+    at = lambda i: numbers[ids.index(i)]
+    assert at("unique:support_tickets.ticket_id") == at("unique:stg_support_tickets.ticket_id")
+    assert at("relationships:account_health.account_id") == at("relationships:stg_account_health.account_id")
+    assert at("unique:stg_accounts.account_id") != at("unique:stg_contracts.contract_id")
+    assert len(own) < len(GENERIC_CHECKS) == len(numbers)
+
+
+def test_logs_meet_their_windows_once_for_both_sides(spark):
+    from vantage.operators.contracts import log_windows, out_of_window_usage, usage_in_contract
+    usage = [("a", 1, D(2000, 7, 1), 5), ("b", 1, D(2002, 7, 1), 5), ("b", 1, D(2002, 7, 1), 5), ("c", 1, D(2001, 6, 1), None),
+             ("d", 9, D(2000, 7, 1), 5), ("e", None, D(2000, 7, 1), 5), ("f", 2, None, 5), ("a", 1, D(2000, 7, 1), 5)]
+    f = frames(spark, CONTRACTS, usage=usage)
+    args = f["daily_usage_logs"], f["accounts"], f["contracts"]
+    windows = log_windows(*args)
+    for side in (usage_in_contract, out_of_window_usage):
+        plain, shared = ([tuple(r) for r in df.collect()] for df in (side(*args), side(*args, windows=windows)))
+        assert sorted(map(repr, plain)) == sorted(map(repr, shared)) != []
