@@ -5,6 +5,8 @@ import re
 import numpy as np
 
 from llm_data import awkward, frame, with_clashes, words
+from vantage.llm import op10_order_minhash
+from vantage.llm.common import materialize
 from vantage.llm.op10_order_minhash import classes, keep_representatives, near_duplicates, similarity
 
 WORD = re.compile(r"[a-z0-9\x80-\U0010ffff]+")
@@ -97,6 +99,18 @@ def test_large_lists_are_whole(spark):
     assert links.count() < 60 * 59 / 4  # never all pairs
 
 
+def test_rounds_end_with_the_largest_list(spark, monkeypatch):
+    """Lists of a passage that texts share without being near: once all classes of the largest have met, no round follows."""
+    rnd = random.Random(4)
+    passage, written = words(rnd, 40, 3000), []
+    rows = [(i, " ".join(passage + words(rnd, 40, 3000))) for i in range(80)]
+    rows += [(100, rows[5][1] + " more"), (101, "less " + rows[70][1])]
+    monkeypatch.setattr(op10_order_minhash, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    member, _ = near_duplicates(frame(spark, rows), small=4)
+    assert {r.doc_id: r.class_id for r in member.collect()} == brute(rows)
+    assert len(written) <= 10  # one leader, 8 leaders, all pairs: two tables a round
+
+
 def test_one_of_each_class_stays(spark):
     rows = corpus(2, 10)
     kept = keep_representatives(frame(spark, rows + rows[:5]))

@@ -19,8 +19,9 @@ list meets one leader, the class that shares most lists with others: in a group
 of copies that is the text they were made from, or one close to it. From then on
 only lists whose classes do not all lead to one root (along links to leaders)
 matter, and only pairs with different roots are compared: all of them in lists of
-up to `small` classes; in larger ones 8 leaders of the list, then 512, and so on,
-until every class of the list has led or all have one root. So a comparison is
+up to `small` classes; in larger ones with 8 leaders of the list, then all of them in
+lists of up to 512 classes and 512 leaders in larger ones, then 32,768, and so on,
+until the largest list is done or all its classes have one root. So a comparison is
 skipped only if both classes are known to be connected, or
 if the counts of shingles and their odd bits (see `odd_bits`) rule the threshold
 out.
@@ -28,6 +29,9 @@ out.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -211,63 +215,61 @@ def similarity(x: np.ndarray, y: np.ndarray, threshold: float) -> float:
 
 
 def _verify(pairs: DataFrame, tokens: DataFrame, threshold: float, k: int) -> DataFrame:
-    """The pairs (key, leader, w) whose alignment reaches the threshold."""
+    """The pairs (key, leader, w), each with `good`: whether its alignment reaches the threshold."""
 
     def check(batches):
         for part in batches:
-            good = [i for i, (x, y) in enumerate(zip(part.column("a"), part.column("b")))
-                    if similarity(_runs(x.as_buffer(), k), _runs(y.as_buffer(), k), threshold)]
-            yield pa.RecordBatch.from_arrays([part.column(c).take(pa.array(good, pa.int64()))
-                                              for c in ("key", "leader", "w")], names=["key", "leader", "w"])
+            good = [similarity(_runs(x.as_buffer(), k), _runs(y.as_buffer(), k), threshold) > 0
+                    for x, y in zip(part.column("a"), part.column("b"))]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("key", "leader", "w")), pa.array(good, pa.bool_())],
+                                             names=["key", "leader", "w", "good"])
 
     a = tokens.select("key", F.col("seq").alias("a"))
     b = tokens.select(F.col("key").alias("leader"), F.col("seq").alias("b"))
     return pairs.join(a, "key").join(b, "leader").select("key", "leader", "w", "a", "b").mapInArrow(
-        check, "key binary, leader binary, w long")
+        check, "key binary, leader binary, w long, good boolean")
 
 
 def _near(threshold: float):
     """Whether two classes can reach the threshold at all, by their shingle counts n and m and their odd bits.
 
     Similarity t leaves (n + m) (1 - t) / (1 + t) shingles that only one of them has, at most."""
-    differ = F.aggregate(F.zip_with("odd", "far_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                         lambda s, x: s + x)
+    differ = reduce(add, (F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("far_odd")[i])) for i in range(ODD_BITS // 64)))
     return (F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9) & (
         differ <= (F.col("n") + F.col("m")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
 
 
-def _led(members: DataFrame, slots: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(pairs of classes with the leaders of their lists, these leaders): one leader for each of `slots` parts of a list."""
+def _pairs(members: DataFrame, cap: int, slots: int, threshold: float) -> DataFrame:
+    """(key, leader, w) across roots: all pairs of lists of up to `cap` classes; in larger ones each class
+    with one leader for each of `slots` parts of the list. The heavier class of a pair is its leader."""
+    own = ("weight", "key", "n", "root", "odd")
     slot = F.pmod(F.xxhash64("key", F.lit(slots)), F.lit(slots))
-    leaders = members.groupBy("band", "list", slot.alias("slot")).agg(
-        F.max(F.struct("weight", "key", "n", "root", "odd")).alias("lead")).select(
-        "band", "list", F.col("lead.key").alias("leader"), F.col("lead.weight").alias("w"), F.col("lead.n").alias("m"), F.col("lead.root").alias("far"),
-        F.col("lead.odd").alias("far_odd"))
-    pairs = members.join(leaders, ["band", "list"]).where((F.col("far") != F.col("root")) & _near(threshold))
-    return pairs.select("key", "leader", "w"), leaders.select("band", "list", F.col("leader").alias("key"))
-
-
-def _whole(members: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of (small) lists across roots; the heavier class of a pair is its leader."""
-    other = members.select("band", "list", F.col("key").alias("leader"), F.col("weight").alias("w"), F.col("n").alias("m"),
-                           F.col("root").alias("far"), F.col("odd").alias("far_odd"))
-    pairs = members.join(other, ["band", "list"]).where(
-        ((F.col("w") > F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("leader") > F.col("key"))))
-        & (F.col("far") != F.col("root")) & _near(threshold))
-    return pairs.select("key", "leader", "w")
+    led = members.where(F.col("size") > cap).groupBy("band", "list", slot.alias("slot")).agg(F.max(F.struct(*own)).alias("lead"))
+    leaders = led.select("band", "list", "lead.*").unionAll(members.where(F.col("size") <= cap).select("band", "list", *own)).toDF(
+        "band", "list", "w", "leader", "m", "far", "far_odd")
+    up = (F.col("w") > F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("leader") > F.col("key")))
+    return members.join(leaders, ["band", "list"]).where(
+        (F.col("far") != F.col("root")) & (up | (F.col("size") > cap)) & _near(threshold)).select(
+        F.when(up, F.col("key")).otherwise(F.col("leader")).alias("key"),
+        F.when(up, F.col("leader")).otherwise(F.col("key")).alias("leader"), F.greatest("w", "weight").alias("w"))
 
 
 def _roots(links: DataFrame) -> DataFrame:
-    """(key, root): where two rounds of pointer jumping lead from each linked class, by its heaviest leader.
+    """(key, root): where up to three steps lead from each linked class, each to its heaviest leader.
 
     Classes with one root are connected; connected ones may still have two."""
     up = links.groupBy("key").agg(F.max(F.struct("w", "leader")).alias("up")).select("key", F.col("up.leader").alias("root"))
+    on = up.select(F.col("key").alias("root"), F.col("root").alias("next"))
     for _ in range(2):
-        on = up.select(F.col("key").alias("root"), F.col("root").alias("next"))
         up = up.join(on, "root", "left").select("key", F.coalesce("next", "root").alias("root"))
     return up
 
 
+def _members(sharing: DataFrame, cap: int) -> DataFrame:
+    """A row for each class and each of its lists of more than `cap` classes."""
+    return sharing.select(*(c for c in sharing.columns if c != "lists"), F.inline("lists")).where(F.col("size") > cap)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, picks: int = 3,
                     small: int = 16) -> tuple[DataFrame, DataFrame]:
     """(membership, links): doc_id, tag, class_id, kept of every row; verified links between classes (key, leader).
@@ -284,34 +286,38 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     one = F.min(F.struct("doc_id", "tag"))
     classes = materialize(signed.where(F.col("key").isNotNull()).groupBy("key").agg(
         one.alias("rep"), F.first("n").alias("n"), F.first("lists").alias("lists"), F.first("odd").alias("odd")), "classes")
-    lists = classes.select("key", "n", "odd", F.posexplode("lists").alias("band", "list"))
+    lists = classes.select("key", F.posexplode("lists").alias("band", "list"))
     shared = lists.groupBy("band", "list").agg(F.count("*").alias("size")).where("size > 1")
-    met = materialize(lists.join(shared, ["band", "list"]), "met")
-    weights = met.groupBy("key").agg(F.sum("size").alias("weight"))
-    members = materialize(met.drop("size").join(weights, "key").withColumn("root", F.col("key")), "members")
-    wanted = classes.join(weights, "key", "left_semi").select(
-        F.col("rep.doc_id").alias("w_id"), F.col("rep.tag").alias("w_tag"), "key")
-    tokens = materialize(_tokens(docs, wanted), "tokens")
-    pairs = _led(members, 1, threshold)[0]
-    links, tried, slots = None, None, 8
+    met = lists.join(shared, ["band", "list"]).groupBy("key").agg(
+        F.sum("size").alias("weight"), F.collect_list(F.struct("band", "list", "size")).alias("lists"))
+    sharing = materialize(classes.drop("lists").join(met, "key"), "sharing")  # a row for each class that shares a list
+    tokens = materialize(_tokens(docs, sharing.select(
+        F.col("rep.doc_id").alias("w_id"), F.col("rep.tag").alias("w_tag"), "key")), "tokens")
+    sharing = sharing.drop("rep")
+    largest = sharing.agg(F.max(F.array_max(F.transform("lists", lambda x: x["size"])))).first()[0] or 0
+    members = _members(sharing.withColumn("root", F.col("key")), 1)
+    tried, cap, slots = None, 1, 1
     while True:
-        fresh = pairs.distinct()  # a pair always has the same leader: the one with more weight
-        fresh = materialize(fresh.join(tried, ["key", "leader"], "left_anti") if tried is not None else fresh, "fresh")
-        good = materialize(_verify(fresh, tokens, threshold, k), "good")
-        tried = fresh if tried is None else tried.unionAll(fresh)
-        links = good if links is None else links.unionAll(good)
-        members = members.drop("root").join(_roots(links), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = members.groupBy("band", "list").agg(F.min("root").alias("_a"), F.max("root").alias("_z"),
-                                                    F.count("*").alias("size")).where("_a != _z")
-        members = materialize(members.join(open_.select("band", "list", "size"), ["band", "list"]), "members")
+        pairs = _pairs(members, cap, slots, threshold)
+        if tried is None:
+            fresh = pairs.distinct()
+        else:  # a pair always has the same leader: the one with more weight
+            fresh = pairs.withColumn("old", F.lit(False)).unionAll(
+                tried.select("key", "leader", "w", F.lit(True).alias("old"))).groupBy("key", "leader", "w").agg(
+                F.max("old").alias("old")).where(~F.col("old")).drop("old")
+        checked = materialize(_verify(fresh, tokens, threshold, k), "checked")
+        tried = checked if tried is None else tried.unionAll(checked)
+        links = tried.where("good").drop("good")
+        if slots > 1 and cap >= largest:
+            break
+        rest = 1 if slots == 1 else cap  # lists of up to so many classes are done
+        cap, slots = (small, 8) if slots == 1 else (slots * 64, slots * 64)
+        led = sharing.join(_roots(links), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        now = _members(led, rest)
+        open_ = now.groupBy("band", "list").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).where("_a != _z")
+        members = materialize(now.join(open_.select("band", "list"), ["band", "list"]), "members")
         if members.limit(1).count() == 0:
             break
-        large = members.where(F.col("size") > small).drop("size")
-        led, leaders = _led(large, slots, threshold)
-        pairs = _whole(members.where(F.col("size") <= small).drop("size"), threshold).unionAll(led)
-        # a leader has met its list; small lists are done
-        members = large.join(leaders, ["band", "list", "key"], "left_anti")
-        slots *= 64
     roots = components(links, "key", "leader")
     named = classes.select("key", "rep").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "rep", F.coalesce("root", "key").alias("root"))
